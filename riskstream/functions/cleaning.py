@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskstream.schemas import EVENT, MODEL_FEATURES, MONEY_BOUND
 
@@ -18,11 +19,15 @@ def message_text(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("value").cast("string").alias("body"))
 
 
-def parse_events(bodies: DataFrame, keep_body: bool = False) -> DataFrame:
-    """JSON text to the declared event columns; unreadable text gives all nulls."""
-    event = F.from_json("body", EVENT).alias("event")
+def parse_events(bodies: DataFrame, fields: StructType = EVENT, keep_body: bool = False) -> DataFrame:
+    """JSON text to the declared event columns; unreadable text gives all nulls.
+
+    The struct is flattened by a generator rather than by ``select("event.*")``: filters are not
+    pushed below a generator, so each message is parsed once. Through a projection they are, and
+    then the parse is repeated for every reference to one of its fields.
+    """
     kept = ["body"] if keep_body else []
-    return bodies.select(*kept, event).select(*kept, "event.*")
+    return bodies.select(*kept, F.inline(F.array(F.from_json("body", fields))))
 
 
 def event_time(text: str = "timestamp") -> Column:
@@ -95,5 +100,6 @@ def accepted_events(bodies: DataFrame, use_supplied_average: bool = False) -> Da
 
 def rejected_events(bodies: DataFrame) -> DataFrame:
     """The messages :func:`accepted_events` leaves out, whole, with the reason."""
-    timed = with_event_time(parse_events(bodies, keep_body=True))
+    required = StructType([EVENT[name] for name in ("transaction_id", "user_id", "amount", "timestamp")])
+    timed = with_event_time(parse_events(bodies, required, keep_body=True))
     return timed.select("body", reject_reason().alias("reject_reason")).filter("reject_reason IS NOT NULL")

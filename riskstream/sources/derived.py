@@ -203,16 +203,15 @@ def json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[unless(short, c) for c in ("user_avg_amount", "amount_vs_avg_user", "actual_label")],
         F.when(residue == 7, "x").alias("unknown_field"),
     )
-    body = F.to_json(fields)
-    inner = F.substr(body, F.lit(2))
+    body = F.col("body")
     value = (
         F.when(residue == 1, "{bad")
-        .when(residue == 4, F.concat(F.lit('{"amount":"3.5",'), inner))
+        .when(residue == 4, F.concat(F.lit('{"amount":"3.5",'), F.substr(body, F.lit(2))))
         .when(residue == 6, F.regexp_replace(body, r'"timestamp":"[^"]*"', '"timestamp":"2024-01-01T00:00:00"'))
         .when(residue == 9, F.concat(F.lit("["), body, F.lit("]")))
         .otherwise(body)
     )
-    return events.select(value.alias("value"))
+    return events.select("n", F.to_json(fields).alias("body")).select(value.alias("value"))
 
 
 def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
