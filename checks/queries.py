@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from riskstream.functions import cleaning, decision, projections, rules
 from riskstream.functions import predicates as where
-from riskstream.functions.hashing import hash_below
-from riskstream.operators import quality, reconcile, rebalance, repair
+from riskstream.jobs import write_daily_report, write_evaluation_report
+from riskstream.operators import quality, rebalance, reconcile, repair
 from riskstream.operators.dedupe import keep_first
 from riskstream.operators.enrich import with_profile
 from riskstream.plans import daily, dashboard, evaluation, training, verification
-from riskstream.schemas import LABEL, LABELLED, MODEL_FEATURES, SIGNAL_FIELDS, TRANSACTIONS
-from riskstream.session import durable, workspace
+from riskstream.schemas import LABEL, MODEL_FEATURES, SIGNAL_FIELDS
+from riskstream.session import workspace
 from riskstream.sinks import reports
 from riskstream.sources import derived
 from riskstream.sources.labelled import complete_rows, labelled_csv, replay_source
@@ -53,10 +53,6 @@ def _over_both(source, other, plan) -> Query:
     return lambda spark, sf: plan(source(spark, sf), other(spark, sf))
 
 
-def _tx_and_alerts(plan) -> Query:
-    return _over_both(derived.damaged_transactions, derived.lossy_alerts, plan)
-
-
 # ---------------------------------------------------------------- scratch stores and streams
 
 
@@ -67,6 +63,21 @@ def _batch_store(spark: SparkSession, sf: str) -> TableStore:
     return store
 
 
+_STORES: dict[tuple[str, str, str], TableStore] = {}
+
+
+def _store_once(kind: str, build) -> Query:
+    """A store is written once per application and data folder; reports read it from there."""
+
+    def stored(spark, sf) -> TableStore:
+        key = (spark.sparkContext.applicationId, sf, kind)
+        if key not in _STORES:
+            _STORES[key] = build(spark, sf)
+        return _STORES[key]
+
+    return stored
+
+
 def _store_with_losses(spark: SparkSession, sf: str) -> TableStore:
     store = TableStore(spark, workspace(spark, "store"))
     store.replace_run("transactions", derived.transactions(spark, sf), "batch-0")
@@ -74,6 +85,28 @@ def _store_with_losses(spark: SparkSession, sf: str) -> TableStore:
     return store
 
 
+def _damaged_store(spark: SparkSession, sf: str) -> TableStore:
+    store = TableStore(spark, workspace(spark, "store"))
+    store.replace_run("transactions", derived.damaged_transactions(spark, sf), "batch-0")
+    store.replace_run("fraud_alerts", derived.lossy_alerts(spark, sf), "batch-0")
+    return store
+
+
+def _table(store: Query, name: str) -> Query:
+    return lambda spark, sf: store(spark, sf).read(name)
+
+
+_sound_store = _store_once("sound", _batch_store)
+_lossy_store = _store_once("lossy", _store_with_losses)
+_damage_store = _store_once("damaged", _damaged_store)
+
+transactions = _table(_sound_store, "transactions")
+fraud_alerts = _table(_sound_store, "fraud_alerts")
+lossy_alerts = _table(_lossy_store, "fraud_alerts")
+damaged_transactions = _table(_damage_store, "transactions")
+damaged_alerts = _table(_damage_store, "fraud_alerts")
+
+
 def _message_folder(spark: SparkSession, sf: str) -> str:
     """The messages as text files, several of them so that a stream takes several batches."""
     folder = workspace(spark, "messages")
@@ -102,6 +135,10 @@ def _stored_counts(store: TableStore) -> DataFrame:
     )
 
 
+def _tx_and_alerts(plan) -> Query:
+    return _over_both(damaged_transactions, damaged_alerts, plan)
+
+
 # ---------------------------------------------------------------- sources
 
 
@@ -135,14 +172,8 @@ def replay(spark, sf):
     return parts.select("part", "Time", "Amount")
 
 
-@query("s04_transactions_scan")
-def transactions_scan(spark, sf):
-    return _batch_store(spark, sf).read("transactions")
-
-
-@query("s05_alerts_scan")
-def alerts_scan(spark, sf):
-    return _batch_store(spark, sf).read("fraud_alerts")
+REGISTRY["s04_transactions_scan"] = transactions
+REGISTRY["s05_alerts_scan"] = fraud_alerts
 
 
 # ---------------------------------------------------------------- sinks
@@ -164,15 +195,9 @@ def empty_batch(spark, sf):
     return runs.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-REGISTRY["k03_append_transactions"] = transactions_scan
-
-
-@query("k04_append_risk_scores")
-def append_risk_scores(spark, sf):
-    return _batch_store(spark, sf).read("risk_scores")
-
-
-REGISTRY["k05_append_alerts"] = alerts_scan
+REGISTRY["k03_append_transactions"] = _table(_batch_store, "transactions")
+REGISTRY["k04_append_risk_scores"] = _table(_batch_store, "risk_scores")
+REGISTRY["k05_append_alerts"] = _table(_batch_store, "fraud_alerts")
 
 
 @query("k06_append_repairs")
@@ -189,14 +214,12 @@ def _csv_counts(spark, paths: dict[str, str]) -> DataFrame:
 
 @query("k07_daily_csv")
 def daily_csv(spark, sf):
-    tx = durable(derived.transactions(spark, sf), "transactions", TRANSACTIONS)
-    return _csv_counts(spark, jobs_daily(tx, workspace(spark, "reports")))
+    return _csv_counts(spark, write_daily_report(transactions(spark, sf), workspace(spark, "reports"), STAMP_AT))
 
 
 @query("k08_quality_csv")
 def quality_csv(spark, sf):
-    tx, alerts = derived.damaged_transactions(spark, sf), derived.lossy_alerts(spark, sf)
-    report = quality.quality_report(tx, alerts, _stamp())
+    report = REGISTRY["q19_quality_report"](spark, sf)
     path = reports.write_csv(report, workspace(spark, "reports"), "data_quality_report", STAMP_AT)
     declared = "check_name string, status string, issue_count bigint, checked_at timestamp_ntz"
     return spark.read.option("header", True).schema(declared).csv(path).drop("checked_at")
@@ -204,8 +227,7 @@ def quality_csv(spark, sf):
 
 @query("k09_evaluation_csv")
 def evaluation_csv(spark, sf):
-    tx = durable(derived.transactions(spark, sf), "transactions", TRANSACTIONS)
-    return _csv_counts(spark, jobs_evaluation(tx, workspace(spark, "reports")))
+    return _csv_counts(spark, write_evaluation_report(transactions(spark, sf), workspace(spark, "reports"), STAMP_AT))
 
 
 @query("k10_repair_csv")
@@ -221,18 +243,6 @@ def repair_csv(spark, sf):
     )
 
 
-def jobs_daily(tx: DataFrame, folder: str) -> dict[str, str]:
-    from riskstream.jobs import write_daily_report
-
-    return write_daily_report(tx, folder, STAMP_AT)
-
-
-def jobs_evaluation(tx: DataFrame, folder: str) -> dict[str, str]:
-    from riskstream.jobs import write_evaluation_report
-
-    return write_evaluation_report(tx, folder, STAMP_AT)
-
-
 @query("k13_publish_messages")
 def publish(spark, sf):
     events = derived.payment_events(spark, sf).drop("n", "ml_probability")
@@ -345,7 +355,7 @@ def complete(spark, sf):
 
 
 def _missing(spark, sf) -> DataFrame:
-    return repair.missing_alerts(derived.transactions(spark, sf), derived.lossy_alerts(spark, sf))
+    return repair.missing_alerts(transactions(spark, sf), lossy_alerts(spark, sf))
 
 
 REGISTRY["p13_repair_alert_rows"] = _over(_missing, lambda missing: projections.repair_alert_rows(missing, _stamp()))
@@ -354,7 +364,7 @@ REGISTRY["p14_repair_report"] = _over(_missing, lambda missing: repair.repair_re
 
 @query("p14_repair_report_none")
 def nothing_missing(spark, sf):
-    missing = repair.missing_alerts(derived.transactions(spark, sf), derived.fraud_alerts(spark, sf))
+    missing = repair.missing_alerts(transactions(spark, sf), fraud_alerts(spark, sf))
     return repair.repair_report(missing, _stamp())
 
 
@@ -385,28 +395,28 @@ def _filtered(source, condition, *columns) -> Query:
 
 
 REGISTRY["f02_alertable"] = _filtered(
-    derived.transactions, where.is_alertable, "transaction_id", "transaction_status"
+    transactions, where.is_alertable, "transaction_id", "transaction_status"
 )
 REGISTRY["f03_selected_statuses"] = _filtered(
-    derived.transactions, lambda: where.status_in(["NORMAL", "FRAUD"]), "transaction_id", "transaction_status"
+    transactions, lambda: where.status_in(["NORMAL", "FRAUD"]), "transaction_id", "transaction_status"
 )
 REGISTRY["f03_no_selection"] = _filtered(
-    derived.transactions, lambda: where.status_in([]), "transaction_id", "transaction_status"
+    transactions, lambda: where.status_in([]), "transaction_id", "transaction_status"
 )
 REGISTRY["f04_labelled"] = _filtered(
-    derived.damaged_transactions, where.is_labelled, "transaction_id", "actual_label"
+    damaged_transactions, where.is_labelled, "transaction_id", "actual_label"
 )
 SCORES = ("final_score", "ml_probability", "behavior_score", "detection_method")
 REGISTRY["f05_scores_present"] = _over(
-    derived.damaged_transactions, lambda tx: tx.dropna(subset=SCORES).select("transaction_id", *SCORES)
+    damaged_transactions, lambda tx: tx.dropna(subset=SCORES).select("transaction_id", *SCORES)
 )
-REGISTRY["f06_fraud_only"] = _filtered(derived.transactions, where.is_fraud, "transaction_id")
+REGISTRY["f06_fraud_only"] = _filtered(transactions, where.is_fraud, "transaction_id")
 REGISTRY["f07_by_class"] = _filtered(derived.labelled_rows, lambda: where.in_class(1), "Time", LABEL)
 
 
 @query("f08_faulty_rows")
 def faulty_rows(spark, sf):
-    tx = derived.damaged_transactions(spark, sf)
+    tx = damaged_transactions(spark, sf)
     found = [F.when(faulty(), name) for name, faulty in quality.ROW_CHECKS.items()]
     checks = F.explode(F.array_compact(F.array(*found))).alias("check_name")
     return tx.select("device_id", "ip_address", checks)
@@ -623,7 +633,7 @@ TRANSACTION_PLANS = {
     "x01_daily_rollup": daily.daily_rollup,
 }
 for _name, _plan in TRANSACTION_PLANS.items():
-    REGISTRY[_name] = _over(derived.transactions, _plan)
+    REGISTRY[_name] = _over(transactions, _plan)
 
 
 @query("a17_table_counts")
@@ -631,8 +641,8 @@ def table_counts(spark, sf):
     return _stored_counts(_batch_store(spark, sf))
 
 
-REGISTRY["a18_duplicated_ids"] = _over(derived.damaged_transactions, reconcile.duplicated_ids)
-REGISTRY["l04_latest_alerts"] = _over(derived.fraud_alerts, dashboard.latest_alerts)
+REGISTRY["a18_duplicated_ids"] = _over(damaged_transactions, reconcile.duplicated_ids)
+REGISTRY["l04_latest_alerts"] = _over(fraud_alerts, dashboard.latest_alerts)
 REGISTRY["l06_newest_missing_alerts"] = _missing
 
 
@@ -650,9 +660,7 @@ REGISTRY["q19_quality_report"] = _tx_and_alerts(lambda tx, alerts: quality.quali
 
 @query("q19_quality_gate")
 def quality_gate(spark, sf):
-    report = quality.quality_report(
-        derived.damaged_transactions(spark, sf), derived.lossy_alerts(spark, sf), _stamp()
-    )
+    report = REGISTRY["q19_quality_report"](spark, sf)
     try:
         quality.enforce(report)
         failed = False
@@ -689,9 +697,8 @@ def restarted_stream(spark, sf):
 
 @query("t02_fraud_timeline")
 def timeline(spark, sf):
-    folder, counts = workspace(spark, "transactions"), workspace(spark, "timeline")
-    derived.transactions(spark, sf).repartition(4).write.parquet(folder)
-    stream = spark.readStream.schema(TRANSACTIONS).option("maxFilesPerTrigger", 2).parquet(folder)
+    counts = workspace(spark, "timeline")
+    stream = _sound_store(spark, sf).follow("transactions", files_per_batch=16)
     start_timeline(
         fraud_timeline(stream), counts, workspace(spark, "checkpoint"), availableNow=True
     ).awaitTermination()
@@ -700,7 +707,7 @@ def timeline(spark, sf):
 
 @query("t03_drop_duplicates")
 def drop_duplicates(spark, sf):
-    unique = keep_first(derived.damaged_transactions(spark, sf), order=("processed_at",))
+    unique = keep_first(damaged_transactions(spark, sf), order=("processed_at",))
     return unique.select("transaction_id")
 
 
@@ -725,4 +732,4 @@ def user_dimension(spark, sf):
     )
 
 
-REGISTRY["x04_surrogate_keys"] = _over(derived.fraud_alerts, lambda a: a.select("alert_id", "transaction_id"))
+REGISTRY["x04_surrogate_keys"] = _over(fraud_alerts, lambda a: a.select("alert_id", "transaction_id"))

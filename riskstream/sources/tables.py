@@ -21,6 +21,14 @@ TABLES = {
 DATED_BY = {"transactions": "transaction_timestamp"}
 
 
+def _stored_schema(table: str) -> T.StructType:
+    """Declared columns plus the folder columns."""
+    folders = [T.StructField("run_id", T.StringType())]
+    if table in DATED_BY:
+        folders.append(T.StructField("event_date", T.DateType()))
+    return T.StructType([*TABLES[table].fields, *folders])
+
+
 class TableStore:
     """Append-only tables below one folder, each written in replaceable runs.
 
@@ -47,11 +55,8 @@ class TableStore:
         ``since`` keeps event dates from that day on, by partition for dated tables.
         """
         columns = TABLES[table]
-        stored = T.StructType([*columns.fields, T.StructField("run_id", T.StringType())])
-        if table in DATED_BY:
-            stored = stored.add("event_date", T.DateType())
         try:
-            rows = self.spark.read.schema(stored).parquet(self.path(table))
+            rows = self.spark.read.schema(_stored_schema(table)).parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -64,20 +69,29 @@ class TableStore:
             rows = rows.filter(F.col("run_id") != other_than_run)
         return rows.select(*columns.names)
 
+    def follow(self, table: str, files_per_batch: int | None = None) -> DataFrame:
+        """The table as a stream of the files its runs add."""
+        reader = self.spark.readStream.schema(_stored_schema(table))
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        return reader.parquet(self.path(table)).select(*TABLES[table].names)
+
     def replace_run(self, table: str, rows: DataFrame, run_id: str) -> None:
-        """Write ``rows`` as the run's whole content.
+        """Write ``rows`` as the run's whole content, dated tables in one folder per event date.
 
-        Every task writes its own files, also within one date, so a date that holds most of a
-        batch is not funnelled into one writer.
+        For those the rows are rebalanced by date first: adaptive execution merges the small
+        dates and splits a date that holds most of the batch over many writers. Without it the
+        hint would be a plain hash by date, so the rows are then written as they lie.
         """
         rows = rows.select(*TABLES[table].names)
-        dated = DATED_BY.get(table)
-        if dated:
-            rows = rows.withColumn("event_date", F.to_date(dated))
-        writer = rows.write.mode("overwrite")
-        if dated:
-            writer = writer.partitionBy("event_date")
-        writer.parquet(f"{self.path(table)}/run_id={run_id}")
+        folder = f"{self.path(table)}/run_id={run_id}"
+        if table not in DATED_BY:
+            rows.write.mode("overwrite").parquet(folder)
+            return
+        rows = rows.withColumn("event_date", F.to_date(DATED_BY[table]))
+        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            rows = rows.hint("rebalance", "event_date")
+        rows.write.mode("overwrite").partitionBy("event_date").parquet(folder)
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
