@@ -7,14 +7,17 @@ its own SELECT. Numbers written with an exponent are doubles, as they must be fo
 from __future__ import annotations
 
 SIGNALS = [f"V{i}" for i in range(1, 29)]
+# Decimals are compared as doubles.
+AMOUNT = "CAST(amount AS DOUBLE) AS amount"
+PROBABILITY = "CAST(ml_probability AS DOUBLE) AS ml_probability"
 TX_COLUMNS = (
-    "transaction_id, user_id, amount, currency, country, usual_country, merchant_category, payment_method, "
-    "device_id, ip_address, transaction_timestamp, transaction_status, risk_score, ml_probability, "
+    f"transaction_id, user_id, {AMOUNT}, currency, country, usual_country, merchant_category, payment_method, "
+    f"device_id, ip_address, transaction_timestamp, transaction_status, risk_score, {PROBABILITY}, "
     "behavior_score, final_score, detection_method, actual_label, processed_at"
 )
 DETAILS = (
-    "transaction_id, user_id, amount, currency, country, usual_country, merchant_category, payment_method, "
-    "risk_score, ml_probability, behavior_score, final_score, transaction_status, actual_label, "
+    f"transaction_id, user_id, {AMOUNT}, currency, country, usual_country, merchant_category, payment_method, "
+    f"risk_score, {PROBABILITY}, behavior_score, final_score, transaction_status, actual_label, "
     "detection_method, transaction_timestamp, processed_at"
 )
 ALERT_COLUMNS = "alert_id, transaction_id, user_id, risk_score, alert_type, message, status, created_at"
@@ -153,16 +156,17 @@ def _mean(name: str) -> str:
 
 
 def _peak(name: str) -> str:
-    return f"coalesce(max({name}), 0) AS max_{name}"
+    top = f"coalesce(max({name}), 0)"
+    return f"CAST({top} AS {'DOUBLE' if name == 'ml_probability' else 'INTEGER'}) AS max_{name}"
 
 
 def _n_status(*statuses: str) -> str:
-    return ", ".join(f"count_if(transaction_status = '{s}') AS total_{s.lower()}" for s in statuses)
+    return ", ".join(f"COUNT(*) FILTER (WHERE transaction_status = '{s}') AS total_{s.lower()}" for s in statuses)
 
 
 def _fraud_money(alias: str) -> str:
     return (
-        f"CAST(coalesce(SUM(CASE WHEN transaction_status = 'FRAUD' THEN amount END), 0) AS DECIMAL(22,2)) AS {alias}"
+        f"CAST(coalesce(SUM(CASE WHEN transaction_status = 'FRAUD' THEN amount END), 0) AS DOUBLE) AS {alias}"
     )
 
 
@@ -178,8 +182,8 @@ _KPI = ", ".join(
 )
 
 _CONFUSION = """
-  SELECT count_if(actual_label = 1 AND hit) AS true_positives, count_if(actual_label = 0 AND hit) AS false_positives,
-         count_if(actual_label = 0 AND NOT hit) AS true_negatives, count_if(actual_label = 1 AND NOT hit) AS false_negatives
+  SELECT COUNT(*) FILTER (WHERE actual_label = 1 AND hit) AS true_positives, COUNT(*) FILTER (WHERE actual_label = 0 AND hit) AS false_positives,
+         COUNT(*) FILTER (WHERE actual_label = 0 AND NOT hit) AS true_negatives, COUNT(*) FILTER (WHERE actual_label = 1 AND NOT hit) AS false_negatives
   FROM (SELECT actual_label, transaction_status <> 'NORMAL' AS hit FROM tx)"""
 
 _FAULTS = {
@@ -222,13 +226,13 @@ CHECK_ORDER = (
 
 
 def _check(name: str) -> str:
-    return _KEYED.get(name) or f"SELECT count_if({_FAULTS[name]}) AS issue_count FROM damaged"
+    return _KEYED.get(name) or f"SELECT COUNT(*) FILTER (WHERE {_FAULTS[name]}) AS issue_count FROM damaged"
 
 
 _REPORT = " UNION ALL ".join(f"SELECT '{name}' AS check_name, issue_count FROM ({_check(name)})" for name in CHECK_ORDER)
 
 _MISSING = f"""
-  SELECT transaction_id, user_id, amount, currency, country, usual_country, merchant_category, payment_method,
+  SELECT transaction_id, user_id, {AMOUNT}, currency, country, usual_country, merchant_category, payment_method,
          risk_score, transaction_status, transaction_timestamp, processed_at
   FROM tx WHERE {ALERTING} AND NOT EXISTS (SELECT 1 FROM lossy l WHERE l.transaction_id = tx.transaction_id)"""
 
@@ -282,7 +286,7 @@ SELECTS: dict[str, str] = {
     "k07_daily_csv": f"""
       SELECT 'fraud_summary' AS report, 1 AS row_count
       UNION ALL SELECT 'fraud_status_distribution', COUNT(DISTINCT transaction_status) FROM tx
-      UNION ALL SELECT 'fraud_details', count_if({ALERTING}) FROM tx
+      UNION ALL SELECT 'fraud_details', COUNT(*) FILTER (WHERE {ALERTING}) FROM tx
       UNION ALL SELECT 'fraud_top_countries', least(20, COUNT(DISTINCT country)) FROM tx WHERE {ALERTING}""",
     "k08_quality_csv": f"""
       SELECT check_name, CASE WHEN issue_count = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, issue_count
@@ -332,7 +336,7 @@ SELECTS: dict[str, str] = {
     "p14_repair_report": f"""
       SELECT *, 'REPAIRED' AS repair_status, {STAMP} AS repaired_at, COUNT(*) OVER () AS repaired_count_total
       FROM ({_MISSING})""",
-    "p14_repair_report_none": f"SELECT 'NO_MISSING_ALERTS' AS status, 0 AS repaired_count, {STAMP} AS checked_at",
+    "p14_repair_report_none": f"SELECT 'NO_MISSING_ALERTS' AS status, CAST(0 AS BIGINT) AS repaired_count, {STAMP} AS checked_at",
     "p15_profile_enrichment": """
       SELECT event_id, user_id, value AS amount, usual_country, user_avg_amount,
              value / greatest(user_avg_amount, 1e0) AS amount_vs_avg_user
@@ -350,8 +354,8 @@ SELECTS: dict[str, str] = {
     ),
     "f03_no_selection": "SELECT transaction_id, transaction_status FROM tx",
     "f04_labelled": "SELECT transaction_id, actual_label FROM damaged WHERE actual_label IS NOT NULL",
-    "f05_scores_present": """
-      SELECT transaction_id, final_score, ml_probability, behavior_score, detection_method FROM damaged
+    "f05_scores_present": f"""
+      SELECT transaction_id, final_score, {PROBABILITY}, behavior_score, detection_method FROM damaged
       WHERE final_score IS NOT NULL AND ml_probability IS NOT NULL AND behavior_score IS NOT NULL
         AND detection_method IS NOT NULL""",
     "f06_fraud_only": "SELECT transaction_id FROM tx WHERE transaction_status = 'FRAUD'",
@@ -440,8 +444,8 @@ SELECTS: dict[str, str] = {
         "SELECT actual_label, transaction_status, COUNT(*) AS total FROM tx GROUP BY actual_label, transaction_status"
     ),
     "a14_label_status_matrix_wide": """
-      SELECT actual_label, count_if(transaction_status = 'NORMAL') AS "NORMAL",
-             count_if(transaction_status = 'SUSPICIOUS') AS "SUSPICIOUS", count_if(transaction_status = 'FRAUD') AS "FRAUD"
+      SELECT actual_label, COUNT(*) FILTER (WHERE transaction_status = 'NORMAL') AS "NORMAL",
+             COUNT(*) FILTER (WHERE transaction_status = 'SUSPICIOUS') AS "SUSPICIOUS", COUNT(*) FILTER (WHERE transaction_status = 'FRAUD') AS "FRAUD"
       FROM tx GROUP BY actual_label""",
     "a15_label_profile": f"""
       SELECT actual_label, COUNT(*) AS total, {_mean('ml_probability')}, {_mean('final_score')}, {_peak('final_score')}
@@ -460,7 +464,7 @@ SELECTS: dict[str, str] = {
              {STAMP} AS checked_at
       FROM ({_REPORT})""",
     "q19_quality_gate": f"""
-      SELECT count_if(issue_count > 0) > 0 AS gate_failed FROM ({_REPORT})""",
+      SELECT COUNT(*) FILTER (WHERE issue_count > 0) > 0 AS gate_failed FROM ({_REPORT})""",
     # top-k and sorts
     "l01_alert_details": f"SELECT {DETAILS} FROM tx WHERE {ALERTING}",
     "l02_top_predictions": f"""
@@ -468,8 +472,8 @@ SELECTS: dict[str, str] = {
       ORDER BY final_score DESC, transaction_id LIMIT 100""",
     "l03_latest_transactions": f"SELECT {DETAILS} FROM tx ORDER BY processed_at DESC, transaction_id LIMIT 30",
     "l04_latest_alerts": f"SELECT {ALERT_COLUMNS} FROM alerts ORDER BY created_at DESC, transaction_id LIMIT 30",
-    "l05_latest_checked": """
-      SELECT transaction_id, amount, country, usual_country, ml_probability, behavior_score, final_score,
+    "l05_latest_checked": f"""
+      SELECT transaction_id, {AMOUNT}, country, usual_country, {PROBABILITY}, behavior_score, final_score,
              transaction_status, actual_label FROM tx ORDER BY processed_at DESC, transaction_id LIMIT 20""",
     "l06_newest_missing_alerts": _MISSING,
     # streaming
