@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskstream.functions.predicates import is_alertable
+from riskstream.operators.lookup import ROWS_PER_SLICE, lookup
+from riskstream.session import durable
 
 
 def _per_id(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -44,19 +46,42 @@ def key_checks(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
     )
 
 
-def alerts_without_transaction(alerts: DataFrame, transactions: DataFrame) -> DataFrame:
-    """The alert rows themselves whose id is in no transaction, null ids included."""
-    return alerts.join(transactions.select("transaction_id").distinct(), "transaction_id", "left_anti")
+def rows_without_partner(rows: DataFrame, partners: DataFrame, **lookup_options) -> DataFrame:
+    """Rows whose transaction id is not among the partners', null ids included.
 
+    Ids of both sides are counted together, which collapses repeated ids before the shuffle and
+    moves no other column. The ids without a partner are written to the shared folder, usually a
+    few, and the rows are then fetched by a lookup: past a broadcast of those ids, or, when they
+    are many, by a join that spreads the ids with very many rows, known from the same counts.
+    """
+    slice_rows = lookup_options.get("rows_per_slice", ROWS_PER_SLICE)
+    one, none = F.lit(1), F.lit(0)
+    counted = (
+        rows.select("transaction_id", one.alias("own"), none.alias("other"))
+        .unionByName(partners.select("transaction_id", none.alias("own"), one.alias("other")))
+        .filter(F.col("transaction_id").isNotNull())
+        .groupBy("transaction_id")
+        .agg(F.sum("own").alias("key_rows"), (F.sum("other") == 0).alias("_lonely"))
+    )
+    kept = durable(counted.filter(F.col("_lonely") | (F.col("key_rows") > slice_rows)), "reconcile")
+    found = lookup(
+        rows,
+        kept.filter("_lonely").select("transaction_id", "_lonely"),
+        "transaction_id",
+        how="left",
+        key_counts=kept.select("transaction_id", "key_rows"),
+        **lookup_options,
+    )
+    lonely = F.col("transaction_id").isNull() | F.col("_lonely").isNotNull()
+    return found.filter(lonely).select(*rows.columns)
 
-def transactions_without_alert(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Alertable transaction rows that have no alert, null ids included.
 
-    The alert ids are made distinct before the shuffle; a transaction id that repeats heavily
-    is split by the adaptive skew join, which may split the left side of an anti-join.
-    """
-    due = transactions.filter(is_alertable())
-    return due.join(alerts.select("transaction_id").distinct(), "transaction_id", "left_anti")
+def alerts_without_transaction(alerts: DataFrame, transactions: DataFrame, **lookup_options) -> DataFrame:
+    return rows_without_partner(alerts, transactions, **lookup_options)
+
+
+def transactions_without_alert(transactions: DataFrame, alerts: DataFrame, **lookup_options) -> DataFrame:
+    return rows_without_partner(transactions.filter(is_alertable()), alerts, **lookup_options)
 
 
 def duplicated_ids(transactions: DataFrame) -> DataFrame:
