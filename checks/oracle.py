@@ -496,4 +496,7 @@ SELECTS: dict[str, str] = {
 
 
 def statements() -> dict[str, str]:
-    return {name: f"{BASE} {select}" for name, select in SELECTS.items()}
+    from checks.queries import FROM_CUBE
+
+    selects = {**SELECTS, **{f"{name}_from_cube": SELECTS[name] for name in FROM_CUBE}}
+    return {name: f"{BASE} {select}" for name, select in selects.items()}

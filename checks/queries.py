@@ -16,6 +16,7 @@ from riskstream.operators import quality, rebalance, reconcile, repair
 from riskstream.operators.dedupe import keep_first
 from riskstream.operators.enrich import with_profile
 from riskstream.plans import daily, dashboard, evaluation, training, verification
+from riskstream.plans.snapshot import snapshot
 from riskstream.schemas import LABEL, MODEL_FEATURES, SIGNAL_FIELDS
 from riskstream.session import workspace
 from riskstream.sinks import reports
@@ -370,9 +371,10 @@ def nothing_missing(spark, sf):
 
 @query("p15_profile_enrichment")
 def enrichment(spark, sf):
-    spend = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", F.col("value").alias("amount"))
+    spend = derived.input_table(spark, sf, "events").select("event_id", "user_id", F.col("value").alias("amount"))
     profiles = derived.user_profiles(spark, sf).withColumnRenamed("user_avg_amount", "avg_amount")
-    return with_profile(spend, profiles, spread_by="event_id")
+    customers = derived.input_table(spark, sf, "customer").count()
+    return with_profile(spend, profiles, dim_rows=customers, spread_by="event_id")
 
 
 # ---------------------------------------------------------------- filters
@@ -636,6 +638,42 @@ for _name, _plan in TRANSACTION_PLANS.items():
     REGISTRY[_name] = _over(transactions, _plan)
 
 
+# The same breakdowns, all from one pass over the transactions.
+FROM_CUBE = {
+    "a01_daily_summary": "daily_summary",
+    "a02_status_breakdown": "status_breakdown",
+    "a03_top_alert_countries": "top_alert_countries",
+    "a04_kpi_block": "kpi_block",
+    "a06_top_countries": "top_countries",
+    "a07_final_score_histogram": "final_score_histogram",
+    "a08_probability_histogram": "probability_histogram",
+    "a09_behavior_distribution": "behavior_distribution",
+    "a10_method_distribution": "method_distribution",
+    "a11_confusion": "confusion",
+    "a13_label_status_breakdown": "label_status_breakdown",
+    "a14_label_status_matrix": "label_status_matrix",
+    "a15_label_profile": "label_profile",
+}
+_SNAPSHOTS: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _panel(name: str) -> Query:
+    """One breakdown of a snapshot; the cube is written once per application and data folder."""
+    statuses = ("SUSPICIOUS", "FRAUD") if name == "kpi_block" else ()
+
+    def read(spark, sf) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf, statuses)
+        if key not in _SNAPSHOTS:
+            _SNAPSHOTS[key] = snapshot(transactions(spark, sf), statuses)
+        return _SNAPSHOTS[key][name]
+
+    return read
+
+
+for _name, _panel_name in FROM_CUBE.items():
+    REGISTRY[f"{_name}_from_cube"] = _panel(_panel_name)
+
+
 @query("a17_table_counts")
 def table_counts(spark, sf):
     return _stored_counts(_batch_store(spark, sf))

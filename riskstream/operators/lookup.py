@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskstream.session import durable
+
 # A profile row is well under 200 bytes in memory, so this bound keeps a broadcast below 200 MB.
 BROADCAST_ROWS = 1_000_000
 # Rows of one key that one task may handle before the key is spread over several tasks.
@@ -13,8 +15,11 @@ NULL_KEY_SLICES = 4096
 
 
 def fits_broadcast(dim: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``dim`` has at most ``limit`` rows, counting no further than that."""
-    return dim.limit(limit + 1).count() <= limit
+    """Whether ``dim`` has at most ``limit`` rows.
+
+    A plain count: every task sends one number. A limit before it would send rows to one task.
+    """
+    return dim.count() <= limit
 
 
 def lookup(
@@ -31,11 +36,11 @@ def lookup(
     """Join ``fact`` to ``dim`` (one row per ``key``) without a task that holds a hot key.
 
     * ``dim`` within ``broadcast_rows``: broadcast, ``fact`` is not shuffled. ``dim_rows`` is an
-      upper bound the caller already knows; otherwise ``dim`` is counted up to the limit.
+      upper bound the caller already knows; otherwise ``dim`` is counted.
     * beyond it: both sides are shuffled on ``(key, slice)``. A key with more than
       ``rows_per_slice`` rows gets one slice per ``rows_per_slice``; its ``dim`` row is repeated
-      once per slice, and its ``fact`` rows are dealt by the hash of ``spread_by``. All other
-      keys have the single slice 0. Every row still meets exactly its own ``dim`` row.
+      once per slice, and its ``fact`` rows are dealt by the hash of ``spread_by``, a unique
+      column, or of the whole row. All other keys have the single slice 0. Every row still meets exactly its own ``dim`` row.
 
     The table of hot keys has at most ``rows / rows_per_slice`` rows, so it is broadcast only
     up to ``broadcast_rows * rows_per_slice`` fact rows (2 * 10**12 by default) and left to
@@ -47,12 +52,14 @@ def lookup(
 
     if key_counts is None:
         key_counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
-    hot = key_counts.filter(F.col("key_rows") > rows_per_slice).select(
-        key, F.ceil(F.col("key_rows") / rows_per_slice).cast("int").alias("_slices")
-    )
+    slices_needed = F.ceil(F.col("key_rows") / rows_per_slice).cast("int").alias("_slices")
+    # Written once, as both sides use it and its size is checked.
+    hot = durable(key_counts.filter(F.col("key_rows") > rows_per_slice).select(key, slices_needed), "hot-keys")
     if fits_broadcast(hot, broadcast_rows):
         hot = F.broadcast(hot)
-    spread = F.xxhash64(spread_by) if spread_by else F.xxhash64(*fact.columns)
+    # Exact copies of a row hash alike, so the map partition takes part unless the caller names a
+    # unique column. A retried task has the same number and rows, hence the same slices.
+    spread = F.xxhash64(spread_by) if spread_by else F.xxhash64(*fact.columns, F.spark_partition_id())
     # Rows without a key match nothing in an outer join, so any slice will do for them.
     slices = F.when(F.col(key).isNull(), NULL_KEY_SLICES).otherwise(F.coalesce(F.col("_slices"), F.lit(1)))
     sliced_fact = fact.join(hot, key, "left").withColumn("_slice", F.pmod(spread, slices).cast("int"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.functions.measures import fraud_money, mean, peak, rows, rows_with_status
+from riskstream.functions.measures import ROWS, RowMeasures
 from riskstream.functions.predicates import is_alertable
 from riskstream.schemas import ALL_STATUSES, FRAUD, PROBABILITY, SUSPICIOUS
 
@@ -32,38 +32,38 @@ ALERT_DETAILS = (
 # --- end of fixed values ---
 
 
-def summary_measures() -> list:
+def summary_measures(m: RowMeasures = ROWS) -> list:
     return [
-        rows("total_transactions"),
-        *[rows_with_status(status) for status in ALL_STATUSES],
-        fraud_money("total_fraud_amount"),
-        mean("ml_probability"),
-        mean("behavior_score"),
-        mean("final_score"),
+        m.rows("total_transactions"),
+        *[m.rows_with_status(status) for status in ALL_STATUSES],
+        m.fraud_money("total_fraud_amount"),
+        m.mean("ml_probability"),
+        m.mean("behavior_score"),
+        m.mean("final_score"),
     ]
 
 
-def daily_summary(transactions: DataFrame) -> DataFrame:
-    return transactions.agg(*summary_measures(), peak("ml_probability", PROBABILITY), peak("final_score"))
+def daily_summary(transactions: DataFrame, m: RowMeasures = ROWS) -> DataFrame:
+    return transactions.agg(*summary_measures(m), m.peak("ml_probability", PROBABILITY), m.peak("final_score"))
 
 
-def status_breakdown(transactions: DataFrame) -> DataFrame:
+def status_breakdown(transactions: DataFrame, m: RowMeasures = ROWS) -> DataFrame:
     return (
         transactions.groupBy("transaction_status")
-        .agg(rows("total"), mean("ml_probability"), mean("final_score"), peak("final_score"))
+        .agg(m.rows("total"), m.mean("ml_probability"), m.mean("final_score"), m.peak("final_score"))
         .orderBy("transaction_status")
     )
 
 
-def top_alert_countries(transactions: DataFrame, top: int = 20) -> DataFrame:
+def top_alert_countries(transactions: DataFrame, top: int = 20, m: RowMeasures = ROWS) -> DataFrame:
     return (
         transactions.filter(is_alertable())
         .groupBy("country")
         .agg(
-            rows("total_alerts"),
-            rows_with_status(FRAUD),
-            rows_with_status(SUSPICIOUS),
-            fraud_money("fraud_amount"),
+            m.rows("total_alerts"),
+            m.rows_with_status(FRAUD),
+            m.rows_with_status(SUSPICIOUS),
+            m.fraud_money("fraud_amount"),
         )
         .orderBy(F.col("total_alerts").desc(), "country")
         .limit(top)
@@ -81,9 +81,9 @@ def daily_rollup(transactions: DataFrame) -> DataFrame:
     return (
         transactions.groupBy(F.to_date("transaction_timestamp").alias("report_date"))
         .agg(
-            rows("total_transactions"),
-            *[rows_with_status(status) for status in ALL_STATUSES],
-            fraud_money("total_fraud_amount"),
+            ROWS.rows("total_transactions"),
+            *[ROWS.rows_with_status(status) for status in ALL_STATUSES],
+            ROWS.fraud_money("total_fraud_amount"),
         )
         .orderBy("report_date")
     )

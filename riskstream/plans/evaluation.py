@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.functions.measures import mean, peak, rows
+from riskstream.functions.measures import ROWS, RowMeasures
 from riskstream.functions.predicates import is_alertable, is_labelled
 from riskstream.schemas import ALL_STATUSES, NORMAL
 
@@ -31,7 +31,7 @@ PREDICTION_DETAILS = (
 # --- end of fixed values ---
 
 
-def confusion(transactions: DataFrame) -> DataFrame:
+def confusion(transactions: DataFrame, m: RowMeasures = ROWS) -> DataFrame:
     """One row of counts; flagged means suspicious or fraud. All zero without labelled rows."""
     flagged, passed = is_alertable(), F.col("transaction_status") == NORMAL
     cells = {
@@ -41,7 +41,7 @@ def confusion(transactions: DataFrame) -> DataFrame:
         "false_negatives": (1, passed),
     }
     return transactions.filter(is_labelled()).agg(
-        *[F.count_if((F.col("actual_label") == label) & outcome).alias(name) for name, (label, outcome) in cells.items()]
+        *[m.count_where((F.col("actual_label") == label) & outcome).alias(name) for name, (label, outcome) in cells.items()]
     )
 
 
@@ -49,12 +49,12 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def confusion_metrics(transactions: DataFrame, evaluated_at: Column | None = None) -> DataFrame:
+def confusion_metrics(transactions: DataFrame, evaluated_at: Column | None = None, m: RowMeasures = ROWS) -> DataFrame:
     """Counts with precision, recall, F1 and accuracy to four places; empty ratios are 0.0."""
     tp, fp, tn, fn = (
         F.col(c) for c in ("true_positives", "false_positives", "true_negatives", "false_negatives")
     )
-    ratios = confusion(transactions).withColumns(
+    ratios = confusion(transactions, m).withColumns(
         {
             "precision": _ratio(tp, tp + fp),
             "recall": _ratio(tp, tp + fn),
@@ -75,36 +75,36 @@ def confusion_metrics(transactions: DataFrame, evaluated_at: Column | None = Non
     )
 
 
-def label_status_breakdown(transactions: DataFrame) -> DataFrame:
+def label_status_breakdown(transactions: DataFrame, m: RowMeasures = ROWS) -> DataFrame:
     return (
         transactions.filter(is_labelled())
         .groupBy("actual_label", "transaction_status")
         .agg(
-            rows("total"),
-            mean("ml_probability"),
-            mean("behavior_score"),
-            mean("final_score"),
-            peak("final_score"),
+            m.rows("total"),
+            m.mean("ml_probability"),
+            m.mean("behavior_score"),
+            m.mean("final_score"),
+            m.peak("final_score"),
         )
         .orderBy("actual_label", "transaction_status")
     )
 
 
-def label_status_matrix(transactions: DataFrame, wide: bool = False) -> DataFrame:
+def label_status_matrix(transactions: DataFrame, wide: bool = False, m: RowMeasures = ROWS) -> DataFrame:
     """Counts per label and status; ``wide`` gives one column per status."""
     labelled = transactions.filter(is_labelled())
     if wide:
-        counted = labelled.groupBy("actual_label").pivot("transaction_status", list(ALL_STATUSES)).count()
-        return counted.na.fill(0).orderBy("actual_label")
-    counted = labelled.groupBy("actual_label", "transaction_status").agg(rows("total"))
+        pivoted = labelled.groupBy("actual_label").pivot("transaction_status", list(ALL_STATUSES))
+        return pivoted.agg(m.rows("total")).na.fill(0).orderBy("actual_label")
+    counted = labelled.groupBy("actual_label", "transaction_status").agg(m.rows("total"))
     return counted.orderBy("actual_label", "transaction_status")
 
 
-def label_profile(transactions: DataFrame) -> DataFrame:
+def label_profile(transactions: DataFrame, m: RowMeasures = ROWS) -> DataFrame:
     return (
         transactions.filter(is_labelled())
         .groupBy("actual_label")
-        .agg(rows("total"), mean("ml_probability"), mean("final_score"), peak("final_score"))
+        .agg(m.rows("total"), m.mean("ml_probability"), m.mean("final_score"), m.peak("final_score"))
         .orderBy("actual_label")
     )
 

@@ -22,8 +22,17 @@ CATEGORIES = ("Crypto", "Luxury", "Grocery", "Restaurant", "Electronics", "Trans
 PAYMENT_METHODS = ("Credit Card", "Debit Card", "Mobile Wallet", "Bank Transfer")
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns used of each input table.
+INPUTS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "embeddings": "vec_id bigint, embedding array<float>",
+}
+
+
+def input_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(INPUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _cycle(n: Column, values) -> Column:
@@ -50,18 +59,18 @@ def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     The average is an exact decimal sum over a count, so it is the same for any partitioning.
     Spend is added up before the shuffle, whatever share of the events a user has.
     """
-    nations = _table(spark, sf_dir, "nation")
+    nations = input_table(spark, sf_dir, "nation")
     usual = nations.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("usual_country"))
     following = nations.select(F.col("n_nationkey").alias("next_key"), F.col("n_name").alias("next_country"))
     spend = (
-        _table(spark, sf_dir, "events")
+        input_table(spark, sf_dir, "events")
         .groupBy("user_id")
         .agg(
             F.sum(F.col("value").cast(T.DecimalType(12, 2))).cast("double").alias("spent"),
             F.count(F.lit(1)).alias("key_rows"),
         )
     )
-    customers = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+    customers = input_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     return (
         spend.join(customers, "user_id")
         .withColumn("next_key", (F.col("c_nationkey") + 1) % 25)
@@ -80,13 +89,12 @@ def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per event row, with a supplied probability, not yet scored."""
     profiles = user_profiles(spark, sf_dir)
-    events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     joined = lookup(
-        events,
+        input_table(spark, sf_dir, "events"),
         profiles.drop("key_rows"),
         "user_id",
         # No more profiles than customers, and those are counted from file footers.
-        dim_rows=_table(spark, sf_dir, "customer").count(),
+        dim_rows=input_table(spark, sf_dir, "customer").count(),
         key_counts=profiles.select("user_id", "key_rows"),
         spread_by="event_id",
     )
@@ -216,7 +224,7 @@ def json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A labelled training table from the embedding vectors, with a planted signal in V1, V2."""
-    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    vectors = input_table(spark, sf_dir, "embeddings")
     fraud = F.col("vec_id") % 10 == 0
     shift = F.when(fraud, 0.3).otherwise(0.0)
 

@@ -4,10 +4,11 @@ from datetime import datetime
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from checks import queries
 from riskstream import jobs
-from riskstream.plans import daily, dashboard, evaluation
+from riskstream.plans import daily, dashboard, evaluation, snapshot
 from riskstream.schemas import TRANSACTIONS
 from riskstream.sinks import reports
 from riskstream.sources import derived
@@ -127,3 +128,50 @@ def test_jobs_over_a_store(spark, sf, tmp_path):
         "fraud_details",
         "fraud_top_countries",
     }
+
+
+def test_snapshot_panels_equal_the_direct_reports(spark, sf):
+    """Over damaged rows, so that nulls and odd values are in every dimension."""
+    rows = queries.damaged_transactions(spark, sf)
+    panels = snapshot.snapshot(rows, ["NORMAL", "FRAUD"])
+    direct = {name: plan(rows) for name, plan in snapshot.PANELS.items()}
+    direct |= {name: plan(rows, ["NORMAL", "FRAUD"]) for name, plan in snapshot.STATUS_PANELS.items()}
+    assert set(panels) == set(direct)
+    for name, expected in direct.items():
+        drop = "evaluated_at"
+        assert panels[name].dtypes == expected.dtypes, name
+        assert panels[name].drop(drop).collect() == expected.drop(drop).collect(), name
+
+
+def test_snapshot_scans_once(spark, sf):
+    plan = plan_of(snapshot.activity_cube(queries.transactions(spark, sf))).split("== Physical Plan ==")[1]
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert "partial_count" in plan
+
+
+def test_snapshot_of_empty_table(spark):
+    panels = snapshot.snapshot(spark.createDataFrame([], TRANSACTIONS))
+    assert panels["kpi_block"].first().total_transactions == 0
+    assert panels["confusion"].first().true_positives == 0
+
+
+def test_a_hot_date_is_written_by_several_tasks(spark, sf, tmp_path):
+    """Two thirds of the rows fall on one date; its files come from more than one writer."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        store = TableStore(spark, str(tmp_path))
+        hot = F.when(F.hash("transaction_id") % 3 == 0, F.col("transaction_timestamp")).otherwise(
+            F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+        )
+        rows = queries.transactions(spark, sf).withColumn("transaction_timestamp", hot)
+        rows = rows.unionByName(rows).unionByName(rows).unionByName(rows)
+        store.replace_run("transactions", rows, "batch-0")
+        files = list((tmp_path / "transactions" / "run_id=batch-0" / "event_date=2024-01-05").glob("*.parquet"))
+        assert len(files) > 1
+        assert store.read("transactions").count() == 4000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
