@@ -484,6 +484,7 @@ SELECTS: dict[str, str] = {
       SELECT date_trunc('minute', transaction_timestamp) AS minute, COUNT(*) AS fraud_count FROM tx
       WHERE transaction_status = 'FRAUD' GROUP BY minute""",
     "t03_drop_duplicates": "SELECT DISTINCT transaction_id FROM damaged",
+    "t03_drop_stored": f"SELECT transaction_id FROM tx WHERE {ALERTING}",
     "t03_stream_duplicates": f"SELECT {TX_COLUMNS} FROM ({_stored('streamed')})",
     # declared tables
     "x01_daily_rollup": f"""

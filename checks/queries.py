@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from riskstream.functions import cleaning, decision, projections, rules
 from riskstream.functions import predicates as where
 from riskstream.jobs import write_daily_report, write_evaluation_report
 from riskstream.operators import quality, rebalance, reconcile, repair
-from riskstream.operators.dedupe import keep_first
+from riskstream.operators.dedupe import drop_stored, keep_first
 from riskstream.operators.enrich import with_profile
 from riskstream.plans import daily, dashboard, evaluation, training, verification
 from riskstream.plans.snapshot import snapshot
@@ -60,7 +61,9 @@ def _over_both(source, other, plan) -> Query:
 def _batch_store(spark: SparkSession, sf: str) -> TableStore:
     """A store holding every payment, written as one run."""
     store = TableStore(spark, workspace(spark, "store"))
-    fan_out(derived.scored_events(spark, sf), store, "batch-0", fixed_point_messages=True)
+    scored = derived.scored_events(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    fan_out(scored, store, "batch-0", fixed_point_messages=True)
+    scored.unpersist()
     return store
 
 
@@ -189,7 +192,7 @@ def fan_out_counts(spark, sf):
 def empty_batch(spark, sf):
     store = TableStore(spark, workspace(spark, "store"))
     write = _writer(store)
-    messages = derived.json_messages(spark, sf)
+    messages = spark.read.text(_message_folder(spark, sf))
     write(messages, 0)
     write(messages.filter(F.lit(False)), 1)
     runs = spark.read.parquet(store.path("transactions")).groupBy("run_id")
@@ -749,6 +752,13 @@ def drop_duplicates(spark, sf):
     return unique.select("transaction_id")
 
 
+@query("t03_drop_stored")
+def drop_already_stored(spark, sf):
+    """All transactions against a store that already holds the normal ones."""
+    tx = transactions(spark, sf)
+    return drop_stored(tx, tx.filter("transaction_status = 'NORMAL'")).select("transaction_id")
+
+
 @query("t03_stream_duplicates")
 def stream_duplicates(spark, sf):
     """The message files twice over, in different batches; each id must be stored once."""

@@ -20,25 +20,25 @@ def keep_first(df: DataFrame, key: str = "transaction_id", order: Sequence[str]
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def drop_stored(
-    new: DataFrame,
-    stored: DataFrame,
-    key: str = "transaction_id",
-    new_is_small: bool | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+def stored_keys(
+    new: DataFrame, stored: DataFrame, key: str = "transaction_id", new_is_small: bool = False
 ) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``stored``.
+    """Keys of ``new`` that ``stored`` already has.
 
     ``stored`` is the long table. When the new rows are few it is only scanned, one column
-    wide, past a broadcast of their keys; otherwise both sides are shuffled once. A caller that
-    knows whether ``new`` has at most ``broadcast_rows`` rows says so in ``new_is_small``.
+    wide, past a broadcast of their keys; otherwise both sides are shuffled once.
     """
     new_keys = new.select(key).distinct()
-    stored_keys = stored.select(key)
-    if new_is_small is None:
-        new_is_small = fits_broadcast(new_keys, broadcast_rows)
     if new_is_small:
-        # The keys found are a subset of the broadcast ones, so they are as few.
-        found = stored_keys.join(F.broadcast(new_keys), key, "left_semi").distinct()
-        return new.join(F.broadcast(found), key, "left_anti")
-    return new.join(stored_keys.distinct(), key, "left_anti")
+        new_keys = F.broadcast(new_keys)
+    return stored.select(key).join(new_keys, key, "left_semi").distinct()
+
+
+def drop_stored(
+    new: DataFrame, stored: DataFrame, key: str = "transaction_id", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Rows of ``new`` whose key is not in ``stored``."""
+    small = fits_broadcast(new, broadcast_rows)
+    found = stored_keys(new, stored, key, small)
+    # The keys found are a subset of the new ones, so they are as few.
+    return new.join(F.broadcast(found) if small else found, key, "left_anti")

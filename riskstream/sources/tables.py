@@ -84,14 +84,16 @@ class TableStore:
         hint would be a plain hash by date, so the rows are then written as they lie.
         """
         rows = rows.select(*TABLES[table].names)
-        folder = f"{self.path(table)}/run_id={run_id}"
-        if table not in DATED_BY:
-            rows.write.mode("overwrite").parquet(folder)
-            return
-        rows = rows.withColumn("event_date", F.to_date(DATED_BY[table]))
-        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-            rows = rows.hint("rebalance", "event_date")
-        rows.write.mode("overwrite").partitionBy("event_date").parquet(folder)
+        dated = DATED_BY.get(table)
+        if dated:
+            rows = rows.withColumn("event_date", F.to_date(dated))
+            if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+                rows = rows.hint("rebalance", "event_date")
+        # Static mode, or a replay that has fewer dates than before would leave old ones behind.
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if dated:
+            writer = writer.partitionBy("event_date")
+        writer.parquet(f"{self.path(table)}/run_id={run_id}")
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

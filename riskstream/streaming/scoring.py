@@ -13,8 +13,8 @@ from riskstream.functions.cleaning import accepted_events, message_text, rejecte
 from riskstream.functions.decision import with_decision
 from riskstream.functions.projections import alert_rows, risk_score_rows, transaction_rows
 from riskstream.functions.rules import with_rule_scores
-from riskstream.operators.dedupe import drop_stored, keep_first
-from riskstream.operators.lookup import fits_broadcast
+from riskstream.operators.dedupe import keep_first, stored_keys
+from riskstream.operators.lookup import BROADCAST_ROWS
 from riskstream.sources.models import Scorer
 from riskstream.sources.tables import TableStore
 
@@ -26,18 +26,13 @@ def score_messages(messages: DataFrame, scorer: Scorer, processed_at: Column | N
 
 
 def fan_out(scored: DataFrame, store: TableStore, run_id: str, fixed_point_messages: bool = False) -> None:
-    """Write one scored batch to the three tables as one replaceable run.
+    """Write a scored batch to the three tables as one replaceable run.
 
-    The batch is held once for its three writes. If an executor is lost, its share is computed
-    again from the batch's own messages; nothing in that depends on what was just written.
+    The tables are three passes over ``scored``, which the caller caches if it is costly.
     """
-    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        store.replace_run("transactions", transaction_rows(scored), run_id)
-        store.replace_run("risk_scores", risk_score_rows(scored), run_id)
-        store.replace_run("fraud_alerts", alert_rows(scored, fixed_point_messages), run_id)
-    finally:
-        scored.unpersist()
+    store.replace_run("transactions", transaction_rows(scored), run_id)
+    store.replace_run("risk_scores", risk_score_rows(scored), run_id)
+    store.replace_run("fraud_alerts", alert_rows(scored, fixed_point_messages), run_id)
 
 
 class BatchWriter:
@@ -73,23 +68,37 @@ class BatchWriter:
             return
         run_id = f"batch-{batch_id}"
         bodies = message_text(messages)
-        fresh = self._fresh(messages, accepted_events(bodies), run_id)
-        scored = with_decision(self.scorer(with_rule_scores(fresh)), self.processed_at)
         if self.keep_rejected:
             at = F.localtimestamp() if self.processed_at is None else self.processed_at
             rejected = rejected_events(bodies).withColumn("rejected_at", at)
             self.store.replace_run("rejected_messages", rejected, run_id)
-        fan_out(scored, self.store, run_id, self.fixed_point_messages)
-
-    def _fresh(self, messages: DataFrame, events: DataFrame, run_id: str) -> DataFrame:
+        unique = keep_first(accepted_events(bodies))
+        scored = with_decision(self.scorer(with_rule_scores(unique)), self.processed_at).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
+        try:
+            self._write_fresh(scored, run_id)
+        finally:
+            scored.unpersist()
+
+    def _write_fresh(self, scored: DataFrame, run_id: str) -> None:
+        """Write the cached batch without the ids other runs have stored.
+
+        Both cached frames depend only on the batch's messages and on other runs, so shares lost
+        with an executor are computed again to the same rows.
+        """
+        size, earliest = scored.agg(F.count(F.lit(1)), F.min("event_time")).first()
+        small = size <= BROADCAST_ROWS
         since = None
-        if self.history_days is not None:
-            earliest = events.agg(F.min("event_time")).first()[0]
-            if earliest is not None:
-                since = (earliest - timedelta(days=self.history_days)).date()
-        unique = keep_first(events)
-        stored = self.store.read("transactions", since=since, other_than_run=run_id)
-        return drop_stored(unique, stored, new_is_small=fits_broadcast(messages))
+        if self.history_days is not None and earliest is not None:
+            since = (earliest - timedelta(days=self.history_days)).date()
+        history = self.store.read("transactions", since=since, other_than_run=run_id)
+        found = stored_keys(scored, history, new_is_small=small).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fresh = scored.join(F.broadcast(found) if small else found, "transaction_id", "left_anti")
+            fan_out(fresh, self.store, run_id, self.fixed_point_messages)
+        finally:
+            found.unpersist()
 
 
 def start_scoring(

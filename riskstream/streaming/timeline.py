@@ -28,7 +28,7 @@ def start_timeline(timeline: DataFrame, path: str, checkpoint: str, **trigger) -
     """Keep ``path`` at the current counts, replaced as a whole after every batch."""
 
     def replace(counts: DataFrame, batch_id: int) -> None:
-        counts.coalesce(1).write.mode("overwrite").parquet(path)
+        counts.write.mode("overwrite").parquet(path)
 
     stream = timeline.writeStream.foreachBatch(replace).outputMode("complete").option("checkpointLocation", checkpoint)
     if trigger:

@@ -140,3 +140,26 @@ def test_store_dates_are_folders_and_bound_the_scan(spark, sf, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan
     everything = store.read("transactions")
     assert 0 < recent.count() < everything.count() == 1000
+
+
+def test_replay_with_fewer_dates_leaves_none_behind(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    write = BatchWriter(store, derived.probability_from_id, processed_at=stamp())
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write(batch(spark, message(1), message(2, timestamp="2024-01-05 10:00:00")), 0)
+        write(batch(spark, message(1)), 0)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.transaction_id for r in store.read("transactions").collect()] == ["TX-1"]
+
+
+def test_without_adaptive_execution_a_date_still_has_several_writers(spark, sf, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        store = TableStore(spark, str(tmp_path))
+        rows = queries.transactions(spark, sf).withColumn("transaction_timestamp", stamp()).repartition(4)
+        store.replace_run("transactions", rows, "batch-0")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list((tmp_path / "transactions" / "run_id=batch-0" / "event_date=2024-02-01").glob("*.parquet"))) == 4
