@@ -83,16 +83,16 @@ def _store_once(kind: str, build) -> Query:
 
 
 def _store_with_losses(spark: SparkSession, sf: str) -> TableStore:
-    store = TableStore(spark, workspace(spark, "store"))
-    store.replace_run("transactions", derived.transactions(spark, sf), "batch-0")
-    store.replace_run("fraud_alerts", derived.lossy_alerts(spark, sf), "batch-0")
+    store, tx = TableStore(spark, workspace(spark, "store")), transactions(spark, sf)
+    store.replace_run("transactions", tx, "batch-0")
+    store.replace_run("fraud_alerts", derived.lossy_alerts(tx), "batch-0")
     return store
 
 
 def _damaged_store(spark: SparkSession, sf: str) -> TableStore:
-    store = TableStore(spark, workspace(spark, "store"))
-    store.replace_run("transactions", derived.damaged_transactions(spark, sf), "batch-0")
-    store.replace_run("fraud_alerts", derived.lossy_alerts(spark, sf), "batch-0")
+    store, tx = TableStore(spark, workspace(spark, "store")), transactions(spark, sf)
+    store.replace_run("transactions", derived.damaged(tx), "batch-0")
+    store.replace_run("fraud_alerts", derived.lossy_alerts(tx), "batch-0")
     return store
 
 

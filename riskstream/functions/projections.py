@@ -25,15 +25,14 @@ def row_key(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def transaction_rows(scored: DataFrame, *extra: str) -> DataFrame:
-    """Stored form of scored events, after any ``extra`` columns to carry along."""
+def transaction_rows(scored: DataFrame) -> DataFrame:
     stored = {
         "amount": F.col("amount").cast(MONEY),
         "ml_probability": F.col("ml_probability").cast(PROBABILITY),
         "actual_label": F.col("actual_label").cast("int"),
         "transaction_timestamp": F.col("event_time"),
     }
-    return scored.select(*extra, *[stored.get(name, F.col(name)).alias(name) for name in TRANSACTIONS.names])
+    return scored.select(*[stored.get(name, F.col(name)).alias(name) for name in TRANSACTIONS.names])
 
 
 def risk_score_rows(scored: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from riskstream.functions.hashing import BUCKET_SPACE, hash_below, hash_bucket
 from riskstream.functions.predicates import in_class
-from riskstream.schemas import LABEL
 
 
 def class_counts(labelled: DataFrame) -> tuple[int, int]:

@@ -49,8 +49,7 @@ def probability_of(n: Column) -> Column:
 
 def probability_from_id(events: DataFrame) -> DataFrame:
     """A scorer that needs no model: the probability is a function of the transaction id."""
-    n = F.substring("transaction_id", 4, 20).cast("bigint")
-    return events.withColumn("ml_probability", probability_of(n))
+    return events.withColumn("ml_probability", probability_of(number_of()))
 
 
 def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,13 +128,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transaction_rows(scored_events(spark, sf_dir))
 
 
-def fraud_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An alert for every alertable transaction, messages with a four-decimal probability."""
-    return alert_rows(scored_events(spark, sf_dir), fixed_point=True)
+def number_of(transaction_id: str = "transaction_id") -> Column:
+    """The event number that an id was made from."""
+    return F.substr(F.col(transaction_id), F.lit(4)).cast("bigint")
 
 
-def damaged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All transactions with planted defects, for the quality checks; some rows come twice."""
+def damaged(stored: DataFrame) -> DataFrame:
+    """Stored transactions with planted defects, for the quality checks; some rows come twice."""
     n = F.col("n")
 
     def every(step: int) -> Column:
@@ -144,7 +143,7 @@ def damaged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     def unless(condition: Column, name: str) -> Column:
         return F.when(condition, None).otherwise(F.col(name))
 
-    rows = transaction_rows(scored_events(spark, sf_dir), "n")
+    rows = stored.withColumn("n", number_of())
     damage = {
         "transaction_id": unless(every(211), "transaction_id"),
         "user_id": unless(every(97), "user_id"),
@@ -165,15 +164,14 @@ def damaged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*columns, copies.alias("_copy")).drop("_copy")
 
 
-def lossy_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts with planted loss, plus orphans of transactions that do not exist."""
-    n = F.col("n")
+def lossy_alerts(stored: DataFrame) -> DataFrame:
+    """Alerts of stored transactions with planted loss, plus orphans of ids that do not exist."""
+    n = number_of()
     written = F.when(is_alertable() & (n % 10 != 0), F.col("transaction_id"))
     orphan = F.when(n % 500 == 0, F.concat(F.lit("TX-X"), n))
     ids = F.explode(F.array_compact(F.array(written, orphan)))
-    scored = scored_events(spark, sf_dir).withColumn("_alerted", ids)
     is_orphan = F.col("_alerted") != F.col("transaction_id")
-    alerted = scored.withColumns(
+    alerted = stored.withColumn("_alerted", ids).withColumns(
         {
             "transaction_status": F.when(is_orphan, FRAUD).otherwise(F.col("transaction_status")),
             "transaction_id": F.col("_alerted"),

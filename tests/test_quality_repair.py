@@ -59,8 +59,8 @@ def stamp():
 
 def test_repair_appends_once_and_reports_what_it_wrote(spark, sf, tmp_path):
     store = TableStore(spark, str(tmp_path))
-    store.replace_run("transactions", derived.transactions(spark, sf), "batch-0")
-    store.replace_run("fraud_alerts", derived.lossy_alerts(spark, sf), "batch-0")
+    store.replace_run("transactions", queries.transactions(spark, sf), "batch-0")
+    store.replace_run("fraud_alerts", derived.lossy_alerts(queries.transactions(spark, sf)), "batch-0")
     before = store.read("fraud_alerts").count()
     report = repair.repair(store, "one", stamp())
     repaired = report.count()
@@ -80,7 +80,7 @@ def test_repair_appends_once_and_reports_what_it_wrote(spark, sf, tmp_path):
 def test_report_survives_the_append(spark, sf, tmp_path):
     """The report is evaluated after the append; it must not look at the tables again."""
     store = TableStore(spark, str(tmp_path))
-    store.replace_run("transactions", derived.transactions(spark, sf), "batch-0")
+    store.replace_run("transactions", queries.transactions(spark, sf), "batch-0")
     report = repair.repair(store, "one", stamp())
-    alertable = derived.transactions(spark, sf).filter("transaction_status <> 'NORMAL'").count()
+    alertable = queries.transactions(spark, sf).filter("transaction_status <> 'NORMAL'").count()
     assert report.count() == alertable
