@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import language_id, pieces, secrets
+from riskstream.llm import decontaminate, host_rules, jaccard_join, language_id, pieces, secrets, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -25,6 +25,19 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op2_decontamination")
+def contaminated(spark, sf):
+    found = decontaminate.scan(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query("op3_secrets")
 def find_secrets(spark, sf):
     found = secrets.scan(_table(spark, sf, "documents"))
@@ -38,6 +51,23 @@ def find_secrets(spark, sf):
     )
 
 
+@query("op6_jaccard_join")
+def similar_documents(spark, sf):
+    return jaccard_join.join(_table(spark, sf, "documents"))
+
+
+@query("op7_substring_dedup")
+def repeated_passages(spark, sf):
+    return substring_dedup.dedup(_table(spark, sf, "documents"))
+
+
+@query("op8_host_rules")
+def host_verdicts(spark, sf):
+    return host_rules.judge(_table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query("op9_sentencepiece")
 def encode_pieces(spark, sf):
     return pieces.with_digests(_table(spark, sf, "documents"), pieces.model_file())
