@@ -98,18 +98,18 @@ class Benchmark:
             F.when(n >= WINDOW, _indexes(n - (WINDOW - 1))).otherwise(F.array(F.lit(0))),
             lambda i: F.array_join(F.slice("words", i + 1, WINDOW), " "),
         )
-        windows = texts.select("item", n.alias("n"), F.explode(F.array_distinct(spans)).alias("window"))
+        windows = texts.select("item", n.alias("n"), F.explode_outer(F.array_distinct(spans)).alias("window"))
         self.windows = cut(
             windows.groupBy("window").agg(
-                F.array_sort(F.collect_set("item")).alias("items"), F.min(F.least("n", F.lit(WINDOW))).alias("length")
+                F.sort_array(F.collect_set("item")).alias("items"), F.min(F.least("n", F.lit(WINDOW))).alias("length")
             )
         )
         short = texts.filter(n < WINDOW)
         self.short_lengths = sorted(row.n for row in short.select(n.alias("n")).distinct().collect())  # 9 at most
-        long_prints = _with_fingerprints(texts.filter(n >= WINDOW)).select(F.explode("marks").alias("mark"))
+        long_prints = _with_fingerprints(texts.filter(n >= WINDOW)).select(F.explode_outer("marks").alias("mark"))
         prints = long_prints.filter("mark is not null").select(F.lit(WINDOW).alias("length"), "mark.print")
         for length in self.short_lengths:
-            own = short.filter(n == length).select(F.explode(_short_marks(length)).alias("mark"))
+            own = short.filter(n == length).select(F.explode_outer(_short_marks(length)).alias("mark"))
             prints = prints.unionByName(own.select(F.lit(length).alias("length"), "mark.print"))
         self.prints = cut(prints.distinct())
         self.blocks = max(1, -(-self.prints.count() // BLOCK))
@@ -127,7 +127,7 @@ def hits(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
     document = F.array(_offer(F.lit(0), F.lit(-1), F.lit(0).cast("long")))
     rows = marked.select(
         "doc_id", "version", "words", F.size("words").alias("n_words"), F.concat(document, *offers).alias("offers")
-    ).select("doc_id", "version", "words", "n_words", F.inline("offers"))
+    ).select("doc_id", "version", "words", "n_words", F.inline_outer("offers"))
     found = None
     for block in range(benchmark.blocks):
         known = benchmark.prints.filter(F.pmod(F.xxhash64("print"), F.lit(benchmark.blocks)) == block)
@@ -147,7 +147,7 @@ def hits(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
         "version",
         "n_words",
         "length",
-        F.inline(
+        F.inline_outer(
             F.transform(
                 "starts",
                 lambda s: F.struct(
@@ -166,6 +166,10 @@ def hits(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
     return joined.filter((F.col("start") < 0) | F.col("items").isNotNull()).drop("window")
 
 
+# Arrays are unfolded with the outer variants throughout: for the inner ones the optimizer adds a filter on
+# the array's size and pushes it to the scan, where the whole chain of expressions would run again per element.
+
+
 def _offer(length: Column, at: Column, value: Column) -> Column:
     return F.struct(length.alias("length"), at.alias("at"), value.alias("print"))
 
@@ -191,7 +195,7 @@ def scan(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = hits(docs, Benchmark(items))
     per_document = found.groupBy("doc_id", "version").agg(
         F.max("n_words").alias("n_words"),
-        F.array_sort(
+        F.sort_array(
             F.collect_set(F.when(F.col("start") >= 0, F.struct("start", "length")))
         ).alias("spans"),
         F.collect_set("items").alias("items"),
@@ -201,6 +205,6 @@ def scan(docs: DataFrame, items: DataFrame) -> DataFrame:
         "version",
         F.col("n_words").cast("long").alias("n_words"),
         covered(F.col("spans")).alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"),
+        F.sort_array(F.array_distinct(F.flatten("items"))).alias("items"),
         "spans",
     )

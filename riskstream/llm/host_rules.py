@@ -46,14 +46,14 @@ def _repeat_words(docs: DataFrame) -> DataFrame:
     # most texts repeat nothing, and only the others are sorted
     placed = F.when(
         F.size(F.array_distinct("runs")) < F.size("runs"),
-        F.array_sort(F.transform("runs", lambda value, i: F.struct(value.alias("run"), i.alias("at")))),
+        F.sort_array(F.transform("runs", lambda value, i: F.struct(value.alias("run"), i.alias("at")))),
     ).otherwise(F.array().cast("array<struct<run:bigint,at:int>>"))
     docs = docs.withColumn("placed", placed)
     twice = F.filter(
         "placed",
         lambda x, i: (x["run"] == F.get("placed", i - 1)["run"]) | (x["run"] == F.get("placed", i + 1)["run"]),
     )
-    docs = docs.withColumn("starts", F.array_sort(F.transform(twice, lambda x: x["at"])))
+    docs = docs.withColumn("starts", F.sort_array(F.transform(twice, lambda x: x["at"])))
     covered = F.aggregate(
         "starts",
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
