@@ -187,6 +187,24 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     )
 
 
+def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is determined with at least ``min_score``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def run(batches):
+        fitted = shared.value
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            if fitted.languages:
+                for chunk in chunks(batch.column(place)):
+                    label, score = scores(chunk, fitted)
+                    keep[chunk.first : chunk.first + chunk.rows] = (label >= 0) & (score >= min_score)
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """Train on the labelled rows of ``docs`` and predict all of them."""
     return predict(docs, train(docs))

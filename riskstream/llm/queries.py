@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import decontaminate, host_rules, jaccard_join, language_id, pieces, secrets, substring_dedup
+from riskstream.llm import (
+    decontaminate,
+    host_rules,
+    html_text,
+    jaccard_join,
+    language_id,
+    license_scan,
+    pieces,
+    quality_fm,
+    secrets,
+    substring_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -25,6 +36,18 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_licenses")
+def licenses(spark, sf):
+    found = license_scan.scan(_table(spark, sf, "documents"))
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"]))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(F.sort_array(F.array_distinct("matches.license")), ",").alias("licenses"),
+        F.array_join(spans, ",").alias("spans"),
+    )
+
+
 @query("op2_decontamination")
 def contaminated(spark, sf):
     found = decontaminate.scan(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
@@ -51,6 +74,16 @@ def find_secrets(spark, sf):
     )
 
 
+@query("op4_html_extraction")
+def main_text(spark, sf):
+    return html_text.extract_pages(_table(spark, sf, "pages"))
+
+
+@query("op5_quality")
+def quality(spark, sf):
+    return quality_fm.assess(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 @query("op6_jaccard_join")
 def similar_documents(spark, sf):
     return jaccard_join.join(_table(spark, sf, "documents"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 
 from riskstream.session import shared_root
 
@@ -13,3 +15,14 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def new_folder(spark: SparkSession, tag: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_root(spark)}/llm/{tag}-{uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``new_folder``, through Spark's own file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
