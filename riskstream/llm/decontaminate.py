@@ -120,9 +120,8 @@ def hits(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
     """doc_id, version, n_words, start, length, items: a row per window found, and one without items per document."""
     texts = docs.select("doc_id", F.xxhash64("text").alias("version"), words(F.col("text")).alias("words"))
     marked = _with_fingerprints(texts)
-    offers = [F.transform(F.filter("marks", lambda m: m.isNotNull()), lambda m: _offer(F.lit(WINDOW), m["at"], m["print"]))]
-    for length in benchmark.short_lengths:
-        offers.append(F.transform(_short_marks(length), lambda m, size=length: _offer(F.lit(size), m["at"], m["print"])))
+    offers = [_offers(F.filter("marks", lambda m: m.isNotNull()), WINDOW)]
+    offers += [_offers(_short_marks(length), length) for length in benchmark.short_lengths]
     # the first entry stands for the document itself and always stays
     document = F.array(_offer(F.lit(0), F.lit(-1), F.lit(0).cast("long")))
     rows = marked.select(
@@ -174,6 +173,10 @@ def _offer(length: Column, at: Column, value: Column) -> Column:
     return F.struct(length.alias("length"), at.alias("at"), value.alias("print"))
 
 
+def _offers(marks: Column, length: int) -> Column:
+    return F.transform(marks, lambda mark: _offer(F.lit(length), mark["at"], mark["print"]))
+
+
 def covered(spans: Column) -> Column:
     """How many words lie in sorted (start, length) spans."""
     return F.aggregate(

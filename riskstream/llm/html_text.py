@@ -167,17 +167,20 @@ def classify(found: list[Block]) -> list[Block]:
                 block.label = "good" if size > LONG_CHARS else "near"
             else:
                 block.label = "near" if density >= LOW_STOP_DENSITY else "bad"
+    # inside the content, elements set apart by their name or role are no neighbours
+    decides = [block.label in ("good", "bad") and not (block.content and block.bad) for block in found]
     before, last = [], {True: "", False: ""}
-    for block in found:
+    for block, decided in zip(found, decides, strict=True):
         before.append(last[block.content])
-        if block.label in ("good", "bad"):
+        if decided:
             last[block.content] = block.label
     after = {True: "", False: ""}
     final = []
-    for block, previous in zip(reversed(found), reversed(before), strict=True):
+    for block, decided, previous in zip(reversed(found), reversed(decides), reversed(before), strict=True):
         following = after[block.content]
-        if block.label in ("good", "bad"):
+        if decided:
             after[block.content] = block.label
+        if block.label in ("good", "bad"):
             final.append(block.label)
         elif block.content:  # one good neighbour in the content is enough, and so is none at all
             final.append("good" if "good" in (previous, following) or not (previous or following) else "bad")

@@ -113,6 +113,24 @@ class Index:
                 found.append(np.stack([np.repeat(start, count), np.full(len(entry), size), owner[entry]], axis=1))
         return np.unique(np.concatenate(found), axis=0)
 
+    def _stretch(self, value: np.ndarray, near: np.ndarray, template: int) -> tuple[int, int, float]:
+        """First and last shingle of the first stretch that holds enough of the template, and its share.
+
+        ``near`` are the places of the template's shingles; a stretch is at most a quarter longer than it.
+        """
+        need, total = CONTAINMENT * len(self.sets[template]), len(self.sets[template])
+        limit = self.lengths[template] + -(-self.lengths[template] // 4)
+        stops = np.searchsorted(near, near + limit)
+        for low, stop in enumerate(stops.tolist()):
+            if stop - low < need:
+                continue
+            _, fresh = np.unique(value[near[low:stop]], return_index=True)
+            if len(fresh) >= need:
+                last = low + int(fresh.max())
+                _, again = np.unique(value[near[low : last + 1]][::-1], return_index=True)
+                return int(near[last - int(again.max())]), int(near[last]), len(fresh) / total
+        return 0, 0, 0.0
+
     def matches(self, chunk: Chunk) -> list[list[tuple[str, int, int, float]]]:
         """Per row: licence, first word, end word, containment of each match, in order."""
         value, first, last = _shingled(chunk)
@@ -131,11 +149,11 @@ class Index:
             high = min(int(last[row]), start + size + reach)
             near = hits[np.searchsorted(hits, low) : np.searchsorted(hits, high)]
             near = near[np.isin(value[near], self.sets[template])]
-            share = len(np.unique(value[near])) / len(self.sets[template])
+            begin, end, share = self._stretch(value, near, template)
             if share >= CONTAINMENT:
-                begin, end = int(near[0] - first[row]), int(near[-1] - first[row]) + SHINGLE
-                result[row].append((self.names[template], begin, end, share))
-                done[row, template] = int(near[-1])
+                origin = int(first[row])
+                result[row].append((self.names[template], begin - origin, end - origin + SHINGLE, share))
+                done[row, template] = end
         for row in result:
             row.sort(key=lambda match: (match[1], match[2], match[0]))
         return result
