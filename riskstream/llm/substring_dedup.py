@@ -166,8 +166,9 @@ def _windows(window: int):
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, version, spans: (start, n) of windows of each document that also start in one with a smaller id."""
-    return _repeated(_keyed(docs), _keyed(docs), window)
+    """doc_id, spans: (version of the text, start, n) of windows that also start in a document with a smaller id."""
+    scanned = _keyed(docs).filter(F.col("doc_id").isNotNull())
+    return _repeated(scanned, scanned.repartition("doc_id"), window)
 
 
 def _repeated(scanned: DataFrame, dealt: DataFrame, window: int) -> DataFrame:
@@ -176,7 +177,7 @@ def _repeated(scanned: DataFrame, dealt: DataFrame, window: int) -> DataFrame:
     kind = scanned.schema["doc_id"].dataType.simpleString()
     located = f"run long, check int, doc_id {kind}, version long, start int, n int"
     ids = [F.min("doc_id").alias("least"), F.max("doc_id").alias("most")]
-    level = scanned.filter(F.col("doc_id").isNotNull()).mapInArrow(
+    level = scanned.mapInArrow(
         _first_level(window), f"run long, doc_id {kind}, at int"
     )
     shared = level.groupBy("run").agg(*ids).filter("least < most").select("run")
@@ -186,16 +187,25 @@ def _repeated(scanned: DataFrame, dealt: DataFrame, window: int) -> DataFrame:
     owners = blocks.groupBy("run", "check").agg(*ids).filter("least < most").select("run", "check", "least")
     owned = blocks.join(owners, ["run", "check"], "left").select(*_KEY, "start", "n", "least")
     copies = owned.filter(F.col("least") < F.col("doc_id")).select(*_KEY, "start", "n")
-    own = (
-        owned.filter(F.col("least").isNull() | (F.col("least") == F.col("doc_id")))
-        .groupBy(*_KEY)
-        .agg(F.collect_set(F.struct("start", "n")).alias("spans"))
-        .select(*_KEY, F.col("spans.start").alias("starts"), F.col("spans.n").alias("ns"))
-    )
-    windows = dealt.join(own, _KEY).select(*_KEY, "text", "starts", "ns").mapInArrow(_windows(window), located)
+    own = owned.filter(F.col("least").isNull() | (F.col("least") == F.col("doc_id")))
+    windows = _with_spans(dealt, _by_document(own), "inner").select(*_KEY, "text", "starts", "ns")
+    windows = windows.mapInArrow(_windows(window), located)
     firsts = windows.groupBy("run", "check").agg(*ids).filter("least < most").select("run", "check", "least")
     later = windows.join(firsts, ["run", "check"]).filter(F.col("doc_id") > F.col("least")).select(*_KEY, "start", "n")
-    return copies.unionByName(later).groupBy(*_KEY).agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    return _by_document(copies.unionByName(later))
+
+
+def _by_document(spans: DataFrame) -> DataFrame:
+    """doc_id, spans: of all texts under the id, told apart by version."""
+    return spans.groupBy("doc_id").agg(F.collect_set(F.struct("version", "start", "n")).alias("spans"))
+
+
+def _with_spans(dealt: DataFrame, spans: DataFrame, how: str) -> DataFrame:
+    """``dealt`` with ``starts`` and ``ns`` of each text's own spans, joined on the id it is dealt by."""
+    own = F.filter("spans", lambda span: span["version"] == F.col("version"))
+    return dealt.join(spans, "doc_id", how).withColumn("spans", own).withColumns(
+        {"starts": F.col("spans.start"), "ns": F.col("spans.n")}
+    )
 
 
 def keep_mask(n_words: int, start: np.ndarray, n: np.ndarray, window: int) -> np.ndarray:
@@ -233,13 +243,19 @@ def _kept(window: int, with_text: bool):
 
 def dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and ``kept_text``) of every row."""
-    scanned = _keyed(docs)
-    dealt = scanned.repartition("doc_id")  # the joins below all read this one exchange
+    keyed = _keyed(docs)
+    scanned = keyed.filter(F.col("doc_id").isNotNull())
+    # The joins below all read this one exchange: the filter above is what an inner join would add to its own.
+    dealt = scanned.repartition("doc_id")
     spans = _repeated(scanned, dealt, window)
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = ", kept_text string" if with_text else ""
+    columns = ["doc_id", "text", "starts", "ns"]
+    judged = _with_spans(dealt, spans, "left")
+    none = F.lit(None).cast("array<int>")
+    nameless = keyed.filter(F.col("doc_id").isNull()).withColumns({"starts": none, "ns": none})
     return (
-        dealt.join(spans, _KEY, "left")
-        .select("doc_id", "text", F.col("spans.start").alias("starts"), F.col("spans.n").alias("ns"))
+        judged.select(*columns)
+        .unionByName(nameless.select(*columns))
         .mapInArrow(_kept(window, with_text), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string{text}")
     )
