@@ -20,6 +20,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from riskstream.llm import storage
+
 SHORT_CHARS = 70
 LONG_CHARS = 200
 LOW_STOP_DENSITY, HIGH_STOP_DENSITY = 0.15, 0.30
@@ -217,6 +219,6 @@ def extract_pages(pages: DataFrame) -> DataFrame:
             )
 
     kinds = {name: pages.schema[name].dataType.simpleString() for name in ("page_id", "url")}
-    return pages.select("page_id", "url", "html").mapInArrow(
+    return storage.texts(pages).select("page_id", "url", "html").mapInArrow(
         run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
     )

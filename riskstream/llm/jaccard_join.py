@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskstream.llm import storage
 from riskstream.llm.components import components
 from riskstream.llm.storage import cut
 from riskstream.llm.textarrays import (
@@ -203,7 +204,7 @@ def _tiles(batches):
 def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id (smallest id of its class), n_links (other documents similar enough) of every row."""
     bands, rows = choose_bands(THRESHOLD_TENTHS / 10, recall)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = storage.texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = cut(
         docs.mapInArrow(
             _signed(bands, rows), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskstream.llm import storage
 from riskstream.llm.textarrays import Chunk, chunks, mix
 
 ORDERS = (1, 2, 3)
@@ -127,7 +128,8 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, smoothing: float = 0.
     # at most MAX_LANGUAGES * sample_rows pairs of a number and a short name
     sample = labelled.select("text", "lang", "doc_id").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     counted = (
-        sample.select("text", "lang")
+        storage.texts(sample)
+        .select("text", "lang")
         .mapInArrow(_counted, "lang string, bucket long, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
@@ -182,7 +184,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", split(F.col("doc_id")).alias("held_out"), "text").mapInArrow(
+    return storage.texts(docs).select("doc_id", split(F.col("doc_id")).alias("held_out"), "text").mapInArrow(
         run, f"doc_id {kind}, held_out boolean, lang_pred string, score double"
     )
 
@@ -202,7 +204,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.
                     keep[chunk.first : chunk.first + chunk.rows] = (label >= 0) & (score >= min_score)
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return storage.texts(docs).mapInArrow(run, docs.schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

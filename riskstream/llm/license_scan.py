@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from riskstream.llm import storage
 from riskstream.llm.license_templates import TEMPLATES
 from riskstream.llm.textarrays import (
     ALPHANUMERIC,
@@ -179,6 +180,6 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES) ->
                 yield pa.RecordBatch.from_arrays([own, pa.array(found, pa.list_(_MATCH))], names=["doc_id", "matches"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return storage.texts(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, matches array<struct<license:string,start:bigint,end:bigint,containment:double>>"
     )

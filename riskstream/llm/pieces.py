@@ -27,10 +27,12 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
+from riskstream.llm import storage
+
 SPACE = "▁"
 LONG_WORD = 256
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 100_000
 _NO_RANK = np.int64(1) << 40
 _LATIN = "A-Za-zÀ-ɏ"
 _WORD = re.compile(f"[{_LATIN}]")
@@ -321,10 +323,10 @@ def model_file(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 
 
-def _grouped(texts: list[str | None]) -> Iterable[list[str | None]]:
+def _grouped(texts: Iterable[str | None]) -> Iterable[list[str | None]]:
     group: list[str | None] = []
     size = 0
     for text in texts:
@@ -355,7 +357,7 @@ def _mapped(docs: DataFrame, model_path: str, key: str, digests: bool) -> DataFr
         model = _model(name)
         for batch in batches:
             at = 0
-            for texts in _grouped(batch.column(1).to_pylist()):
+            for texts in _grouped(text.as_py() for text in batch.column(1)):
                 ids = encode(model, texts)
                 decoded = [decode(model, row) for row in ids]
                 own = batch.column(0).slice(at, len(texts))
@@ -379,4 +381,4 @@ def _mapped(docs: DataFrame, model_path: str, key: str, digests: bool) -> DataFr
 
     kind = docs.schema[key].dataType.simpleString()
     result = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
-    return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, {result}")
+    return storage.texts(docs).select(key, "text").mapInArrow(run, f"`{key}` {kind}, {result}")

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskstream.llm import storage
 from riskstream.llm.language_id import split
 from riskstream.llm.textarrays import ALPHANUMERIC, LOWER, Chunk, chunks, hashes, shingles, words
 
@@ -189,7 +190,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     # at most sample_rows pairs of numbers
     sample = docs.select("doc_id", "text", "n_chars").join(F.broadcast(chosen), "doc_id")
     table = (
-        sample.select("text", "n_chars", "label")
+        storage.texts(sample)
+        .select("text", "n_chars", "label")
         .mapInArrow(_featured, "label double, index array<int>, value array<float>")
         .toArrow()  # at most sample_rows rows
         .combine_chunks()
@@ -229,7 +231,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", split(F.col("doc_id")).alias("held_out"), "text", "n_chars").mapInArrow(
+    return storage.texts(docs).select("doc_id", split(F.col("doc_id")).alias("held_out"), "text", "n_chars").mapInArrow(
         run, f"doc_id {kind}, held_out boolean, score double, predicted int"
     )
 

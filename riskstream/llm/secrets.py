@@ -22,6 +22,8 @@ from math import log2
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from riskstream.llm import storage
+
 KINDS = ("assign", "access", "hex", "cost")
 MIN_BITS = 50.0
 LONG_VALUE = 200
@@ -164,7 +166,7 @@ def scan(docs: DataFrame, min_bits: float = MIN_BITS) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return storage.texts(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>, base_sha256 string"
     )
 
@@ -194,4 +196,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", min_bits: float = MIN_BITS)
             texts = pa.array([covered(text.as_py()) for text in batch.column(place)], pa.string())
             yield batch.set_column(place, batch.schema.field(place), texts.cast(batch.schema.field(place).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return storage.texts(docs).mapInArrow(run, docs.schema)

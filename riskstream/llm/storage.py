@@ -17,6 +17,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a batch that Python takes at once: of long texts the usual ten thousand would fill a worker.
+BATCH_ROWS = 500
+
+
+def texts(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands rows to Python in batches small enough for long texts."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def new_folder(spark: SparkSession, tag: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_root(spark)}/llm/{tag}-{uuid4().hex}"

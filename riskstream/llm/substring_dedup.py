@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskstream.llm import storage
 from riskstream.llm.textarrays import (
     WHITE_SPACE,
     Chunk,
@@ -47,7 +48,7 @@ _BASE, _OTHER_BASE = 0xD6E8FEB86659FD93, 0xA24BAED4963EE407
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    return storage.texts(docs).select("doc_id", F.xxhash64("text").alias("version"), "text")
 
 
 def sampled_runs(word_hashes: np.ndarray, row_first: np.ndarray, length: int, window: int) -> tuple:
