@@ -16,7 +16,7 @@ from riskstream.functions.projections import alert_rows, transaction_rows
 from riskstream.functions.rules import with_rule_scores
 from riskstream.operators.enrich import SMALLEST_AVERAGE
 from riskstream.operators.lookup import lookup
-from riskstream.schemas import FRAUD, LABEL, LABELLED, PROBABILITY, SIGNAL_FIELDS, TRANSACTIONS
+from riskstream.schemas import FRAUD, LABEL, LABELLED, PROBABILITY, SIGNAL_FIELDS, TRANSACTIONS, USERS
 
 CATEGORIES = ("Crypto", "Luxury", "Grocery", "Restaurant", "Electronics", "Transport", "Pharmacy")
 PAYMENT_METHODS = ("Credit Card", "Debit Card", "Mobile Wallet", "Bank Transfer")
@@ -85,6 +85,20 @@ def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as user profiles; without events the average is null. No job rates users, so the risk is."""
+    nations = input_table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("usual_country")
+    )
+    averages = user_profiles(spark, sf_dir).select(
+        F.concat(F.lit("U"), "user_id").alias("user_id"), F.col("user_avg_amount").alias("avg_amount")
+    )
+    customers = input_table(spark, sf_dir, "customer").join(nations, "c_nationkey")
+    named = customers.select(F.concat(F.lit("U"), "c_custkey").alias("user_id"), "usual_country")
+    joined = named.join(averages, "user_id", "left").withColumn("risk_level", F.lit(None).cast("string"))
+    return joined.select(*USERS.names)
+
+
 def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per event row, with a supplied probability, not yet scored."""
     profiles = user_profiles(spark, sf_dir)
@@ -92,8 +106,6 @@ def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         input_table(spark, sf_dir, "events"),
         profiles.drop("key_rows"),
         "user_id",
-        # No more profiles than customers, and those are counted from file footers.
-        dim_rows=input_table(spark, sf_dir, "customer").count(),
         key_counts=profiles.select("user_id", "key_rows"),
         spread_by="event_id",
     )
@@ -130,7 +142,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def number_of(transaction_id: str = "transaction_id") -> Column:
     """The event number that an id was made from."""
-    return F.substr(F.col(transaction_id), F.lit(4)).cast("bigint")
+    return F.substr(F.col(transaction_id), F.lit(4)).try_cast("bigint")
 
 
 def damaged(stored: DataFrame) -> DataFrame:
@@ -183,12 +195,12 @@ def lossy_alerts(stored: DataFrame) -> DataFrame:
 def json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments as JSON text in ``value``, one message per event, with planted faults.
 
-    Every fifth message has only the short form's fields. Eight residues of fifty are damaged
+    Every fifth message has only the short form's fields. Nine residues of fifty are damaged
     or altered, as a live topic would have them.
     """
     n = F.col("n")
     residue = n % 50
-    events = payment_events(spark, sf_dir)
+    events = events_with_signals(spark, sf_dir)
 
     def unless(condition: Column, name: str) -> Column:
         return F.when(~condition, F.col(name)).alias(name)
@@ -206,7 +218,9 @@ def json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "device_id",
         "ip_address",
         F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        *[unless(short, c) for c in ("user_avg_amount", "amount_vs_avg_user", "actual_label")],
+        *[unless(short, c) for c in ("user_avg_amount", "amount_vs_avg_user")],
+        F.when(residue == 11, F.lit(1e12)).when(~short, F.col("actual_label")).alias("actual_label"),
+        *[unless(short, c) for c in ("Time", *SIGNAL_FIELDS)],
         F.when(residue == 7, "x").alias("unknown_field"),
     )
     body = F.col("body")

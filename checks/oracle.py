@@ -53,7 +53,7 @@ def _stored(source: str, extra: str = "") -> str:
          merchant_category, payment_method, device_id, ip_address, event_time AS transaction_timestamp,
          transaction_status, final_score AS risk_score, CAST(ml_probability AS DECIMAL(6,4)) AS ml_probability,
          behavior_score, final_score, 'HYBRID_RULES_ML_BEHAVIOR' AS detection_method,
-         CAST(actual_label AS INTEGER) AS actual_label, processed_at
+         TRY_CAST(actual_label AS INTEGER) AS actual_label, processed_at
   FROM {source}"""
 
 
@@ -79,6 +79,11 @@ _SIGNAL_LIST = ",\n    ".join(
     for i in range(1, 29)
 )
 
+_SIGNAL_COLUMNS = ", ".join(f'"{c}"' for c in ["Time", *SIGNALS])
+_MESSAGE_SIGNALS = ", ".join(
+    f'CASE WHEN n % 50 IN (1, 9) OR n % 5 = 0 THEN NULL ELSE "{c}" END AS "{c}"' for c in ["Time", *SIGNALS]
+)
+
 BASE = f"""WITH
 spend AS (
   SELECT user_id, CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS spent, COUNT(*) AS key_rows
@@ -118,6 +123,11 @@ damaged AS (
   FROM ({_stored("scored", "n,")}), LATERAL (SELECT unnest(CASE WHEN n % 101 = 0 THEN [0, 1] ELSE [0] END))),
 lossy AS ({_alerts("scored", ALERTING + " AND n % 10 <> 0")}
   UNION ALL {_alerts("(SELECT * REPLACE ('TX-X' || n AS transaction_id, 'FRAUD' AS transaction_status) FROM scored WHERE n % 500 = 0)", "true")}),
+labelled AS (
+  SELECT CAST(vec_id AS DOUBLE) AS "Time", {_SIGNAL_LIST},
+    abs(CAST(embedding[29] AS DOUBLE)) * 1000 AS "Amount", CAST(vec_id % 10 = 0 AS INTEGER) AS "Class", vec_id
+  FROM embeddings),
+signals AS (SELECT vec_id AS signal_of, {_SIGNAL_COLUMNS} FROM labelled),
 messages AS (
   SELECT n,
     CASE WHEN n % 50 IN (1, 2, 9) THEN NULL ELSE transaction_id END AS transaction_id,
@@ -135,19 +145,16 @@ messages AS (
     CASE WHEN n % 50 IN (1, 6, 9) THEN NULL ELSE date_trunc('second', event_time) END AS event_time,
     CASE WHEN n % 50 IN (1, 9) OR n % 5 = 0 THEN NULL ELSE user_avg_amount END AS user_avg_amount,
     CASE WHEN n % 50 IN (1, 9) OR n % 5 = 0 THEN NULL ELSE amount_vs_avg_user END AS amount_vs_avg_user,
-    CASE WHEN n % 50 IN (1, 9) OR n % 5 = 0 THEN NULL ELSE actual_label END AS actual_label,
+    CASE WHEN n % 50 IN (1, 9) OR n % 5 = 0 THEN NULL WHEN n % 50 = 11 THEN 1e12 ELSE actual_label END AS actual_label,
+    {_MESSAGE_SIGNALS},
     ml_probability
-  FROM payments),
+  FROM payments LEFT JOIN signals ON signal_of = n),
 accepted AS (
   SELECT * REPLACE (coalesce(user_avg_amount, 200e0) AS user_avg_amount,
                     coalesce(amount_vs_avg_user, amount / 200e0) AS amount_vs_avg_user)
   FROM messages
   WHERE transaction_id IS NOT NULL AND user_id IS NOT NULL AND amount IS NOT NULL AND event_time IS NOT NULL),
-streamed AS (SELECT *, {STAMP} AS processed_at FROM ({_decided("accepted")})),
-labelled AS (
-  SELECT CAST(vec_id AS DOUBLE) AS "Time", {_SIGNAL_LIST},
-    abs(CAST(embedding[29] AS DOUBLE)) * 1000 AS "Amount", CAST(vec_id % 10 = 0 AS INTEGER) AS "Class", vec_id
-  FROM embeddings)
+streamed AS (SELECT *, {STAMP} AS processed_at FROM ({_decided("accepted")}))
 """
 
 
@@ -183,8 +190,8 @@ _KPI = ", ".join(
 
 _CONFUSION = """
   SELECT COUNT(*) FILTER (WHERE actual_label = 1 AND hit) AS true_positives, COUNT(*) FILTER (WHERE actual_label = 0 AND hit) AS false_positives,
-         COUNT(*) FILTER (WHERE actual_label = 0 AND NOT hit) AS true_negatives, COUNT(*) FILTER (WHERE actual_label = 1 AND NOT hit) AS false_negatives
-  FROM (SELECT actual_label, transaction_status <> 'NORMAL' AS hit FROM tx)"""
+         COUNT(*) FILTER (WHERE actual_label = 0 AND pass) AS true_negatives, COUNT(*) FILTER (WHERE actual_label = 1 AND pass) AS false_negatives
+  FROM (SELECT actual_label, transaction_status IN ('SUSPICIOUS', 'FRAUD') AS hit, transaction_status = 'NORMAL' AS pass FROM tx)"""
 
 _FAULTS = {
     "missing_transaction_id": "transaction_id IS NULL",
@@ -216,10 +223,24 @@ _KEYED = {
         "AND NOT EXISTS (SELECT 1 FROM lossy l WHERE l.transaction_id = d.transaction_id)"
     ),
 }
+# fixed values: the checks in report order
 CHECK_ORDER = (
-    *list(_FAULTS)[:7],
+    "missing_transaction_id",
+    "missing_user_id",
+    "invalid_amount",
+    "invalid_transaction_status",
+    "missing_risk_score",
+    "invalid_risk_score",
+    "missing_transaction_timestamp",
     "duplicated_transaction_id",
-    *list(_FAULTS)[7:],
+    "missing_ml_probability",
+    "invalid_ml_probability",
+    "missing_behavior_score",
+    "invalid_behavior_score",
+    "missing_final_score",
+    "invalid_final_score",
+    "missing_detection_method",
+    "invalid_actual_label",
     "fraud_alert_without_transaction",
     "fraud_transaction_without_alert",
 )
@@ -269,6 +290,11 @@ _GAPS = """(SELECT * REPLACE (
       CASE WHEN vec_id % 7 = 0 THEN NULL WHEN vec_id % 11 = 0 THEN 'NaN'::DOUBLE ELSE "V3" END AS "V3",
       CASE WHEN vec_id % 13 = 0 THEN NULL ELSE "Class" END AS "Class") FROM labelled)"""
 
+_PARSED = f"""
+  SELECT transaction_id, user_id, amount, currency, country, usual_country, merchant_category, payment_method, device_id,
+         ip_address, "timestamp", user_avg_amount, amount_vs_avg_user, actual_label, {_SIGNAL_COLUMNS}
+  FROM messages"""
+
 SELECTS: dict[str, str] = {
     # sources
     "s01_message_stream": "SELECT COUNT(*) AS message_count FROM events",
@@ -278,8 +304,10 @@ SELECTS: dict[str, str] = {
     "s05_alerts_scan": f"SELECT {ALERT_COLUMNS} FROM alerts",
     # sinks
     "k01_fan_out": _counts("streamed", "streamed", _STREAMED_ALERTS),
-    "k02_empty_batch": "SELECT 'batch-0' AS run_id, COUNT(*) AS row_count FROM streamed",
+    "k02_empty_batch": "SELECT 'direct-0' AS run_id, COUNT(*) AS row_count FROM streamed",
     "k03_append_transactions": f"SELECT {TX_COLUMNS} FROM tx",
+    "k03_two_streams": f"SELECT {TX_COLUMNS} FROM ({_stored('streamed')})",
+    "k03_compacted": f"SELECT {TX_COLUMNS} FROM ({_stored('streamed')})",
     "k04_append_risk_scores": _risk_rows("scored"),
     "k05_append_alerts": f"SELECT {ALERT_COLUMNS} FROM alerts",
     "k06_append_repairs": f"SELECT {ALERT_COLUMNS} FROM lossy UNION ALL {_REPAIR_ROWS}",
@@ -299,19 +327,15 @@ SELECTS: dict[str, str] = {
     "k10_repair_csv": f"""
       SELECT transaction_id, risk_score, 'REPAIRED' AS repair_status, COUNT(*) OVER () AS repaired_count_total
       FROM ({_MISSING})""",
-    "k13_publish_messages": """
-      SELECT transaction_id, user_id, amount, country, usual_country, merchant_category, payment_method, device_id,
-             ip_address, user_avg_amount, amount_vs_avg_user, actual_label,
+    "k13_publish_messages": f"""
+      SELECT transaction_id, user_id, amount, currency, country, usual_country, merchant_category, payment_method,
+             device_id, ip_address, user_avg_amount, amount_vs_avg_user, actual_label, {_SIGNAL_COLUMNS},
              strftime(event_time, '%Y-%m-%d %H:%M:%S') AS "timestamp", transaction_id AS message_key
-      FROM payments""",
+      FROM payments LEFT JOIN signals ON signal_of = n""",
     # parsing and cleaning
     "p01_message_text": "SELECT device_id FROM messages",
-    "p02_json_to_struct": "SELECT transaction_id, user_id, amount, country FROM messages",
-    "p03_flatten_event": """
-      SELECT transaction_id, user_id, amount, currency, country, usual_country, merchant_category, payment_method,
-             device_id, ip_address, "timestamp", user_avg_amount, amount_vs_avg_user, actual_label,
-             CAST(NULL AS DOUBLE) AS "Time", CAST(NULL AS DOUBLE) AS "V1", CAST(NULL AS DOUBLE) AS "V28"
-      FROM messages""",
+    "p02_json_to_struct": _PARSED,
+    "p03_flatten_event": _PARSED,
     "p04_event_time": 'SELECT transaction_id, "timestamp", event_time FROM messages',
     "p05_default_average": "SELECT transaction_id, coalesce(user_avg_amount, 200e0) AS user_avg_amount FROM messages",
     "p06_default_ratio": (
@@ -386,7 +410,26 @@ SELECTS: dict[str, str] = {
     "r13_risk_score": "SELECT transaction_id, final_score AS risk_score FROM scored",
     "r14_detection_method": "SELECT transaction_id, 'HYBRID_RULES_ML_BEHAVIOR' AS detection_method FROM scored",
     "r15_processed_at": "SELECT COUNT(*) AS row_count, 1 AS distinct_times FROM scored",
-    # learning
+    # learning: what does not depend on what the forest learned
+    "s06_model_scan": 'SELECT "Time" AS row_time, "Class" AS label, true AS sound FROM labelled',
+    "k11_model_save": "SELECT COUNT(*) AS rows_seen, 80 AS trees FROM labelled",
+    "k12_training_record": f"""
+      SELECT 'Spark ML RandomForestClassifier' AS model_type, COUNT(*) AS total_rows,
+             COUNT(*) FILTER (WHERE "Class" = 0) AS normal_rows, COUNT(*) FILTER (WHERE "Class" = 1) AS fraud_rows,
+             true AS auc_is_high, true AS f1_is_high, '{",".join(["Time", *SIGNALS, "Amount"])}' AS features
+      FROM labelled""",
+    "r09_ml_probability": "SELECT transaction_id, true AS sound FROM payments",
+    "m02_random_split": "SELECT COUNT(*) AS row_count, COUNT(*) AS distinct_rows, true AS share_is_near FROM labelled",
+    "m04_forest": " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS sound" for c in ["Time", *SIGNALS, "Amount"]),
+    "m05_pipeline_fit": (
+        "SELECT 0 AS position, 'VectorAssembler' AS stage UNION ALL SELECT 1, 'RandomForestClassificationModel'"
+    ),
+    "m06_batch_scoring": f"""
+      SELECT "Time" AS row_time, "Class" AS label, true AS sound FROM labelled
+      WHERE {_bucket('"Time"')} >= CAST(floor(8e-1 * 4294967296) AS BIGINT)""",
+    "m07_stream_scoring": "SELECT transaction_id, true AS sound, true AS score_follows FROM payments",
+    "m08_area_under_roc": "SELECT true AS auc_is_high",
+    "m09_weighted_f1": "SELECT true AS f1_is_high",
     "m01_class_weights": """
       SELECT "Time", "Class", CASE "Class" WHEN 1 THEN total / (2e0 * fraud) ELSE total / (2e0 * (total - fraud)) END
         AS class_weight
@@ -483,7 +526,12 @@ SELECTS: dict[str, str] = {
     "t02_fraud_timeline": """
       SELECT date_trunc('minute', transaction_timestamp) AS minute, COUNT(*) AS fraud_count FROM tx
       WHERE transaction_status = 'FRAUD' GROUP BY minute""",
-    "t03_drop_duplicates": "SELECT DISTINCT transaction_id FROM damaged",
+    "t02_replayed_timeline": """
+      SELECT date_trunc('minute', transaction_timestamp) AS minute, COUNT(*) AS fraud_count FROM tx
+      WHERE transaction_status = 'FRAUD' GROUP BY minute""",
+    "t03_drop_duplicates": """
+      SELECT DISTINCT transaction_id FROM damaged WHERE transaction_id IS NOT NULL
+      UNION ALL SELECT transaction_id FROM damaged WHERE transaction_id IS NULL""",
     "t03_drop_stored": f"SELECT transaction_id FROM tx WHERE {ALERTING}",
     "t03_stream_duplicates": f"SELECT {TX_COLUMNS} FROM ({_stored('streamed')})",
     # declared tables
@@ -491,13 +539,35 @@ SELECTS: dict[str, str] = {
       SELECT CAST(transaction_timestamp AS DATE) AS report_date, COUNT(*) AS total_transactions,
              {_n_status('NORMAL', 'SUSPICIOUS', 'FRAUD')}, {_fraud_money('total_fraud_amount')}
       FROM tx GROUP BY report_date""",
-    "x02_user_dimension": "SELECT 'U' || user_id AS user_id, usual_country, user_avg_amount AS avg_amount FROM profile",
+    "x02_user_dimension": """
+      SELECT 'U' || c_custkey AS user_id, n_name AS usual_country, user_avg_amount AS avg_amount,
+             CAST(NULL AS VARCHAR) AS risk_level
+      FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN profile ON user_id = c_custkey""",
     "x04_surrogate_keys": "SELECT alert_id, transaction_id FROM alerts",
 }
 
 
+_KNOWN_STATUS = "transaction_status IN ('NORMAL', 'SUSPICIOUS', 'FRAUD')"
+_DAMAGED_ROWS = {
+    "a07": _KNOWN_STATUS,
+    "a08": _KNOWN_STATUS,
+    "a09": f"{_KNOWN_STATUS} AND behavior_score IS NOT NULL",
+    "a10": f"{_KNOWN_STATUS} AND detection_method IS NOT NULL",
+}
+
+
+def _damaged(name: str) -> str:
+    """The same SELECT over the damaged rows that the plan takes: labelled ones, or those of a known status."""
+    rows = _DAMAGED_ROWS.get(name[:3], "actual_label IS NOT NULL")
+    return SELECTS[name].replace("FROM tx", f"FROM (SELECT * FROM damaged WHERE {rows}) AS taken")
+
+
 def statements() -> dict[str, str]:
-    from checks.queries import FROM_CUBE
+    from checks.queries import CSV_CONTENTS, DAMAGED_PLANS, FROM_CUBE
 
     selects = {**SELECTS, **{f"{name}_from_cube": SELECTS[name] for name in FROM_CUBE}}
+    selects |= {f"{name}_damaged": _damaged(name) for name in DAMAGED_PLANS}
+    selects |= {f"{name}_merged": SELECTS[name] for name in SELECTS if name[:3] in ("l03", "l04", "l05")}
+    selects |= {name: SELECTS[content] for name, content in CSV_CONTENTS.items()}
+    selects["k09_model_evaluation_metrics"] = f"SELECT * EXCLUDE (evaluated_at) FROM ({SELECTS['a12_confusion_metrics']})"
     return {name: f"{BASE} {select}" for name, select in selects.items()}

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import derived
 from riskstream.functions import cleaning, decision, projections, rules
 from riskstream.functions import predicates as where
 from riskstream.jobs import write_daily_report, write_evaluation_report
@@ -17,17 +18,16 @@ from riskstream.operators import quality, rebalance, reconcile, repair
 from riskstream.operators.dedupe import drop_stored, keep_first
 from riskstream.operators.enrich import with_profile
 from riskstream.plans import daily, dashboard, evaluation, training, verification
-from riskstream.plans.snapshot import snapshot
+from riskstream.plans.snapshot import kept_cube, panels
 from riskstream.schemas import LABEL, MODEL_FEATURES, SIGNAL_FIELDS
 from riskstream.session import workspace
 from riskstream.sinks import reports
-from riskstream.sources import derived
 from riskstream.sources.labelled import complete_rows, labelled_csv, replay_source
 from riskstream.sources.messages import file_messages
-from riskstream.sources.models import load_pipeline, pipeline_scorer
+from riskstream.sources.models import load_pipeline, model_inputs, pipeline_scorer
 from riskstream.sources.tables import TableStore
-from riskstream.streaming.scoring import BatchWriter, fan_out, start_scoring
-from riskstream.streaming.timeline import fraud_timeline, start_timeline
+from riskstream.streaming.scoring import BatchWriter, fan_out, prepared, start_scoring
+from riskstream.streaming.timeline import fraud_timeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,15 +84,13 @@ def _store_once(kind: str, build) -> Query:
 
 def _store_with_losses(spark: SparkSession, sf: str) -> TableStore:
     store, tx = TableStore(spark, workspace(spark, "store")), transactions(spark, sf)
-    store.replace_run("transactions", tx, "batch-0")
-    store.replace_run("fraud_alerts", derived.lossy_alerts(tx), "batch-0")
+    store.write_run("batch-0", {"transactions": tx, "fraud_alerts": derived.lossy_alerts(tx)})
     return store
 
 
 def _damaged_store(spark: SparkSession, sf: str) -> TableStore:
     store, tx = TableStore(spark, workspace(spark, "store")), transactions(spark, sf)
-    store.replace_run("transactions", derived.damaged(tx), "batch-0")
-    store.replace_run("fraud_alerts", derived.lossy_alerts(tx), "batch-0")
+    store.write_run("batch-0", {"transactions": derived.damaged(tx), "fraud_alerts": derived.lossy_alerts(tx)})
     return store
 
 
@@ -193,13 +191,36 @@ def empty_batch(spark, sf):
     store = TableStore(spark, workspace(spark, "store"))
     write = _writer(store)
     messages = spark.read.text(_message_folder(spark, sf))
-    write(messages, 0)
-    write(messages.filter(F.lit(False)), 1)
-    runs = spark.read.parquet(store.path("transactions")).groupBy("run_id")
-    return runs.agg(F.count(F.lit(1)).alias("row_count"))
+    write(prepared(messages), 0)
+    write(prepared(messages.filter(F.lit(False))), 1)
+    runs = {commit.run_id: store.read("transactions", run_id=commit.run_id) for commit in store.commits()}
+    return verification.table_counts(**runs).withColumnRenamed("table_name", "run_id")
 
 
 REGISTRY["k03_append_transactions"] = _table(_batch_store, "transactions")
+
+
+@query("k03_two_streams")
+def two_streams(spark, sf):
+    """Two streams with checkpoints of their own fill one store, each from half of the messages."""
+    store = TableStore(spark, workspace(spark, "store"))
+    messages = derived.json_messages(spark, sf)
+    for rest in (0, 1):
+        folder = workspace(spark, "messages")
+        half = messages.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == rest)
+        reports.publish_text(half.repartition(2), folder)
+        _drain(spark, folder, store, workspace(spark, "checkpoint"))
+    return store.read("transactions")
+
+
+@query("k03_compacted")
+def compacted(spark, sf):
+    """The streamed store with its finished batches merged into files by day."""
+    store = _streamed_store(spark, sf)
+    store.compact(keep_latest=False, retain_hours=0)
+    return store.read("transactions")
+
+
 REGISTRY["k04_append_risk_scores"] = _table(_batch_store, "risk_scores")
 REGISTRY["k05_append_alerts"] = _table(_batch_store, "fraud_alerts")
 
@@ -234,6 +255,34 @@ def evaluation_csv(spark, sf):
     return _csv_counts(spark, write_evaluation_report(transactions(spark, sf), workspace(spark, "reports"), STAMP_AT))
 
 
+def _csv_content(write, plan, report: str) -> Query:
+    """A report read back from its file, with the types it was written from."""
+
+    def read(spark, sf) -> DataFrame:
+        tx = transactions(spark, sf)
+        path = write(tx, workspace(spark, "reports"), STAMP_AT)[report]
+        return spark.read.options(**reports.CSV_OPTIONS).schema(plan(tx).schema).csv(path)
+
+    return read
+
+
+#: Written report -> the query that states its content.
+CSV_CONTENTS = {
+    "k07_fraud_summary": "a01_daily_summary",
+    "k07_fraud_status_distribution": "a02_status_breakdown",
+    "k07_fraud_top_countries": "a03_top_alert_countries",
+    "k07_fraud_details": "l01_alert_details",
+    "k09_model_evaluation_distribution": "a13_label_status_breakdown",
+    "k09_model_top_predictions": "l02_top_predictions",
+}
+
+
+@query("k09_model_evaluation_metrics")
+def evaluation_metrics_csv(spark, sf):
+    content = _csv_content(write_evaluation_report, evaluation.confusion_metrics, "model_evaluation_metrics")
+    return content(spark, sf).drop("evaluated_at")
+
+
 @query("k10_repair_csv")
 def repair_csv(spark, sf):
     report = repair.repair(_store_with_losses(spark, sf), "nightly", _stamp())
@@ -249,7 +298,7 @@ def repair_csv(spark, sf):
 
 @query("k13_publish_messages")
 def publish(spark, sf):
-    events = derived.payment_events(spark, sf).drop("n", "ml_probability")
+    events = derived.events_with_signals(spark, sf).drop("n")
     timed = events.withColumn("timestamp", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")).drop("event_time")
     messages = reports.keyed_messages(timed)
     keyed = messages.select("key", F.from_json("value", "transaction_id string").alias("named"))
@@ -259,7 +308,8 @@ def publish(spark, sf):
     back = cleaning.parse_events(cleaning.message_text(spark.read.text(folder)))
     return back.join(keys, "transaction_id").select(
         "message_key",
-        *[c for c in back.columns if c not in ("currency", "Time", *SIGNAL_FIELDS)],
+        *[c for c in back.columns if c != "transaction_id"],
+        "transaction_id",
     )
 
 
@@ -282,12 +332,12 @@ def text(spark, sf):
 
 @query("p02_json_to_struct")
 def json_to_struct(spark, sf):
-    return _parsed(spark, sf).select("transaction_id", "user_id", "amount", "country")
+    return _parsed(spark, sf)
 
 
 @query("p03_flatten_event")
 def flatten(spark, sf):
-    return _parsed(spark, sf).drop(*SIGNAL_FIELDS[1:-1])
+    return _parsed(spark, sf)
 
 
 @query("p04_event_time")
@@ -314,9 +364,8 @@ def fill(spark, sf):
 @query("p08_model_amount")
 def model_amount(spark, sf):
     """The model's ``Amount`` beside the event's ``amount``, as the scorer packs them."""
-    events = derived.payment_events(spark, sf)
-    packed = events.select(F.col("amount").alias("Amount"), F.struct("transaction_id", "amount").alias("event"))
-    return packed.select("event.transaction_id", "event.amount", F.col("Amount").alias("model_amount"))
+    events = cleaning.fill_features(derived.events_with_signals(spark, sf))
+    return model_inputs(events).select("event.transaction_id", "event.amount", F.col("Amount").alias("model_amount"))
 
 
 def _scored_messages(spark, sf) -> DataFrame:
@@ -376,8 +425,7 @@ def nothing_missing(spark, sf):
 def enrichment(spark, sf):
     spend = derived.input_table(spark, sf, "events").select("event_id", "user_id", F.col("value").alias("amount"))
     profiles = derived.user_profiles(spark, sf).withColumnRenamed("user_avg_amount", "avg_amount")
-    customers = derived.input_table(spark, sf, "customer").count()
-    return with_profile(spend, profiles, dim_rows=customers, spread_by="event_id")
+    return with_profile(spend, profiles, spread_by="event_id")
 
 
 # ---------------------------------------------------------------- filters
@@ -385,8 +433,7 @@ def enrichment(spark, sf):
 
 @query("f01_required_fields")
 def required_fields(spark, sf):
-    timed = cleaning.with_event_time(_parsed(spark, sf)).filter(where.has_required_fields())
-    return timed.select("transaction_id", "user_id", "amount", "event_time")
+    return cleaning.accepted_events(_bodies(spark, sf)).select("transaction_id", "user_id", "amount", "event_time")
 
 
 @query("f01_rejected_messages")
@@ -411,9 +458,8 @@ REGISTRY["f03_no_selection"] = _filtered(
 REGISTRY["f04_labelled"] = _filtered(
     damaged_transactions, where.is_labelled, "transaction_id", "actual_label"
 )
-SCORES = ("final_score", "ml_probability", "behavior_score", "detection_method")
-REGISTRY["f05_scores_present"] = _over(
-    damaged_transactions, lambda tx: tx.dropna(subset=SCORES).select("transaction_id", *SCORES)
+REGISTRY["f05_scores_present"] = _filtered(
+    damaged_transactions, where.has_scores, "transaction_id", *where.SCORES
 )
 REGISTRY["f06_fraud_only"] = _filtered(transactions, where.is_fraud, "transaction_id")
 REGISTRY["f07_by_class"] = _filtered(derived.labelled_rows, lambda: where.in_class(1), "Time", LABEL)
@@ -473,10 +519,16 @@ def _saved_model(spark, sf) -> str:
     return path
 
 
+def _known(predictions: DataFrame) -> DataFrame:
+    """Of scored rows what does not depend on what the forest learned."""
+    sound = F.col("ml_probability").between(0, 1) & F.col("prediction").isin(0.0, 1.0)
+    return predictions.select("row_time", "label", sound.alias("sound"))
+
+
 @query("s06_model_scan")
 def model_scan(spark, sf):
     model = load_pipeline(_saved_model(spark, sf))
-    return training.prediction_rows(model.transform(derived.labelled_rows(spark, sf)))
+    return _known(training.prediction_rows(model.transform(derived.labelled_rows(spark, sf))))
 
 
 @query("k11_model_save")
@@ -494,7 +546,16 @@ def training_record(spark, sf):
     path = workspace(spark, "metrics")
     record = training.metrics_record(spark, _training(spark, sf).metrics)
     reports.write_record(record, path)
-    return spark.read.schema(record.schema).json(path)
+    back = spark.read.schema(record.schema).json(path)
+    return back.select(
+        "model_type",
+        "total_rows",
+        "normal_rows",
+        "fraud_rows",
+        (F.col("auc") > 0.9).alias("auc_is_high"),
+        (F.col("f1") > 0.9).alias("f1_is_high"),
+        F.array_join("features", ",").alias("features"),
+    )
 
 
 def _event_probabilities(spark, sf) -> DataFrame:
@@ -504,7 +565,9 @@ def _event_probabilities(spark, sf) -> DataFrame:
 
 @query("r09_ml_probability")
 def ml_probability(spark, sf):
-    return _event_probabilities(spark, sf).select("transaction_id", "ml_probability")
+    return _event_probabilities(spark, sf).select(
+        "transaction_id", F.col("ml_probability").between(0, 1).alias("sound")
+    )
 
 
 @query("m01_class_weights")
@@ -521,8 +584,14 @@ def split_by_hash(spark, sf):
 
 @query("m02_random_split")
 def split_at_random(spark, sf):
-    train, held_out = rebalance.random_split(derived.labelled_rows(spark, sf))
-    return verification.table_counts(train=train, held_out=held_out)
+    """Both parts hold every row once, and the larger about its share; which row is where is left to chance."""
+    train, held_out = rebalance.random_split(derived.labelled_rows(spark, sf).select("Time"))
+    parts = train.withColumn("part", F.lit(1)).unionByName(held_out.withColumn("part", F.lit(0)))
+    return parts.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("Time").alias("distinct_rows"),
+        F.avg("part").between(0.7, 0.9).alias("share_is_near"),
+    )
 
 
 @query("m03_feature_vector")
@@ -541,9 +610,8 @@ def feature_vector(spark, sf):
 def forest_importances(spark, sf):
     trees = _training(spark, sf).model.stages[-1]
     weights = trees.featureImportances.toArray()
-    return spark.createDataFrame(
-        [(name, float(weight)) for name, weight in zip(MODEL_FEATURES, weights)], "feature string, importance double"
-    )
+    rows = [(name, 0 <= float(weight) <= 1) for name, weight in zip(MODEL_FEATURES, weights, strict=True)]
+    return spark.createDataFrame(rows, "feature string, sound boolean")
 
 
 @query("m05_pipeline_fit")
@@ -554,7 +622,7 @@ def pipeline_stages(spark, sf):
 
 @query("m06_batch_scoring")
 def batch_scoring(spark, sf):
-    return training.prediction_rows(_training(spark, sf).predictions)
+    return _known(training.prediction_rows(_training(spark, sf).predictions))
 
 
 @query("m07_stream_scoring")
@@ -568,17 +636,29 @@ def stream_scoring(spark, sf):
     writer = BatchWriter(store, scorer, processed_at=_stamp())
     stream = start_scoring(file_messages(spark, folder, 2), writer, workspace(spark, "checkpoint"), availableNow=True)
     stream.awaitTermination()
-    return store.read("transactions").select("transaction_id", "ml_probability", "final_score", "transaction_status")
+    # the stored probability is rounded to four digits, so a score made from it may be off by one
+    stored = store.read("transactions").withColumn("ml_probability", F.col("ml_probability").cast("double"))
+    ruled = store.read("risk_scores").select("transaction_id", sum(map(F.col, rules.RULES)).alias("rule_score"))
+    again = decision.with_decision(
+        stored.select("transaction_id", "ml_probability", "behavior_score", F.col("final_score").alias("stored_score"))
+        .join(ruled, "transaction_id"),
+        _stamp(),
+    )
+    return again.select(
+        "transaction_id",
+        F.col("ml_probability").between(0, 1).alias("sound"),
+        (F.abs(F.col("final_score") - F.col("stored_score")) <= 1).alias("score_follows"),
+    )
 
 
 @query("m08_area_under_roc")
 def auc(spark, sf):
-    return spark.createDataFrame([(training.area_under_roc(_training(spark, sf).predictions),)], "auc double")
+    return spark.createDataFrame([(training.area_under_roc(_training(spark, sf).predictions) > 0.9,)], "auc_is_high boolean")
 
 
 @query("m09_weighted_f1")
 def f1(spark, sf):
-    return spark.createDataFrame([(training.weighted_f1(_training(spark, sf).predictions),)], "f1 double")
+    return spark.createDataFrame([(training.weighted_f1(_training(spark, sf).predictions) > 0.9,)], "f1_is_high boolean")
 
 
 @query("m10_rebalance")
@@ -633,12 +713,18 @@ TRANSACTION_PLANS = {
     "a16_frauds_per_minute": dashboard.frauds_per_minute,
     "l01_alert_details": daily.alert_details,
     "l02_top_predictions": evaluation.top_predictions,
-    "l03_latest_transactions": dashboard.latest_transactions,
-    "l05_latest_checked": verification.latest_checked,
     "x01_daily_rollup": daily.daily_rollup,
 }
 for _name, _plan in TRANSACTION_PLANS.items():
     REGISTRY[_name] = _over(transactions, _plan)
+for _name, _content in CSV_CONTENTS.items():
+    _write = write_daily_report if _name.startswith("k07") else write_evaluation_report
+    REGISTRY[_name] = _csv_content(_write, TRANSACTION_PLANS[_content], _name[4:])
+
+# The same on rows with nulls: labels, scores and methods.
+DAMAGED_PLANS = [name for name in TRANSACTION_PLANS if "a07" <= name[:3] <= "a15" and not name.endswith("_wide")]
+for _name in DAMAGED_PLANS:
+    REGISTRY[f"{_name}_damaged"] = _over(damaged_transactions, TRANSACTION_PLANS[_name])
 
 
 # The same breakdowns, all from one pass over the transactions.
@@ -647,28 +733,30 @@ FROM_CUBE = {
     "a02_status_breakdown": "status_breakdown",
     "a03_top_alert_countries": "top_alert_countries",
     "a04_kpi_block": "kpi_block",
+    "a05_status_distribution": "status_distribution",
     "a06_top_countries": "top_countries",
     "a07_final_score_histogram": "final_score_histogram",
     "a08_probability_histogram": "probability_histogram",
     "a09_behavior_distribution": "behavior_distribution",
     "a10_method_distribution": "method_distribution",
     "a11_confusion": "confusion",
+    "a12_confusion_metrics": "confusion_metrics",
     "a13_label_status_breakdown": "label_status_breakdown",
     "a14_label_status_matrix": "label_status_matrix",
     "a15_label_profile": "label_profile",
 }
-_SNAPSHOTS: dict[tuple, dict[str, DataFrame]] = {}
+_CUBES: dict[tuple, DataFrame] = {}
 
 
 def _panel(name: str) -> Query:
-    """One breakdown of a snapshot; the cube is written once per application and data folder."""
+    """One breakdown of the cube, which is kept once per application and data folder."""
     statuses = ("SUSPICIOUS", "FRAUD") if name == "kpi_block" else ()
 
     def read(spark, sf) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf, statuses)
-        if key not in _SNAPSHOTS:
-            _SNAPSHOTS[key] = snapshot(transactions(spark, sf), statuses)
-        return _SNAPSHOTS[key][name]
+        key = (spark.sparkContext.applicationId, sf)
+        if key not in _CUBES:
+            _CUBES[key] = kept_cube(transactions(spark, sf))
+        return panels(_CUBES[key], statuses, _stamp())[name]
 
     return read
 
@@ -683,7 +771,27 @@ def table_counts(spark, sf):
 
 
 REGISTRY["a18_duplicated_ids"] = _over(damaged_transactions, reconcile.duplicated_ids)
-REGISTRY["l04_latest_alerts"] = _over(fraud_alerts, dashboard.latest_alerts)
+
+
+def _newest(store: Query, table: str, top: int, plan) -> Query:
+    """A listing that reads only the files which hold the newest rows."""
+    return lambda spark, sf: plan(store(spark, sf).newest(table, top))
+
+
+def _compacted_store(spark: SparkSession, sf: str) -> TableStore:
+    """Payments in several batches, merged."""
+    store, scored = TableStore(spark, workspace(spark, "store")), derived.scored_events(spark, sf)
+    for rest in range(3):
+        fan_out(scored.filter(F.col("n") % 3 == rest), store, f"batch-{rest}", fixed_point_messages=True)
+    store.compact(keep_latest=False)
+    return store
+
+
+_merged_store = _store_once("merged", _compacted_store)
+for _suffix, _kind in (("", _sound_store), ("_merged", _merged_store)):
+    REGISTRY[f"l03_latest_transactions{_suffix}"] = _newest(_kind, "transactions", 30, dashboard.latest_transactions)
+    REGISTRY[f"l04_latest_alerts{_suffix}"] = _newest(_kind, "fraud_alerts", 30, dashboard.latest_alerts)
+    REGISTRY[f"l05_latest_checked{_suffix}"] = _newest(_kind, "transactions", 20, verification.latest_checked)
 REGISTRY["l06_newest_missing_alerts"] = _missing
 
 
@@ -732,18 +840,22 @@ def restarted_stream(spark, sf):
     )
     _drain(spark, folder, store, checkpoint, files_per_batch=8)
     _drain(spark, folder, store, checkpoint, files_per_batch=8)
-    _writer(store)(spark.read.text(folder), 0)
+    _writer(store)(prepared(spark.read.text(folder)), 0)
     return store.read("transactions")
 
 
 @query("t02_fraud_timeline")
 def timeline(spark, sf):
-    counts = workspace(spark, "timeline")
-    stream = _sound_store(spark, sf).follow("transactions", files_per_batch=16)
-    start_timeline(
-        fraud_timeline(stream), counts, workspace(spark, "checkpoint"), availableNow=True
-    ).awaitTermination()
-    return spark.read.parquet(counts)
+    return fraud_timeline(_sound_store(spark, sf))
+
+
+@query("t02_replayed_timeline")
+def replayed_timeline(spark, sf):
+    """Two batches, the second of them written again, as after a crash."""
+    store, scored = TableStore(spark, workspace(spark, "store")), derived.scored_events(spark, sf)
+    for run, rest in (("batch-0", 0), ("batch-1", 1), ("batch-1", 1)):
+        fan_out(scored.filter(F.col("n") % 2 == rest), store, run)
+    return fraud_timeline(store)
 
 
 @query("t03_drop_duplicates")
@@ -771,13 +883,5 @@ def stream_duplicates(spark, sf):
     return store.read("transactions")
 
 
-@query("x02_user_dimension")
-def user_dimension(spark, sf):
-    return derived.user_profiles(spark, sf).select(
-        F.concat(F.lit("U"), F.col("user_id")).alias("user_id"),
-        "usual_country",
-        F.col("user_avg_amount").alias("avg_amount"),
-    )
-
-
+REGISTRY["x02_user_dimension"] = derived.users
 REGISTRY["x04_surrogate_keys"] = _over(fraud_alerts, lambda a: a.select("alert_id", "transaction_id"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from riskstream.functions.predicates import REQUIRED_FIELDS, has_required_fields
 from riskstream.schemas import EVENT, MODEL_FEATURES, MONEY_BOUND
 
 # --- fixed values: time layout, and the spend assumed for users without history ---
@@ -19,7 +19,7 @@ def message_text(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("value").cast("string").alias("body"))
 
 
-def parse_events(bodies: DataFrame, fields: StructType = EVENT, keep_body: bool = False) -> DataFrame:
+def parse_events(bodies: DataFrame, keep_body: bool = False) -> DataFrame:
     """JSON text to the declared event columns; unreadable text gives all nulls.
 
     The struct is flattened by a generator rather than by ``select("event.*")``: filters are not
@@ -27,7 +27,7 @@ def parse_events(bodies: DataFrame, fields: StructType = EVENT, keep_body: bool
     then the parse is repeated for every reference to one of its fields.
     """
     kept = ["body"] if keep_body else []
-    return bodies.select(*kept, F.inline(F.array(F.from_json("body", fields))))
+    return bodies.select(*kept, F.inline(F.array(F.from_json("body", EVENT))))
 
 
 def event_time(text: str = "timestamp") -> Column:
@@ -78,28 +78,36 @@ def reject_reason() -> Column:
     NaN amounts and amounts beyond the storage type are turned away here: scored, they
     would either count as zero spend or stop the stream at the table write.
     """
-    required = [F.col(c) for c in ("transaction_id", "user_id", "amount", "event_time")]
-    unreadable = F.coalesce(*[c.cast("string") for c in required]).isNull()
+    unreadable = F.coalesce(*[F.col(c).cast("string") for c in REQUIRED_FIELDS]).isNull()
     return (
-        F.when(unreadable, "unreadable_message")
+        F.when(has_required_fields() & ~F.isnan("amount") & (F.abs("amount") < MONEY_BOUND), None)
+        .when(unreadable, "unreadable_message")
         .when(F.col("transaction_id").isNull(), "missing_transaction_id")
         .when(F.col("user_id").isNull(), "missing_user_id")
         .when(F.col("amount").isNull(), "missing_amount")
         .when(F.col("event_time").isNull(), "bad_timestamp")
         .when(F.isnan("amount"), "amount_not_a_number")
-        .when(F.abs(F.col("amount")) >= MONEY_BOUND, "amount_out_of_range")
+        .otherwise("amount_out_of_range")
     )
 
 
+def judged_events(bodies: DataFrame) -> DataFrame:
+    """Every message parsed once: event columns, ``event_time``, ``reject_reason``, and the body of rejected ones."""
+    timed = with_event_time(parse_events(bodies, keep_body=True)).withColumn("reject_reason", reject_reason())
+    return timed.withColumn("body", F.when(F.col("reject_reason").isNotNull(), F.col("body")))
+
+
+def ready_events(events: DataFrame, use_supplied_average: bool = False) -> DataFrame:
+    """Defaults for what a scorer needs."""
+    return fill_features(with_spend_defaults(events, use_supplied_average))
+
+
 def accepted_events(bodies: DataFrame, use_supplied_average: bool = False) -> DataFrame:
     """Complete, typed events ready for scoring."""
-    timed = with_event_time(parse_events(bodies))
-    complete = timed.filter(reject_reason().isNull())
-    return fill_features(with_spend_defaults(complete, use_supplied_average))
+    complete = judged_events(bodies).filter("reject_reason IS NULL").drop("body", "reject_reason")
+    return ready_events(complete, use_supplied_average)
 
 
 def rejected_events(bodies: DataFrame) -> DataFrame:
     """The messages :func:`accepted_events` leaves out, whole, with the reason."""
-    required = StructType([EVENT[name] for name in ("transaction_id", "user_id", "amount", "timestamp")])
-    timed = with_event_time(parse_events(bodies, required, keep_body=True))
-    return timed.select("body", reject_reason().alias("reject_reason")).filter("reject_reason IS NOT NULL")
+    return judged_events(bodies).filter("reject_reason IS NOT NULL").select("body", "reject_reason")

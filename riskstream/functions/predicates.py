@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskstream.schemas import ALERTABLE, ALL_STATUSES, FRAUD, LABEL
 
+SCORES = ("final_score", "ml_probability", "behavior_score", "detection_method")
 REQUIRED_FIELDS = ("transaction_id", "user_id", "amount", "event_time")
 
 
@@ -39,3 +40,10 @@ def is_labelled(label: str = "actual_label") -> Column:
 
 def in_class(value: int, label: str = LABEL) -> Column:
     return F.col(label) == value
+
+
+def has_scores() -> Column:
+    present = F.lit(True)
+    for name in SCORES:
+        present = present & F.col(name).isNotNull()
+    return present

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.functions.predicates import is_alertable
+from riskstream.functions.predicates import is_alertable, is_fraud
 from riskstream.functions.rules import RULES
 from riskstream.schemas import FRAUD_ALERTS, MONEY, PROBABILITY, RISK_SCORES, TRANSACTIONS
 
@@ -29,7 +29,8 @@ def transaction_rows(scored: DataFrame) -> DataFrame:
     stored = {
         "amount": F.col("amount").cast(MONEY),
         "ml_probability": F.col("ml_probability").cast(PROBABILITY),
-        "actual_label": F.col("actual_label").cast("int"),
+        # a label beyond the integers, or NaN, is unknown; under ANSI rules a plain cast would stop the stream
+        "actual_label": F.when(~F.isnan("actual_label"), F.col("actual_label").try_cast("int")),
         "transaction_timestamp": F.col("event_time"),
     }
     return scored.select(*[stored.get(name, F.col(name)).alias(name) for name in TRANSACTIONS.names])
@@ -82,3 +83,9 @@ def repair_alert_rows(missing: DataFrame, created_at: Column) -> DataFrame:
         " with risk score ", F.col("risk_score"),
     )
     return _alert_rows(missing, REPAIR_ALERT, message, created_at)
+
+
+def fraud_minute_rows(scored: DataFrame) -> DataFrame:
+    """Frauds of a batch per minute of event time."""
+    minute = F.date_trunc("minute", "event_time").cast("timestamp_ntz").alias("minute")
+    return scored.filter(is_fraud()).groupBy(minute).agg(F.count(F.lit(1)).alias("fraud_count"))

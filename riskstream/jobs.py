@@ -1,8 +1,11 @@
-"""Entry points for spark-submit: one command per job.
-
-    spark-submit -m riskstream.jobs score   --store URI --messages URI --model URI --checkpoint URI
-    spark-submit -m riskstream.jobs train   --data URI --model URI --metrics URI
-    spark-submit -m riskstream.jobs daily|evaluate|quality|repair --store URI --reports URI
+"""Commands of ``run.py``, the file to pass to spark-submit: one per job.
+
+    spark-submit run.py score   --store URI --messages URI --model URI --checkpoint URI
+    spark-submit run.py train   --data URI --model URI --metrics URI
+    spark-submit run.py daily|evaluate|quality|repair --store URI --reports URI
+    spark-submit run.py compact --store URI
+    spark-submit run.py export  --store URI --jdbc URL
+    spark-submit run.py publish --data URI --kafka SERVERS --topic NAME
 """
 
 from __future__ import annotations
@@ -16,11 +19,11 @@ from riskstream.operators import quality
 from riskstream.operators.repair import repair
 from riskstream.plans import daily, evaluation, training
 from riskstream.session import build_session
-from riskstream.sinks.reports import write_csv, write_record
+from riskstream.sinks.reports import CSV_OPTIONS, keyed_messages, publish_kafka, write_csv, write_record
 from riskstream.sources.labelled import labelled_csv
 from riskstream.sources.messages import file_messages, kafka_messages
 from riskstream.sources.models import load_pipeline, pipeline_scorer
-from riskstream.sources.tables import TableStore
+from riskstream.sources.tables import TABLES, TableStore, append_jdbc
 from riskstream.streaming.scoring import BatchWriter, start_scoring
 
 
@@ -51,7 +54,7 @@ def check_quality(store: TableStore, folder: str, at: datetime, strict: bool = T
     path = write_csv(report, folder, "data_quality_report", at)
     if strict:
         # The gate reads what was written, so the checks run once and both always agree.
-        quality.enforce(store.spark.read.option("header", True).schema(report.schema).csv(path))
+        quality.enforce(store.spark.read.options(**CSV_OPTIONS).schema(report.schema).csv(path))
     return path
 
 
@@ -68,13 +71,13 @@ def train_model(spark, data: str, model_path: str, metrics_path: str) -> dict:
 
 
 def score_stream(spark, args) -> None:
-    writer = BatchWriter(
-        TableStore(spark, args.store), pipeline_scorer(load_pipeline(args.model)), history_days=args.history_days
-    )
+    writer = BatchWriter(TableStore(spark, args.store), pipeline_scorer(load_pipeline(args.model)))
     if args.kafka:
-        messages = kafka_messages(spark, args.kafka, args.topic)
+        bounds = {"maxOffsetsPerTrigger": args.batch_messages, "minPartitions": args.min_partitions}
+        options = {name: str(value) for name, value in bounds.items() if value}
+        messages = kafka_messages(spark, args.kafka, args.topic, **options)
     else:
-        messages = file_messages(spark, args.messages)
+        messages = file_messages(spark, args.messages, args.batch_files)
     trigger = {"availableNow": True} if args.once else {}
     start_scoring(messages, writer, args.checkpoint, **trigger).awaitTermination()
 
@@ -90,7 +93,9 @@ def _arguments(argv=None) -> argparse.Namespace:
     source.add_argument("--messages", help="folder of JSON lines")
     source.add_argument("--kafka", help="bootstrap servers")
     score.add_argument("--topic", default="transactions_raw")
-    score.add_argument("--history-days", type=int)
+    score.add_argument("--batch-messages", type=int, default=1_000_000, help="messages of a topic per batch")
+    score.add_argument("--min-partitions", type=int, help="tasks that read the topic")
+    score.add_argument("--batch-files", type=int, default=1000, help="files of a folder per batch")
     score.add_argument("--once", action="store_true", help="drain what is there and stop")
     train = commands.add_parser("train")
     for name in ("--data", "--model", "--metrics"):
@@ -99,9 +104,32 @@ def _arguments(argv=None) -> argparse.Namespace:
         report = commands.add_parser(name)
         report.add_argument("--store", required=True)
         report.add_argument("--reports", required=True)
+    compact = commands.add_parser("compact", help="merge finished batches into files by day")
+    compact.add_argument("--store", required=True)
+    compact.add_argument("--retain-hours", type=float, default=24.0, help="keep replaced files this long")
+    export = commands.add_parser("export", help="append the result tables to a database")
+    export.add_argument("--store", required=True)
+    export.add_argument("--jdbc", required=True, help="URL")
+    publish = commands.add_parser("publish", help="send labelled rows as messages to a topic")
+    publish.add_argument("--data", required=True)
+    publish.add_argument("--kafka", required=True, help="bootstrap servers")
+    publish.add_argument("--topic", default="transactions_raw")
     return parser.parse_args(argv)
 
 
+def export_tables(store: TableStore, url: str) -> list[str]:
+    """Append every result table to the database; returns their names."""
+    for name in TABLES:
+        append_jdbc(store.read(name), url, name)
+    return list(TABLES)
+
+
+def publish_rows(spark, data: str, servers: str, topic: str) -> str:
+    """Labelled rows as keyed messages, the row time as the key."""
+    publish_kafka(keyed_messages(labelled_csv(spark, data), key="Time"), servers, topic)
+    return topic
+
+
 def main(argv=None) -> None:
     args = _arguments(argv)
     spark = build_session(f"riskstream {args.command}")
@@ -110,6 +138,12 @@ def main(argv=None) -> None:
         score_stream(spark, args)
     elif args.command == "train":
         print(train_model(spark, args.data, args.model, args.metrics))
+    elif args.command == "compact":
+        print(TableStore(spark, args.store).compact(retain_hours=args.retain_hours))
+    elif args.command == "export":
+        print(export_tables(TableStore(spark, args.store), args.jdbc))
+    elif args.command == "publish":
+        print(publish_rows(spark, args.data, args.kafka, args.topic))
     else:
         store = TableStore(spark, args.store)
         transactions = store.read("transactions")
@@ -120,7 +154,3 @@ def main(argv=None) -> None:
             "repair": lambda: repair_alerts(store, args.reports, now),
         }
         print(run[args.command]())
-
-
-if __name__ == "__main__":
-    main()

@@ -1,44 +1,51 @@
-"""One row per transaction id, within a frame and against what is stored."""
+"""One row per transaction id, within a frame, along a stream, and against what is stored."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskstream.operators.lookup import BROADCAST_ROWS, fits_broadcast
+from riskstream.operators.lookup import BROADCAST_BYTES, fits_broadcast
+
+# Parts of one id's rows that a batch compares before they meet.
+SALTS = 64
 
 
 def keep_first(df: DataFrame, key: str = "transaction_id", order: Sequence[str] = ("event_time",)) -> DataFrame:
-    """The first row of every key, ties settled by row content, so replays pick the same row.
+    """The first row of every key, ties settled by row content; rows without a key are all kept.
 
     Catalyst plans the rank filter as a partial group limit before the shuffle: each map task
     sends at most one row per key, so a key repeated in a third of the rows moves few of them.
     """
     window = Window.partitionBy(key).orderBy(*order, F.xxhash64(*df.columns))
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    ranked = df.filter(F.col(key).isNotNull()).withColumn("_rank", F.row_number().over(window))
+    return ranked.filter("_rank = 1").drop("_rank").unionByName(df.filter(F.col(key).isNull()))
 
 
-def stored_keys(
-    new: DataFrame, stored: DataFrame, key: str = "transaction_id", new_is_small: bool = False
-) -> DataFrame:
-    """Keys of ``new`` that ``stored`` already has.
+def drop_repeats(events: DataFrame, key: Column) -> DataFrame:
+    """The first row seen of every key, over the whole of a stream or within a batch frame.
 
-    ``stored`` is the long table. When the new rows are few it is only scanned, one column
-    wide, past a broadcast of their keys; otherwise both sides are shuffled once.
+    A stream keeps the keys in its state store, so a batch costs lookups for its own rows only.
+    Rows are compared within parts of a key first, so a key with a third of a batch is spread
+    over tasks and each part sends one row on.
     """
-    new_keys = new.select(key).distinct()
-    if new_is_small:
-        new_keys = F.broadcast(new_keys)
-    return stored.select(key).join(new_keys, key, "left_semi").distinct()
+    salted = events.withColumns({"_key": key, "_salt": F.pmod(F.spark_partition_id(), F.lit(SALTS))})
+    return salted.dropDuplicates(["_key", "_salt"]).dropDuplicates(["_key"]).drop("_key", "_salt")
 
 
 def drop_stored(
-    new: DataFrame, stored: DataFrame, key: str = "transaction_id", broadcast_rows: int = BROADCAST_ROWS
+    new: DataFrame, stored: DataFrame, key: str = "transaction_id", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``stored``."""
-    small = fits_broadcast(new, broadcast_rows)
-    found = stored_keys(new, stored, key, small)
-    # The keys found are a subset of the new ones, so they are as few.
+    """Rows of ``new`` whose key is not in ``stored``; rows without a key stay.
+
+    ``stored`` is the long table. When the keys of the new rows are few it is only scanned, one
+    column wide, past a broadcast of them; otherwise both sides are shuffled once. ``new`` is
+    evaluated more than once and should be cached if it is costly.
+    """
+    keys = new.select(key).filter(F.col(key).isNotNull()).distinct()
+    small = fits_broadcast(keys, broadcast_bytes)
+    found = stored.select(key).join(F.broadcast(keys) if small else keys, key, "left_semi").distinct()
+    # the keys found are a subset of the new ones, so they are as few
     return new.join(F.broadcast(found) if small else found, key, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskstream.functions.predicates import status_in
-from riskstream.operators.reconcile import key_checks
+from riskstream.operators.reconcile import duplicated_ids, key_checks
 from riskstream.schemas import HYBRID_METHOD
 
 
@@ -45,18 +45,28 @@ ROW_CHECKS = {
     "missing_detection_method": lambda: _missing("detection_method"),
     "invalid_actual_label": lambda: ~F.col("actual_label").isin(0, 1),
 }
-KEY_CHECKS = (
+# --- fixed values: the checks in report order ---
+CHECKS = (
+    "missing_transaction_id",
+    "missing_user_id",
+    "invalid_amount",
+    "invalid_transaction_status",
+    "missing_risk_score",
+    "invalid_risk_score",
+    "missing_transaction_timestamp",
     "duplicated_transaction_id",
+    "missing_ml_probability",
+    "invalid_ml_probability",
+    "missing_behavior_score",
+    "invalid_behavior_score",
+    "missing_final_score",
+    "invalid_final_score",
+    "missing_detection_method",
+    "invalid_actual_label",
     "fraud_alert_without_transaction",
     "fraud_transaction_without_alert",
 )
-# Report order.
-CHECKS = (
-    *list(ROW_CHECKS)[:7],
-    KEY_CHECKS[0],
-    *list(ROW_CHECKS)[7:],
-    *KEY_CHECKS[1:],
-)
+# --- end of fixed values ---
 
 
 def row_checks(transactions: DataFrame) -> DataFrame:
@@ -72,6 +82,8 @@ def check_count(name: str, transactions: DataFrame, alerts: DataFrame | None = N
     """A single check's ``issue_count``."""
     if name in ROW_CHECKS:
         return transactions.agg(F.count_if(ROW_CHECKS[name]()).alias("issue_count"))
+    if name == "duplicated_transaction_id":
+        return duplicated_ids(transactions).agg(F.count(F.lit(1)).alias("issue_count"))
     return key_checks(transactions, alerts).select(F.col(name).alias("issue_count"))
 
 

@@ -63,7 +63,7 @@ def rows_without_partner(rows: DataFrame, partners: DataFrame, **lookup_options)
         .groupBy("transaction_id")
         .agg(F.sum("own").alias("key_rows"), (F.sum("other") == 0).alias("_lonely"))
     )
-    kept = durable(counted.filter(F.col("_lonely") | (F.col("key_rows") > slice_rows)), "reconcile")
+    kept = durable(counted.filter(F.col("_lonely") | (F.col("key_rows") > slice_rows)))
     found = lookup(
         rows,
         kept.filter("_lonely").select("transaction_id", "_lonely"),

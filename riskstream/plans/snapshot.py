@@ -8,7 +8,7 @@ of it with the very same result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskstream.functions.measures import CUBE
@@ -42,7 +42,6 @@ PANELS = {
     "top_alert_countries": daily.top_alert_countries,
     "top_countries": dashboard.top_countries,
     "confusion": evaluation.confusion,
-    "confusion_metrics": evaluation.confusion_metrics,
     "label_status_breakdown": evaluation.label_status_breakdown,
     "label_status_matrix": evaluation.label_status_matrix,
     "label_profile": evaluation.label_profile,
@@ -57,12 +56,16 @@ STATUS_PANELS = {
 }
 
 
-def snapshot(transactions: DataFrame, statuses: dashboard.Statuses = None) -> dict[str, DataFrame]:
-    """All breakdowns at one moment, from a cube written once to the shared folder.
+def kept_cube(transactions: DataFrame) -> DataFrame:
+    """The cube at one moment, written once to the shared folder; it serves every selection."""
+    return durable(activity_cube(transactions))
 
-    ``statuses`` narrows the panels that follow the page's status selection.
+
+def panels(cube: DataFrame, statuses: dashboard.Statuses = None, at: Column | None = None) -> dict[str, DataFrame]:
+    """All breakdowns of a cube.
+
+    ``statuses`` narrows the panels that follow the page's status selection; ``at`` is the evaluation time.
     """
-    cube = durable(activity_cube(transactions), "cube")
     fixed = {name: panel(cube, m=CUBE) for name, panel in PANELS.items()}
     selected = {name: panel(cube, statuses, m=CUBE) for name, panel in STATUS_PANELS.items()}
-    return {**fixed, **selected}
+    return {**fixed, **selected, "confusion_metrics": evaluation.confusion_metrics(cube, at, m=CUBE)}

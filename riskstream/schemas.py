@@ -6,28 +6,25 @@ and a bad file cannot change a column's type.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-# --- fixed values: field names and storage types of the public contract ---
-EVENT_TEXT_FIELDS = (
-    "transaction_id",
-    "user_id",
-    "currency",
-    "country",
-    "usual_country",
-    "merchant_category",
-    "payment_method",
-    "device_id",
-    "ip_address",
-    "timestamp",
+from pyspark.sql.types import (
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
 )
+
+# --- fixed values: field names, order and storage types of the public contract ---
 SIGNAL_FIELDS = tuple(f"V{i}" for i in range(1, 29))
 MODEL_FEATURES = ("Time", *SIGNAL_FIELDS, "Amount")
 LABEL = "Class"
 
-MONEY = T.DecimalType(12, 2)
-PROBABILITY = T.DecimalType(6, 4)
-MONEY_TOTAL = T.DecimalType(22, 2)
+MONEY = DecimalType(12, 2)
+PROBABILITY = DecimalType(6, 4)
+MONEY_TOTAL = DecimalType(22, 2)
 # Amounts at or beyond this bound do not fit MONEY once rounded to cents.
 MONEY_BOUND = 9_999_999_999.995
 
@@ -35,56 +32,104 @@ NORMAL, SUSPICIOUS, FRAUD = "NORMAL", "SUSPICIOUS", "FRAUD"
 ALL_STATUSES = (NORMAL, SUSPICIOUS, FRAUD)
 ALERTABLE = (SUSPICIOUS, FRAUD)
 HYBRID_METHOD = "HYBRID_RULES_ML_BEHAVIOR"
-# --- end of fixed values ---
-
 
-INTEGERS = (
-    "amount_score",
-    "country_score",
-    "merchant_score",
-    "time_score",
-    "device_score",
-    "frequency_score",
-    "behavior_score",
-    "risk_score",
-    "final_score",
-    "actual_label",
+EVENT = StructType(
+    [
+        StructField("transaction_id", StringType()),
+        StructField("user_id", StringType()),
+        StructField("amount", DoubleType()),
+        StructField("currency", StringType()),
+        StructField("country", StringType()),
+        StructField("usual_country", StringType()),
+        StructField("merchant_category", StringType()),
+        StructField("payment_method", StringType()),
+        StructField("device_id", StringType()),
+        StructField("ip_address", StringType()),
+        StructField("timestamp", StringType()),
+        StructField("user_avg_amount", DoubleType()),
+        StructField("amount_vs_avg_user", DoubleType()),
+        StructField("actual_label", DoubleType()),
+        StructField("Time", DoubleType()),
+        *[StructField(name, DoubleType()) for name in SIGNAL_FIELDS],
+    ]
 )
-TIMES = ("transaction_timestamp", "processed_at", "created_at", "rejected_at")
-_STORED_TYPES = {
-    "amount": MONEY,
-    "ml_probability": PROBABILITY,
-    **dict.fromkeys(INTEGERS, T.IntegerType()),
-    **dict.fromkeys(TIMES, T.TimestampNTZType()),
-}
-
 
-def _stored(names: str) -> T.StructType:
-    """A table's columns in order; whatever has no type above is text."""
-    return T.StructType([T.StructField(name, _STORED_TYPES.get(name, T.StringType())) for name in names.split()])
+TRANSACTIONS = StructType(
+    [
+        StructField("transaction_id", StringType()),
+        StructField("user_id", StringType()),
+        StructField("amount", MONEY),
+        StructField("currency", StringType()),
+        StructField("country", StringType()),
+        StructField("usual_country", StringType()),
+        StructField("merchant_category", StringType()),
+        StructField("payment_method", StringType()),
+        StructField("device_id", StringType()),
+        StructField("ip_address", StringType()),
+        StructField("transaction_timestamp", TimestampNTZType()),
+        StructField("transaction_status", StringType()),
+        StructField("risk_score", IntegerType()),
+        StructField("ml_probability", PROBABILITY),
+        StructField("behavior_score", IntegerType()),
+        StructField("final_score", IntegerType()),
+        StructField("detection_method", StringType()),
+        StructField("actual_label", IntegerType()),
+        StructField("processed_at", TimestampNTZType()),
+    ]
+)
 
+RISK_SCORES = StructType(
+    [
+        StructField("id", StringType()),
+        StructField("transaction_id", StringType()),
+        StructField("amount_score", IntegerType()),
+        StructField("country_score", IntegerType()),
+        StructField("merchant_score", IntegerType()),
+        StructField("time_score", IntegerType()),
+        StructField("device_score", IntegerType()),
+        StructField("frequency_score", IntegerType()),
+        StructField("final_score", IntegerType()),
+        StructField("decision", StringType()),
+        StructField("created_at", TimestampNTZType()),
+    ]
+)
 
-EVENT = T.StructType(
-    [T.StructField(name, T.StringType()) for name in EVENT_TEXT_FIELDS]
-    + [
-        T.StructField(name, T.DoubleType())
-        for name in ("amount", "user_avg_amount", "amount_vs_avg_user", "actual_label", "Time", *SIGNAL_FIELDS)
+FRAUD_ALERTS = StructType(
+    [
+        StructField("alert_id", StringType()),
+        StructField("transaction_id", StringType()),
+        StructField("user_id", StringType()),
+        StructField("risk_score", IntegerType()),
+        StructField("alert_type", StringType()),
+        StructField("message", StringType()),
+        StructField("status", StringType()),
+        StructField("created_at", TimestampNTZType()),
     ]
 )
 
-TRANSACTIONS = _stored(
-    "transaction_id user_id amount currency country usual_country merchant_category payment_method device_id "
-    "ip_address transaction_timestamp transaction_status risk_score ml_probability behavior_score final_score "
-    "detection_method actual_label processed_at"
+USERS = StructType(
+    [
+        StructField("user_id", StringType()),
+        StructField("usual_country", StringType()),
+        StructField("avg_amount", DoubleType()),
+        StructField("risk_level", StringType()),
+    ]
 )
-RISK_SCORES = _stored(
-    "id transaction_id amount_score country_score merchant_score time_score device_score frequency_score "
-    "final_score decision created_at"
+
+LABELLED = StructType(
+    [
+        *[StructField(name, DoubleType()) for name in MODEL_FEATURES],
+        StructField(LABEL, IntegerType()),
+    ]
 )
-FRAUD_ALERTS = _stored("alert_id transaction_id user_id risk_score alert_type message status created_at")
-REJECTED = _stored("body reject_reason rejected_at")
+# --- end of fixed values ---
 
-LABELLED = T.StructType(
-    [T.StructField(name, T.DoubleType()) for name in MODEL_FEATURES]
-    + [T.StructField(LABEL, T.IntegerType())]
+REJECTED = StructType(
+    [
+        StructField("body", StringType()),
+        StructField("reject_reason", StringType()),
+        StructField("rejected_at", TimestampNTZType()),
+    ]
 )
+
+FRAUD_MINUTES = StructType([StructField("minute", TimestampNTZType()), StructField("fraud_count", LongType())])

@@ -19,6 +19,7 @@ def build_session(app_name: str = "riskstream", master: str | None = None, **con
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -47,12 +48,14 @@ def workspace(spark: SparkSession, tag: str) -> str:
     return f"{shared_root(spark)}/riskstream/{tag}-{uuid.uuid4().hex}"
 
 
-def durable(df, tag: str, schema=None):
-    """Write ``df`` once to the shared folder and read it back.
+def durable(df):
+    """``df`` computed once and kept in the shared folder.
 
-    The result has no lineage to its inputs, so it stays what it was even if an executor
-    is lost after those inputs have changed.
+    The result has no lineage to its inputs, so it stays what it was even if an executor is lost
+    after those inputs have changed. Spark deletes the files once nothing refers to the result
+    any more, in sessions with the cleaner setting of :func:`build_session`.
     """
-    path = workspace(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(df.sparkSession))
+    return df.checkpoint(eager=True)

@@ -7,6 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Times keep their microseconds; by default CSV files stop at milliseconds.
+CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+
 
 def write_csv(report: DataFrame, folder: str, name: str, at: datetime, small: bool = True) -> str:
     """Write ``<folder>/<name>_<time>`` with a header and return that path.
@@ -17,7 +20,7 @@ def write_csv(report: DataFrame, folder: str, name: str, at: datetime, small: bo
     path = f"{folder.rstrip('/')}/{name}_{at:%Y-%m-%d_%H-%M-%S}"
     if small:
         report = report.coalesce(1)
-    report.write.option("header", True).csv(path)
+    report.write.options(**CSV_OPTIONS).csv(path)
     return path
 
 

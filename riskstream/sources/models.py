@@ -23,6 +23,12 @@ def fraud_probability():
     return vector_to_array("probability").getItem(1).alias("ml_probability")
 
 
+def model_inputs(events: DataFrame) -> DataFrame:
+    """The thirty inputs under their training names beside the event as one struct."""
+    inputs = [F.col("amount" if name == "Amount" else name).alias(name) for name in MODEL_FEATURES]
+    return events.select(*inputs, F.struct(*events.columns).alias("event"))
+
+
 def pipeline_scorer(model: PipelineModel) -> Scorer:
     """A function that adds ``ml_probability`` to events, batch or streaming.
 
@@ -32,8 +38,6 @@ def pipeline_scorer(model: PipelineModel) -> Scorer:
     """
 
     def score(events: DataFrame) -> DataFrame:
-        inputs = [F.col("amount" if name == "Amount" else name).alias(name) for name in MODEL_FEATURES]
-        packed = events.select(*inputs, F.struct(*events.columns).alias("event"))
-        return model.transform(packed).select("event.*", fraud_probability())
+        return model.transform(model_inputs(events)).select("event.*", fraud_probability())
 
     return score

@@ -1,23 +1,28 @@
-"""The scoring stream: parse, clean, score and fan out to the result tables."""
+"""The scoring stream: parse, drop repeats, score and fan out to the result tables."""
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from riskstream.functions.cleaning import accepted_events, message_text, rejected_events
+from riskstream.functions.cleaning import accepted_events, judged_events, message_text, ready_events
 from riskstream.functions.decision import with_decision
-from riskstream.functions.projections import alert_rows, risk_score_rows, transaction_rows
-from riskstream.functions.rules import with_rule_scores
-from riskstream.operators.dedupe import keep_first, stored_keys
-from riskstream.operators.lookup import BROADCAST_ROWS
+from riskstream.functions.projections import alert_rows, fraud_minute_rows, risk_score_rows, transaction_rows
+from riskstream.functions.rules import RULES, with_rule_scores
+from riskstream.operators.dedupe import drop_repeats, drop_stored
+from riskstream.schemas import REJECTED, TRANSACTIONS
 from riskstream.sources.models import Scorer
 from riskstream.sources.tables import TableStore
 
+# What the tables need of a scored event; model inputs are spent by then.
+KEPT = tuple(
+    dict.fromkeys(
+        name for name in (*TRANSACTIONS.names, *RULES, "event_time") if name not in ("transaction_timestamp",)
+    )
+)
+
 
 def score_messages(messages: DataFrame, scorer: Scorer, processed_at: Column | None = None) -> DataFrame:
     """Messages to scored events, stateless; the same for batch and stream."""
@@ -25,90 +30,94 @@ def score_messages(messages: DataFrame, scorer: Scorer, processed_at: Column | N
     return with_decision(scorer(with_rule_scores(events)), processed_at)
 
 
-def fan_out(scored: DataFrame, store: TableStore, run_id: str, fixed_point_messages: bool = False) -> None:
-    """Write a scored batch to the three tables as one replaceable run.
+def prepared(messages: DataFrame) -> DataFrame:
+    """Messages parsed once: accepted events, one per transaction id, and every rejected message.
 
-    The tables are three passes over ``scored``, which the caller caches if it is costly.
+    Of a stream, an id counts as seen for as long as the stream lives. Rejected messages get a key of
+    their own each and always pass.
     """
-    store.replace_run("transactions", transaction_rows(scored), run_id)
-    store.replace_run("risk_scores", risk_score_rows(scored), run_id)
-    store.replace_run("fraud_alerts", alert_rows(scored, fixed_point_messages), run_id)
+    judged = judged_events(message_text(messages))
+    own = F.concat(F.lit("rejected "), F.uuid())
+    return drop_repeats(judged, F.when(F.col("reject_reason").isNull(), F.col("transaction_id")).otherwise(own))
 
 
-class BatchWriter:
-    """The ``foreachBatch`` function of the scoring stream.
+def scored_tables(scored: DataFrame, fixed_point_messages: bool = False) -> dict[str, DataFrame]:
+    """Rows for each result table; as many passes over ``scored``, which the caller caches if it is costly."""
+    return {
+        "transactions": transaction_rows(scored),
+        "risk_scores": risk_score_rows(scored),
+        "fraud_alerts": alert_rows(scored, fixed_point_messages),
+        "fraud_minutes": fraud_minute_rows(scored),
+    }
 
-    Ids are kept unique here, not by a stateful operator: within a batch the first row of an id
-    is chosen with a limit before the shuffle, and across batches ids already stored by another
-    run are dropped. The own run is left out of that comparison, or a replay would find its own
-    rows and replace them with nothing.
 
-    ``history_days`` bounds the comparison to event dates that recent, counted back from the
-    batch's earliest event; by default the whole table counts.
+def fan_out(scored: DataFrame, store: TableStore, run_id: str, fixed_point_messages: bool = False) -> None:
+    """Write a scored batch to the result tables as one replaceable run."""
+    store.write_run(run_id, scored_tables(scored, fixed_point_messages))
+
+
+class BatchWriter:
+    """The ``foreachBatch`` function of the scoring stream, for batches of :func:`prepared` messages.
+
+    The stream's state keeps ids unique among its own batches. Ids that other owners have stored (other
+    streams, or this one before its checkpoint was lost) are dropped before the model sees them; a
+    stream without others never reads what is stored. A run is named after the query and the batch, so two
+    streams never share one and a replay replaces its own.
     """
 
     def __init__(
         self,
         store: TableStore,
         scorer: Scorer,
-        history_days: int | None = None,
         processed_at: Column | None = None,
-        keep_rejected: bool = True,
         fixed_point_messages: bool = False,
+        owner: str = "direct",
     ):
         self.store = store
         self.scorer = scorer
-        self.history_days = history_days
         self.processed_at = processed_at
-        self.keep_rejected = keep_rejected
         self.fixed_point_messages = fixed_point_messages
-
-    def __call__(self, messages: DataFrame, batch_id: int) -> None:
-        if messages.isEmpty():
-            return
-        run_id = f"batch-{batch_id}"
-        bodies = message_text(messages)
-        if self.keep_rejected:
-            at = F.localtimestamp() if self.processed_at is None else self.processed_at
-            rejected = rejected_events(bodies).withColumn("rejected_at", at)
-            self.store.replace_run("rejected_messages", rejected, run_id)
-        unique = keep_first(accepted_events(bodies))
-        scored = with_decision(self.scorer(with_rule_scores(unique)), self.processed_at).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        self.owner = owner
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        owner = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or self.owner
+        others = self.store.read("transactions", other_than_owner=owner)
+        known = any(commit.owner != owner and commit.of("transactions") for commit in self.store.commits())
+        if known:  # the batch is compared before it is scored, so it is held in full
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        scored = self._scored(drop_stored(batch, others) if known else batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write_fresh(scored, run_id)
+            if not scored.isEmpty():
+                self.store.write_run(f"{owner}-{batch_id}", self._tables(scored), owner)
         finally:
             scored.unpersist()
+            if known:
+                batch.unpersist()
 
-    def _write_fresh(self, scored: DataFrame, run_id: str) -> None:
-        """Write the cached batch without the ids other runs have stored.
-
-        Both cached frames depend only on the batch's messages and on other runs, so shares lost
-        with an executor are computed again to the same rows.
-        """
-        size, earliest = scored.agg(F.count(F.lit(1)), F.min("event_time")).first()
-        small = size <= BROADCAST_ROWS
-        since = None
-        if self.history_days is not None and earliest is not None:
-            since = (earliest - timedelta(days=self.history_days)).date()
-        history = self.store.read("transactions", since=since, other_than_run=run_id)
-        found = stored_keys(scored, history, new_is_small=small).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            fresh = scored.join(F.broadcast(found) if small else found, "transaction_id", "left_anti")
-            fan_out(fresh, self.store, run_id, self.fixed_point_messages)
-        finally:
-            found.unpersist()
+    def _scored(self, batch: DataFrame) -> DataFrame:
+        """All rows with scores, the columns the tables need; rejected rows are told apart by their reason."""
+        scored = with_decision(self.scorer(with_rule_scores(ready_events(batch))), self.processed_at)
+        return scored.select(*KEPT, "body", "reject_reason")
 
+    def _tables(self, scored: DataFrame) -> dict[str, DataFrame]:
+        rejected = scored.filter("reject_reason IS NOT NULL").withColumn("rejected_at", F.col("processed_at"))
+        accepted = scored.filter("reject_reason IS NULL").drop("body", "reject_reason")
+        return {
+            **scored_tables(accepted, self.fixed_point_messages),
+            "rejected_messages": rejected.select(*REJECTED.names),
+        }
 
-def start_scoring(
-    messages: DataFrame,
-    writer: BatchWriter,
-    checkpoint: str,
-    **trigger,
-) -> StreamingQuery:
-    """Start the stream; ``trigger`` is passed on, e.g. ``availableNow=True``."""
-    stream = messages.writeStream.foreachBatch(writer).outputMode("append").option("checkpointLocation", checkpoint)
+
+def start_scoring(messages: DataFrame, writer: BatchWriter, checkpoint: str, **trigger) -> StreamingQuery:
+    """Start the stream; ``trigger`` is passed on, e.g. ``availableNow=True``.
+
+    Seen ids outgrow memory, so the state store is RocksDB unless the session names another.
+    """
+    conf, store = messages.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    if conf.get(store, None) is None or conf.get(store).endswith("HDFSBackedStateStoreProvider"):
+        conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    stream = prepared(messages).writeStream.foreachBatch(writer).outputMode("append")
+    stream = stream.option("checkpointLocation", checkpoint)
     if trigger:
         stream = stream.trigger(**trigger)
     return stream.start()

@@ -4,33 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
-from riskstream.functions.predicates import is_fraud
+from riskstream.sources.tables import TableStore
 
 
-def fraud_timeline(transactions: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """``minute, fraud_count`` over a stream of transactions.
+def fraud_timeline(store: TableStore) -> DataFrame:
+    """``minute, fraud_count`` as of the latest commit.
 
-    State holds one counter per minute, and counts are added up before the shuffle, so a minute
-    with most of the frauds costs no more than another.
+    Every batch stores the counts of its own frauds with its rows and replaces them with its rows, so
+    the timeline is a sum over batches: late events count whenever they arrive, and a replay changes nothing.
     """
-    # Watermarks are defined on zoned timestamps only; in the UTC session that ``build_session``
-    # sets, the casts there and back cancel out.
-    timed = transactions.filter(is_fraud()).select(F.col("transaction_timestamp").cast("timestamp").alias("at"))
-    counts = timed.withWatermark("at", watermark).groupBy(F.window("at", "1 minute")).agg(
-        F.count(F.lit(1)).alias("fraud_count")
-    )
-    return counts.select(F.col("window.start").cast("timestamp_ntz").alias("minute"), "fraud_count")
-
-
-def start_timeline(timeline: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep ``path`` at the current counts, replaced as a whole after every batch."""
-
-    def replace(counts: DataFrame, batch_id: int) -> None:
-        counts.write.mode("overwrite").parquet(path)
-
-    stream = timeline.writeStream.foreachBatch(replace).outputMode("complete").option("checkpointLocation", checkpoint)
-    if trigger:
-        stream = stream.trigger(**trigger)
-    return stream.start()
+    return store.read("fraud_minutes").groupBy("minute").agg(F.sum("fraud_count").alias("fraud_count"))

@@ -32,13 +32,13 @@ def rows_of(df):
 def test_lookup_beyond_broadcast_equals_plain_join(spark, how):
     fact, dim = hot_fact(spark), dimension(spark)
     plain = fact.join(dim, "user_id", how)
-    sliced = lookup(fact, dim, "user_id", how, broadcast_rows=10, rows_per_slice=100)
+    sliced = lookup(fact, dim, "user_id", how, broadcast_bytes=10, rows_per_slice=100)
     assert rows_of(sliced) == rows_of(plain)
 
 
 def test_lookup_spreads_the_hot_key(spark):
     fact, dim = hot_fact(spark), dimension(spark)
-    sliced = lookup(fact, dim, "user_id", broadcast_rows=10, rows_per_slice=100, spread_by="n")
+    sliced = lookup(fact, dim, "user_id", broadcast_bytes=10, rows_per_slice=100, spread_by="n")
     joins = plan_of(sliced).split("== Physical Plan ==")[1]
     assert re.search(r"Join \[user_id#\d+, _slice#\d+\]", joins)
     hot = fact.filter("user_id = 'hot'").select(F.pmod(F.xxhash64("n"), F.lit(10)).alias("s")).groupBy("s").count()
@@ -76,7 +76,7 @@ def test_keep_first_is_stable_and_limited_before_the_shuffle(spark):
 def test_drop_stored_by_broadcast_and_by_shuffle(spark, limit):
     new = spark.range(100).select(F.concat(F.lit("t"), F.col("id")).alias("transaction_id"), "id")
     stored = spark.range(50, 5000).select(F.concat(F.lit("t"), F.col("id")).alias("transaction_id"))
-    left = dedupe.drop_stored(new, stored, broadcast_rows=limit)
+    left = dedupe.drop_stored(new, stored, broadcast_bytes=limit)
     assert sorted(r.id for r in left.collect()) == list(range(50))
 
 
@@ -116,7 +116,7 @@ def test_reconcile_counts_before_its_only_shuffle(spark):
     assert "partial_sum" in physical and "Join" not in physical
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 5, "rows_per_slice": 20}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 5, "rows_per_slice": 20}])
 def test_rows_without_partner_by_broadcast_and_by_slices(spark, options):
     tx, alerts = tables(spark)
     plain = tx.join(alerts.select("transaction_id"), "transaction_id", "left_anti")
@@ -130,7 +130,7 @@ def test_hot_ids_with_a_partner_are_spread_too(spark):
     tx, alerts = tables(spark)
     alerts = alerts.unionByName(spark.range(400).select(F.lit("hot").alias("transaction_id"), "id").withColumnRenamed("id", "alert_no"))
     plain = tx.join(alerts.select("transaction_id"), "transaction_id", "left_anti")
-    found = reconcile.rows_without_partner(tx, alerts, broadcast_rows=5, rows_per_slice=20)
+    found = reconcile.rows_without_partner(tx, alerts, broadcast_bytes=5, rows_per_slice=20)
     assert rows_of(found) == rows_of(plain)
 
 

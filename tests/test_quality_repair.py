@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import queries
 from riskstream.operators import quality, repair
 from riskstream.schemas import FRAUD_ALERTS, TRANSACTIONS
-from riskstream.sources import derived
+from checks import derived
 from riskstream.sources.tables import TableStore
 
 STAMP = datetime(2024, 2, 1)
@@ -59,8 +59,8 @@ def stamp():
 
 def test_repair_appends_once_and_reports_what_it_wrote(spark, sf, tmp_path):
     store = TableStore(spark, str(tmp_path))
-    store.replace_run("transactions", queries.transactions(spark, sf), "batch-0")
-    store.replace_run("fraud_alerts", derived.lossy_alerts(queries.transactions(spark, sf)), "batch-0")
+    tx = queries.transactions(spark, sf)
+    store.write_run("batch-0", {"transactions": tx, "fraud_alerts": derived.lossy_alerts(tx)})
     before = store.read("fraud_alerts").count()
     report = repair.repair(store, "one", stamp())
     repaired = report.count()
@@ -80,7 +80,7 @@ def test_repair_appends_once_and_reports_what_it_wrote(spark, sf, tmp_path):
 def test_report_survives_the_append(spark, sf, tmp_path):
     """The report is evaluated after the append; it must not look at the tables again."""
     store = TableStore(spark, str(tmp_path))
-    store.replace_run("transactions", queries.transactions(spark, sf), "batch-0")
+    store.write_run("batch-0", {"transactions": queries.transactions(spark, sf)})
     report = repair.repair(store, "one", stamp())
     alertable = queries.transactions(spark, sf).filter("transaction_status <> 'NORMAL'").count()
     assert report.count() == alertable

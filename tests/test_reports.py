@@ -1,17 +1,17 @@
 """Report contents, CSV sinks, plan shapes and command-line jobs."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from checks import queries
+from checks import derived, queries
 from riskstream import jobs
 from riskstream.plans import daily, dashboard, evaluation, snapshot
 from riskstream.schemas import TRANSACTIONS
 from riskstream.sinks import reports
-from riskstream.sources import derived
 from riskstream.sources.labelled import labelled_csv, replay_source
 from riskstream.sources.tables import TableStore
 
@@ -107,7 +107,7 @@ def test_replay_source_checks_its_input(spark, sf, tmp_path):
 
 def test_jobs_over_a_store(spark, sf, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"))
-    store.replace_run("transactions", derived.transactions(spark, sf), "batch-0")
+    store.write_run("batch-0", {"transactions": derived.transactions(spark, sf)})
     folder = str(tmp_path / "reports")
     with pytest.raises(ValueError, match="fraud_transaction_without_alert"):
         jobs.check_quality(store, folder, AT)
@@ -133,9 +133,10 @@ def test_jobs_over_a_store(spark, sf, tmp_path):
 def test_snapshot_panels_equal_the_direct_reports(spark, sf):
     """Over damaged rows, so that nulls and odd values are in every dimension."""
     rows = queries.damaged_transactions(spark, sf)
-    panels = snapshot.snapshot(rows, ["NORMAL", "FRAUD"])
+    panels = snapshot.panels(snapshot.kept_cube(rows), ["NORMAL", "FRAUD"])
     direct = {name: plan(rows) for name, plan in snapshot.PANELS.items()}
     direct |= {name: plan(rows, ["NORMAL", "FRAUD"]) for name, plan in snapshot.STATUS_PANELS.items()}
+    direct["confusion_metrics"] = evaluation.confusion_metrics(rows)
     assert set(panels) == set(direct)
     for name, expected in direct.items():
         drop = "evaluated_at"
@@ -150,28 +151,81 @@ def test_snapshot_scans_once(spark, sf):
 
 
 def test_snapshot_of_empty_table(spark):
-    panels = snapshot.snapshot(spark.createDataFrame([], TRANSACTIONS))
+    panels = snapshot.panels(snapshot.kept_cube(spark.createDataFrame([], TRANSACTIONS)))
     assert panels["kpi_block"].first().total_transactions == 0
     assert panels["confusion"].first().true_positives == 0
 
 
-def test_a_hot_date_is_written_by_several_tasks(spark, sf, tmp_path):
-    """Two thirds of the rows fall on one date; its files come from more than one writer."""
+def test_a_hot_day_is_compacted_by_several_tasks(spark, sf, tmp_path):
+    """Two thirds of the rows fall on one day; its files come from more than one writer."""
     settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB"}
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         store = TableStore(spark, str(tmp_path))
-        hot = F.when(F.hash("transaction_id") % 3 == 0, F.col("transaction_timestamp")).otherwise(
+        hot = F.when(F.hash("transaction_id") % 3 == 0, F.col("processed_at")).otherwise(
             F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
         )
-        rows = queries.transactions(spark, sf).withColumn("transaction_timestamp", hot)
-        rows = rows.unionByName(rows).unionByName(rows).unionByName(rows)
-        store.replace_run("transactions", rows, "batch-0")
-        files = list((tmp_path / "transactions" / "run_id=batch-0" / "event_date=2024-01-05").glob("*.parquet"))
-        assert len(files) > 1
+        rows = queries.transactions(spark, sf).withColumn("processed_at", hot)
+        for run in range(4):
+            store.write_run(f"batch-{run}", {"transactions": rows}, "one")
+        store.compact(keep_latest=False, retain_hours=0)
+        assert len(list((tmp_path / "transactions").glob("*/*/day=2024-01-05/*.parquet"))) > 1
         assert store.read("transactions").count() == 4000
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "score --store s --model m --checkpoint c --messages d --once --batch-files 5",
+        "score --store s --model m --checkpoint c --kafka h:1 --topic t --batch-messages 5 --min-partitions 3",
+        "train --data d --model m --metrics x",
+        "daily --store s --reports r",
+        "evaluate --store s --reports r",
+        "quality --store s --reports r",
+        "repair --store s --reports r",
+        "compact --store s --retain-hours 1",
+        "export --store s --jdbc u",
+        "publish --data d --kafka h:1",
+    ],
+)
+def test_command_lines(line):
+    assert jobs._arguments(line.split()).command == line.split()[0]
+
+
+def test_the_launcher_runs(spark, sf, tmp_path):
+    import subprocess
+    import sys
+
+    root = Path(__file__).resolve().parent.parent
+    shown = subprocess.run([sys.executable, str(root / "run.py"), "--help"], capture_output=True, text=True, cwd=tmp_path)
+    assert shown.returncode == 0 and "compact" in shown.stdout
+
+
+def test_scratch_goes_with_its_last_reader(spark, sf):
+    """Kept frames leave no files once nothing refers to them, where the session lets Spark clean up."""
+    import gc
+    import time
+
+    conf = spark.sparkContext._jsc.sc().conf()
+    conf.set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    try:
+        kept = snapshot.kept_cube(queries.transactions(spark, sf))
+        folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+        made = set(folder.glob("rdd-*"))
+        assert kept.count() and made
+        newest = max(made, key=lambda p: p.stat().st_mtime)
+        del kept
+        for _ in range(40):
+            gc.collect()
+            spark.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
+            if not newest.exists():
+                break
+        assert not newest.exists()
+    finally:
+        conf.set("spark.cleaner.referenceTracking.cleanCheckpoints", "false")

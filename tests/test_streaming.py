@@ -1,21 +1,23 @@
 """The scoring stream: equal to batch, restartable, replay-safe, free of duplicates."""
 
 import json
+from collections import Counter
 from datetime import datetime
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
-from checks import queries
+from checks import derived, queries
 from riskstream.functions.projections import transaction_rows
+from riskstream.operators import dedupe, repair
 from riskstream.sinks.reports import publish_text
-from riskstream.sources import derived
 from riskstream.sources.messages import file_messages
 from riskstream.sources.tables import TableStore
-from riskstream.streaming.scoring import BatchWriter, score_messages, start_scoring
-from riskstream.streaming.timeline import fraud_timeline, start_timeline
+from riskstream.streaming.scoring import BatchWriter, prepared, score_messages, start_scoring
+from riskstream.streaming.timeline import fraud_timeline
 
-TABLES = ("transactions", "risk_scores", "fraud_alerts", "rejected_messages")
+TABLES = ("transactions", "risk_scores", "fraud_alerts", "rejected_messages", "fraud_minutes")
 
 
 def stamp():
@@ -33,133 +35,202 @@ def messages(spark, sf, tmp_path_factory):
     return folder
 
 
-def drain(spark, folder, store, checkpoint, **options):
-    writer = BatchWriter(store, derived.probability_from_id, processed_at=stamp(), **options)
-    start_scoring(file_messages(spark, folder, 1), writer, str(checkpoint), availableNow=True).awaitTermination()
+def drain(spark, folder, store, checkpoint, files_per_batch=1):
+    writer = BatchWriter(store, derived.probability_from_id, processed_at=stamp())
+    start_scoring(file_messages(spark, folder, files_per_batch), writer, str(checkpoint), availableNow=True).awaitTermination()
+
+
+def message(i, **changes):
+    base = {"transaction_id": f"TX-{i}", "user_id": "U1", "amount": 10.0, "timestamp": "2024-01-01 10:00:00"}
+    return json.dumps({**base, **changes})
+
+
+def batch(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def add_file(spark, folder, *texts):
+    publish_text(batch(spark, *texts).coalesce(1), str(folder))
 
 
 def test_stream_equals_batch(spark, messages, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"))
     drain(spark, messages, store, tmp_path / "cp")
-    batch = score_messages(spark.read.text(messages), derived.probability_from_id, stamp())
-    assert contents(store) == sorted(map(str, transaction_rows(batch).collect()))
+    scored = score_messages(spark.read.text(messages), derived.probability_from_id, stamp())
+    assert contents(store) == sorted(map(str, transaction_rows(scored).collect()))
     assert store.read("risk_scores").count() == store.read("transactions").count()
     alertable = store.read("transactions").filter("transaction_status <> 'NORMAL'")
     assert store.read("fraud_alerts").count() == alertable.count()
     assert store.read("transactions").count() + store.read("rejected_messages").count() == 1000
 
 
-def test_restart_reads_nothing_again_and_replay_changes_nothing(spark, messages, tmp_path):
+def test_restart_reads_nothing_again_and_a_lost_checkpoint_stores_nothing_twice(spark, messages, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"))
     drain(spark, messages, store, tmp_path / "cp")
     before = {table: contents(store, table) for table in TABLES}
     drain(spark, messages, store, tmp_path / "cp")
     assert {table: contents(store, table) for table in TABLES} == before
-    # A lost checkpoint replays every batch under its old number.
+    # With another checkpoint it is another stream; what the first one stored is dropped.
     drain(spark, messages, store, tmp_path / "lost")
-    assert {table: contents(store, table) for table in TABLES} == before
+    after = {table: contents(store, table) for table in TABLES}
+    assert all(after[table] == before[table] for table in TABLES if table != "rejected_messages")
+    assert len(after["rejected_messages"]) == 2 * len(before["rejected_messages"])
 
 
-def message(i, **changes):
-    base = {"transaction_id": f"TX-{i}", "user_id": "U1", "amount": 10.0, "timestamp": "2024-01-01 10:00:00"}
-    return json.dumps({**base, **changes})
+def test_two_streams_share_a_store(spark, tmp_path):
+    """Both write a batch 0; neither replaces the other's."""
+    store = TableStore(spark, str(tmp_path / "store"))
+    for name, ids in (("a", (1, 2)), ("b", (2, 3))):
+        add_file(spark, tmp_path / name, *map(message, ids))
+        drain(spark, str(tmp_path / name), store, tmp_path / f"cp-{name}")
+    assert sorted(r.transaction_id for r in store.read("transactions").collect()) == ["TX-1", "TX-2", "TX-3"]
+    assert len({commit.owner for commit in store.commits()}) == 2
 
 
-def batch(spark, *texts):
-    return spark.createDataFrame([(t,) for t in texts], "value string")
+def test_duplicates_within_and_across_batches_are_stored_once(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    for texts in ((message(1), message(1), message(2)), (message(2), message(3), message(3)), (message(1), message(4))):
+        add_file(spark, tmp_path / "in", *texts)
+        drain(spark, str(tmp_path / "in"), store, tmp_path / "cp")
+    assert sorted(r.transaction_id for r in store.read("transactions").collect()) == ["TX-1", "TX-2", "TX-3", "TX-4"]
 
 
-def test_duplicates_within_and_across_batches_are_stored_once(spark, tmp_path):
+def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     write = BatchWriter(store, derived.probability_from_id, processed_at=stamp())
-    earlier = message(1, timestamp="2024-01-01 09:00:00")
-    write(batch(spark, message(1), earlier, message(2)), 0)
-    write(batch(spark, message(2), message(3), message(3)), 1)
-    rows = {r.transaction_id: r for r in store.read("transactions").collect()}
-    assert sorted(rows) == ["TX-1", "TX-2", "TX-3"] and store.read("transactions").count() == 3
-    assert rows["TX-1"].transaction_timestamp == datetime(2024, 1, 1, 9)
-    write(batch(spark, message(2), message(3), message(3)), 1)
-    assert store.read("transactions").count() == 3
+    write(prepared(batch(spark, message(1), message(2), message(2), "{bad", "{bad")), 0)
+    write(prepared(batch(spark, message(3))), 1)
+    before = {table: contents(store, table) for table in TABLES}
+    assert len(before["transactions"]) == 3 and len(before["rejected_messages"]) == 2
+    write(prepared(batch(spark, message(1), message(2), message(2), "{bad", "{bad")), 0)
+    assert {table: contents(store, table) for table in TABLES} == before
+    write(prepared(batch(spark, message(1))), 0)
+    assert sorted(r.transaction_id for r in store.read("transactions").collect()) == ["TX-1", "TX-3"]
 
 
-def test_history_bound_skips_older_dates(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path))
-    write = BatchWriter(store, derived.probability_from_id, history_days=1, processed_at=stamp())
-    write(batch(spark, message(1), message(2, timestamp="2024-01-09 10:00:00")), 0)
-    again = batch(spark, message(1, timestamp="2024-01-10 10:00:00"), message(2, timestamp="2024-01-10 10:00:00"))
-    write(again, 1)
-    assert sorted(r.transaction_id for r in store.read("transactions").collect()) == ["TX-1", "TX-1", "TX-2"]
+def test_a_stream_of_its_own_reads_no_history(spark, tmp_path, monkeypatch):
+    """Batches of one stream: what is stored is never scanned."""
+    store = TableStore(spark, str(tmp_path / "store"))
+    scanned = []
+    whole = store._scan
+    monkeypatch.setattr(store, "_scan", lambda table, entries: scanned.append(len(entries)) or whole(table, entries))
+    for k in range(8):
+        add_file(spark, tmp_path / "in", message(k), message(k + 1))
+    drain(spark, str(tmp_path / "in"), store, tmp_path / "cp")
+    assert not any(scanned) and len(store.commits()) == 8
+    assert store.read("transactions").count() == 9
+
+
+def test_a_hot_id_is_spread_over_tasks(spark):
+    rows = spark.range(0, 9000, 1, 9).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("transaction_id"), "id"
+    )
+    salts = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(dedupe.SALTS)))
+    assert salts.filter("transaction_id = 'hot'").select("salt").distinct().count() == 9
+    unique = dedupe.drop_repeats(rows, F.col("transaction_id"))
+    assert unique.count() == 6001
+    assert plan_of(unique).split("== Physical Plan ==")[1].count("Exchange") >= 2
 
 
 def test_empty_batch_writes_nothing(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"))
-    BatchWriter(store, derived.probability_from_id)(batch(spark, message(1)).filter("false"), 0)
+    BatchWriter(store, derived.probability_from_id)(prepared(batch(spark, message(1)).filter("false")), 0)
     assert not (tmp_path / "store").exists()
     assert store.read("transactions").count() == 0
 
 
-def test_batch_of_bad_messages_is_kept_as_rejected(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path))
-    write = BatchWriter(store, derived.probability_from_id, processed_at=stamp())
-    write(batch(spark, "{bad", message(1, amount="x")), 0)
-    assert store.read("transactions").count() == 0
-    assert sorted(r.reject_reason for r in store.read("rejected_messages").collect()) == ["missing_amount", "unreadable_message"]
+BAD_NUMBERS = ("NaN", "Infinity", "-Infinity", 1e12, -1e300, 1e308, "text", "", None, True, {"a": 1}, [1])
+NUMBERS = ("amount", "user_avg_amount", "amount_vs_avg_user", "actual_label", "Time", "V1", "V28")
+
 
+def test_no_value_of_a_numeric_field_stops_the_stream(spark, tmp_path):
+    texts = [message(100 * i + k, **{name: value}) for i, name in enumerate(NUMBERS) for k, value in enumerate(BAD_NUMBERS)]
+    texts += [message(5000 + k).replace("10.0", raw) for k, raw in enumerate(("NaN", "1e400", "-1e400", "Infinity", "0x10"))]
+    add_file(spark, tmp_path / "in", *texts)
+    store = TableStore(spark, str(tmp_path / "store"))
+    drain(spark, str(tmp_path / "in"), store, tmp_path / "cp")
+    stored, rejected = store.read("transactions").collect(), store.read("rejected_messages").collect()
+    assert len(stored) + len(rejected) == len(texts)
+    labels = {r.transaction_id: r.actual_label for r in stored}
+    assert labels["TX-300"] is None and labels["TX-303"] is None
+    reasons = Counter(r.reject_reason for r in rejected)
+    assert reasons["amount_not_a_number"] >= 1 and reasons["amount_out_of_range"] >= 3
+    assert {r.body for r in rejected} <= set(texts)
 
-def test_crash_between_writes_is_healed_by_the_replay(spark, tmp_path, monkeypatch):
+
+def test_a_crash_between_writes_leaves_the_old_run_and_is_healed_by_the_replay(spark, tmp_path, monkeypatch):
     store = TableStore(spark, str(tmp_path))
     write = BatchWriter(store, derived.probability_from_id, processed_at=stamp())
-    texts = batch(spark, *[message(i, amount=20000.0, merchant_category="Crypto") for i in range(5)])
-    whole = store.replace_run
+    write(prepared(batch(spark, message(9))), 0)
+    texts = prepared(batch(spark, *[message(i, amount=20000.0, merchant_category="Crypto") for i in range(5)]))
+    whole = store._write
 
-    def failing(table, rows, run_id):
+    def failing(table, rows, folder, by_day=False):
         if table == "fraud_alerts":
             raise OSError("lost")
-        whole(table, rows, run_id)
+        return whole(table, rows, folder, by_day)
 
-    monkeypatch.setattr(store, "replace_run", failing)
+    monkeypatch.setattr(store, "_write", failing)
     with pytest.raises(OSError):
         write(texts, 0)
-    monkeypatch.setattr(store, "replace_run", whole)
+    assert [r.transaction_id for r in store.read("transactions").collect()] == ["TX-9"]
+    # a repair that runs now sees no transaction of the open batch, and adds no alert for one
+    monkeypatch.setattr(store, "_write", whole)
+    repair.repair(store, "meanwhile", stamp())
     write(texts, 0)
     assert store.read("transactions").count() == 5 and store.read("fraud_alerts").count() == 5
 
 
-def test_timeline_equals_the_batch_report(spark, sf, tmp_path):
-    stream = queries._sound_store(spark, sf).follow("transactions", files_per_batch=10)
-    start_timeline(fraud_timeline(stream), str(tmp_path / "counts"), str(tmp_path / "cp"), availableNow=True).awaitTermination()
-    expected = queries.REGISTRY["a16_frauds_per_minute"](spark, sf)
-    assert sorted(map(str, spark.read.parquet(str(tmp_path / "counts")).collect())) == sorted(map(str, expected.collect()))
+def test_timeline_equals_the_batch_report_also_after_a_replay(spark, sf, tmp_path):
+    expected = sorted(map(str, queries.REGISTRY["a16_frauds_per_minute"](spark, sf).collect()))
+    for name in ("t02_fraud_timeline", "t02_replayed_timeline"):
+        assert sorted(map(str, queries.REGISTRY[name](spark, sf).collect())) == expected
+    assert fraud_timeline(TableStore(spark, str(tmp_path))).count() == 0
 
 
-def test_store_dates_are_folders_and_bound_the_scan(spark, sf, tmp_path):
-    store = TableStore(spark, str(tmp_path))
-    store.replace_run("transactions", derived.transactions(spark, sf), "batch-0")
-    recent = store.read("transactions", since=datetime(2024, 1, 20).date())
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
-    everything = store.read("transactions")
-    assert 0 < recent.count() < everything.count() == 1000
-
-
-def test_replay_with_fewer_dates_leaves_none_behind(spark, tmp_path):
+@pytest.fixture(scope="module")
+def many_runs(spark, sf, tmp_path_factory):
+    """Twelve batches of two owners, processed at different times."""
+    store = TableStore(spark, str(tmp_path_factory.mktemp("runs")))
+    rows = queries.transactions(spark, sf).withColumn("n", derived.number_of())
+    for k in range(12):
+        part = rows.filter(F.col("n") % 12 == k).withColumn(
+            "processed_at", F.lit(f"2024-02-{1 + k // 4:02d} 00:00:{k:02d}").cast("timestamp_ntz")
+        )
+        store.write_run(f"own{k % 2}-{k}", {"transactions": part.drop("n")}, f"own{k % 2}")
+    return store
+
+
+def test_newest_rows_come_from_few_files(many_runs, spark):
+    order = [F.col("processed_at").desc(), "transaction_id"]
+    for top in (1, 30, 84, 500, 5000):
+        chosen = many_runs.newest("transactions", top)
+        expected = many_runs.read("transactions").orderBy(*order).limit(top).collect()
+        assert chosen.orderBy(*order).limit(top).collect() == expected
+    few, every = (len(df.inputFiles()) for df in (many_runs.newest("transactions", 30), many_runs.read("transactions")))
+    assert 0 < few < every / 4
+
+
+def test_compaction_keeps_every_row_once(spark, many_runs, tmp_path):
+    before, order = contents(many_runs), [F.col("processed_at").desc(), "transaction_id"]
+    newest = many_runs.newest("transactions", 30).orderBy(*order).limit(30).collect()
+    assert many_runs.compact(retain_hours=0) == 10
+    assert contents(many_runs) == before
+    assert many_runs.newest("transactions", 30).orderBy(*order).limit(30).collect() == newest
+    assert len(many_runs.commits()) == 4  # of each owner the merged runs, and the latest
+    # a merged run is stored already; the latest one can still be replayed
+    rows = many_runs.read("transactions")
+    many_runs.write_run("own0-0", {"transactions": rows}, "own0")
+    assert contents(many_runs) == before
+    many_runs.write_run("own1-11", {"transactions": many_runs.read("transactions", run_id="own1-11")}, "own1")
+    assert contents(many_runs) == before
+    assert many_runs.compact(keep_latest=False, retain_hours=0) and contents(many_runs) == before
+    assert many_runs.compact(keep_latest=False, retain_hours=0) == 0
+
+
+def test_a_half_written_commit_is_not_seen(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
-    write = BatchWriter(store, derived.probability_from_id, processed_at=stamp())
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write(batch(spark, message(1), message(2, timestamp="2024-01-05 10:00:00")), 0)
-        write(batch(spark, message(1)), 0)
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-    assert [r.transaction_id for r in store.read("transactions").collect()] == ["TX-1"]
-
-
-def test_without_adaptive_execution_a_date_still_has_several_writers(spark, sf, tmp_path):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        store = TableStore(spark, str(tmp_path))
-        rows = queries.transactions(spark, sf).withColumn("transaction_timestamp", stamp()).repartition(4)
-        store.replace_run("transactions", rows, "batch-0")
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(list((tmp_path / "transactions" / "run_id=batch-0" / "event_date=2024-02-01").glob("*.parquet"))) == 4
+    store.write_run("batch-0", {"fraud_minutes": spark.createDataFrame([(datetime(2024, 1, 1), 1)], "minute timestamp_ntz, fraud_count long")})
+    (tmp_path / "_commits" / "_open.json").write_text('{"attempt": "x", "run_id": "batch-1"')
+    (tmp_path / "_commits" / "broken.json").write_text('{"attempt": "y", "run')
+    assert len(store.commits()) == 1 and store.read("fraud_minutes").count() == 1

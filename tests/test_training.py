@@ -9,7 +9,7 @@ from riskstream import jobs
 from riskstream.functions.cleaning import fill_features
 from riskstream.plans import training
 from riskstream.sinks.reports import keyed_messages, publish_text
-from riskstream.sources import derived
+from checks import derived
 from riskstream.sources.models import load_pipeline, pipeline_scorer
 from riskstream.sources.tables import TableStore
 
