@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskstream.operators import dedupe, reconcile, rebalance
 from riskstream.operators.enrich import with_profile
-from riskstream.operators.lookup import fits_broadcast, lookup
+from riskstream.operators.lookup import fits_broadcast, lookup, row_bytes
 
 
 def hot_fact(spark, rows=3000):
@@ -48,7 +48,8 @@ def test_lookup_spreads_the_hot_key(spark):
 
 def test_lookup_broadcasts_a_small_dimension(spark):
     fact, dim = hot_fact(spark), dimension(spark)
-    assert fits_broadcast(dim, 41) and not fits_broadcast(dim, 40)
+    size = 41 * row_bytes(dim.schema)
+    assert fits_broadcast(dim, size) and not fits_broadcast(dim, size - 1)
     assert "BroadcastHashJoin" in plan_of(lookup(fact, dim, "user_id"))
 
 
