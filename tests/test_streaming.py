@@ -20,6 +20,15 @@ from riskstream.streaming.timeline import fraud_timeline
 TABLES = ("transactions", "risk_scores", "fraud_alerts", "rejected_messages", "fraud_minutes")
 
 
+@pytest.fixture(autouse=True, scope="module")
+def narrow_state(spark):
+    """Few state stores: these streams are small, and each store costs a commit per batch."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def stamp():
     return F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
 
