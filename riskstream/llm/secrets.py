@@ -5,7 +5,7 @@ repeats, keyboard walks and brute-force spans, found by dynamic programming over
 A value beside a credential word is a secret from ``MIN_BITS`` on.
 
 Spans are in code points, end exclusive, sorted by start and then by kind. A ``cost`` span covers the
-value alone and is left out where a fixed pattern already covers part of it.
+value alone and is left out where fixed patterns already cover all of it.
 
 Defined results: null counts as the empty text, without spans. Texts of any length are scanned
 whole; a value longer than ``LONG_VALUE`` is costly by its length unless its first part shows it to be
@@ -121,6 +121,17 @@ def guess_bits(value: str) -> float:
     return cost[-1]
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, those that overlap or touch as one."""
+    merged: list[tuple[int, int]] = []
+    for start, end in spans:
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], end))
+        else:
+            merged.append((start, end))
+    return merged
+
+
 def find(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, int]]:
     """All spans of a text: kind, start, end."""
     if not text:
@@ -134,14 +145,14 @@ def find(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, i
         spans += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
     if credential:
-        base = sorted((start, end) for _, start, end in spans)
+        base = _merged(sorted((start, end) for _, start, end in spans))
         at = 0
         for m in CONTEXT.finditer(text):
             start, end = m.span(2)
             end -= len(m[2]) - len(m[2].rstrip(".:!?"))
             while at < len(base) and base[at][1] <= start:
                 at += 1
-            if at < len(base) and base[at][0] < end:
+            if at < len(base) and base[at][0] <= start and end <= base[at][1]:
                 continue
             signed = m[1].strip() not in ("", "is")
             value = text[start:end]
