@@ -47,6 +47,8 @@ CONTEXT = re.compile(
     rf"""(?:{_ANY_WORD})s?["']?(\s*(?:[:=]|=>|:=)\s*|\s+is\s+|\s+)["'`]?([^\s"'`<>,;(){{}}\[\]]{{8,}})""",
     re.IGNORECASE | re.ASCII,
 )
+# the longest credential word with its plural and a sign behind it
+_TAIL = max(map(len, CONTEXT_WORDS)) + 3
 _KEYS = tuple(word.encode() for word in CONTEXT_WORDS)
 
 # common passwords and words by frequency, most frequent first
@@ -146,18 +148,25 @@ def find(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, i
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
     if credential:
         base = _merged(sorted((start, end) for _, start, end in spans))
-        at = 0
-        for m in CONTEXT.finditer(text):
+        at = seen = done = 0
+        while m := CONTEXT.search(text, seen):
             start, end = m.span(2)
+            # the value may be a credential word itself; of one that is a span only the tail can lead further
+            seen, tail = start, max(start, end - _TAIL)
+            if end <= done:
+                seen = tail
+                continue
             end -= len(m[2]) - len(m[2].rstrip(".:!?"))
             while at < len(base) and base[at][1] <= start:
                 at += 1
             if at < len(base) and base[at][0] <= start and end <= base[at][1]:
+                seen = tail
                 continue
             signed = m[1].strip() not in ("", "is")
             value = text[start:end]
             if (signed or any(c.isdigit() for c in value)) and guess_bits(value) >= min_bits:
                 spans.append(("cost", start, end))
+                seen, done = tail, m.end(2)
     return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0]), span[2]))
 
 

@@ -265,6 +265,31 @@ def test_no_part_of_a_costly_value_remains(spark, text, kinds, hidden):
     assert [r.text for r in secrets.redact(docs).collect()] == [hidden]
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "The secret passphrase is Xy7$kQ!9pLz#2vWm",
+        "credential passphrase: Xy7$kQ!9pLz#2vWm",
+        "bearer credential Xy7$kQ!9pLz#2vWm",
+        "secret access_key: Xy7$kQ!9pLz#2vWm",
+        "token authorization: Xy7$kQ!9pLz#2vWm",
+        "password: passphrase Xy7$kQ!9pLz#2vWm",  # the base pattern covers the first value
+        "secret private_key credential passphrase = Xy7$kQ!9pLz#2vWm",
+        "pwd: $kQ!9pLz2vWm#passphrase Xy7$kQ!9pLz#2vWm",  # a word at the end of a secret
+        "pwd: $kQ!9pLz2vWm#authorization:= Xy7$kQ!9pLz#2vWm",
+    ],
+)
+def test_several_context_words_in_a_row(text):
+    assert ("cost", len(text) - 16, len(text)) in secrets.find(text)
+
+
+def test_context_words_in_a_row_take_linear_time():
+    assert [k for k, _, _ in secrets.find("password=" * 30000)] == ["assign"]
+    assert secrets.find("secret passphrase " * 30000) == []
+    spans = secrets.find("pwd=$Zq8vN2xL" * 20)
+    assert len(spans) == 1  # nothing within a span
+
+
 def test_redaction_and_awkward_rows(spark, awkward):
     covered = {r.text for r in secrets.redact(spark.createDataFrame([(1, "a token=abcdef1234 b")], "doc_id long, text string")).collect()}
     assert covered == {"a [SECRET] b"}
