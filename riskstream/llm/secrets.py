@@ -8,8 +8,7 @@ Spans are in code points, end exclusive, sorted by start and then by kind. A ``c
 value alone and is left out where fixed patterns already cover all of it.
 
 Defined results: null counts as the empty text, without spans. Texts of any length are scanned
-whole; a value longer than ``LONG_VALUE`` is costly by its length unless its first part shows it to be
-one repeated character. Repeated rows are scanned one by one.
+whole, and values of any length segmented whole, in linear time. Repeated rows are scanned one by one.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ from riskstream.llm import storage
 
 KINDS = ("assign", "access", "hex", "cost")
 MIN_BITS = 50.0
-LONG_VALUE = 200
 
 # fixed values: the patterns of the three base kinds
 ASSIGN = re.compile(
@@ -83,42 +81,48 @@ def _brute_bits(character: str) -> float:
     return log2(33)
 
 
-def _spans_from(value: str, low: str, plain: str, at: int) -> Iterator[tuple[int, float]]:
-    """Ends and bits of the patterns that start at ``at``."""
+def _ends(value: str, low: str) -> tuple[list[int], list[int], list[int]]:
+    """Per place: the end of the repeat from there, that of the keyboard walk, and the next changed character."""
     n = len(value)
-    for end in range(at + 2, min(n, at + _LONGEST_WORD) + 1):
-        bits = _WORD_BITS.get(low[at:end])
-        leet = 0.0
-        if bits is None and (bits := _WORD_BITS.get(plain[at:end])) is not None:
-            leet = 1.0
-        if bits is not None:
-            capitals = sum(c.isupper() for c in value[at:end])
-            yield end, bits + leet + (0.0 if capitals in (0, end - at) else 1.0 + log2(1 + capitals))
-    if date := _DATE.match(value, at):
-        yield date.end(), log2(365 * 120) if date.end() - at > 4 else log2(120)
-    end = at + 1
-    while end < n and value[end] == value[at]:
-        end += 1
-    if end - at >= 3:
-        yield end, _brute_bits(value[at]) + log2(end - at)
-    end = at + 1
-    while end < n and low[end - 1 : end + 1] in _STEP:
-        end += 1
-    if end - at >= 3:
-        yield end, log2(len(KEY_ROWS) * 10) + log2(end - at) + (1.0 if value[at:end] != low[at:end] else 0.0)
+    repeat, walk, changed = [n] * n, [n] * n, [n] * n
+    for at in range(n - 1, -1, -1):
+        if at + 1 < n:
+            repeat[at] = repeat[at + 1] if value[at] == value[at + 1] else at + 1
+            walk[at] = walk[at + 1] if low[at : at + 2] in _STEP else at + 1
+            changed[at] = changed[at + 1]
+        if value[at] != low[at]:
+            changed[at] = at
+    return repeat, walk, changed
 
 
 def guess_bits(value: str) -> float:
     """The least cost of any segmentation of ``value``, in bits."""
-    if len(value) > LONG_VALUE and len(set(value)) > 1:
-        return max(guess_bits(value[:LONG_VALUE]), MIN_BITS)
     low = value.lower() if len(value.lower()) == len(value) else value
     plain = low.translate(_UNLEET)
+    repeat, walk, changed = _ends(value, low)
+
+    def spans_from(at: int) -> Iterator[tuple[int, float]]:
+        """Ends and bits of the patterns that start at ``at``."""
+        for end in range(at + 2, min(len(value), at + _LONGEST_WORD) + 1):
+            bits = _WORD_BITS.get(low[at:end])
+            leet = 0.0
+            if bits is None and (bits := _WORD_BITS.get(plain[at:end])) is not None:
+                leet = 1.0
+            if bits is not None:
+                capitals = sum(c.isupper() for c in value[at:end])
+                yield end, bits + leet + (0.0 if capitals in (0, end - at) else 1.0 + log2(1 + capitals))
+        if date := _DATE.match(value, at):
+            yield date.end(), log2(365 * 120) if date.end() - at > 4 else log2(120)
+        if (end := repeat[at]) - at >= 3:
+            yield end, _brute_bits(value[at]) + log2(end - at)
+        if (end := walk[at]) - at >= 3:
+            yield end, log2(len(KEY_ROWS) * 10) + log2(end - at) + (1.0 if changed[at] < end else 0.0)
+
     cost = [0.0] + [float("inf")] * len(value)
     for at in range(len(value)):
         here = cost[at]
         cost[at + 1] = min(cost[at + 1], here + _brute_bits(value[at]))
-        for end, bits in _spans_from(value, low, plain, at):
+        for end, bits in spans_from(at):
             cost[end] = min(cost[end], here + bits + 1.0)  # one bit for taking a pattern here
     return cost[-1]
 

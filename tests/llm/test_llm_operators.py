@@ -243,6 +243,15 @@ def test_guess_cost_follows_the_cheapest_segmentation():
     assert bits("zq9") == pytest.approx(brute)
 
 
+def test_long_values_are_segmented_whole():
+    bits = secrets.guess_bits
+    for n in (199, 200, 201, 5000):
+        assert bits("x" * n + "q") < secrets.MIN_BITS and secrets.find("pwd: " + "x" * n + "q") == []
+        assert bits("x" * n + "Zq8vN2xLw0Rk4Tt7") >= secrets.MIN_BITS
+    assert bits("qw" * 150000) < 30 and bits("qw" * 10 + "Q") == bits("Q" + "wq" * 10)
+    assert bits("x" * 300000 + "q") < 40 and bits("Zq8vN2xL" * 12500) > 1e5
+
+
 def test_costly_values_in_context_are_added():
     secret = "pwd: Zq8vN2xLw0Rk4Tt7 and passphrase is correct-horse-99-battery-xkq7 end"
     assert [k for k, _, _ in secrets.find(secret)] == ["cost", "cost"]
