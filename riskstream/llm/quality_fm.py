@@ -10,7 +10,7 @@ smallest hash of their id; all rows are scored in numpy on the executors.
 
 Defined results: null counts as the empty text, which is scored by its statistics alone. A null
 ``n_chars`` is a step of its own. Labels for absent documents, and null labels, are not used; a document with
-several labels counts once for each. Without any label every score is 0.5. Repeated rows are scored one by
+several labels counts once for each, and rows of the same id, text and ``n_chars`` count as one in training. Without any label every score is 0.5. Repeated rows are scored one by
 one. Columns other than those named are not read.
 """
 
@@ -171,11 +171,11 @@ def _featured(batches):
             edges = pa.array(bounds.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(2).slice(chunk.first, chunk.rows),
+                    *(batch.column(k).slice(chunk.first, chunk.rows) for k in (2, 3, 4)),
                     pa.ListArray.from_arrays(edges, pa.array(index.astype(np.int32))),
                     pa.ListArray.from_arrays(edges, pa.array(value.astype(np.float32))),
                 ],
-                names=["label", "index", "value"],
+                names=["label", "place", "version", "index", "value"],
             )
 
 
@@ -187,13 +187,27 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(sample_rows)
     )
-    # at most sample_rows pairs of numbers
-    sample = docs.select("doc_id", "text", "n_chars").join(F.broadcast(chosen), "doc_id")
+    # an id may stand for many rows: keys alone are compared first, then at most sample_rows of them get their texts
+    keyed = docs.select("doc_id", "text", "n_chars", F.xxhash64("text", "n_chars").alias("version"))
+    keys = (
+        keyed.select("doc_id", "version")
+        .join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+        .distinct()
+        .join(F.broadcast(chosen), "doc_id")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "version", "label")
+        .limit(sample_rows)
+    )
+    sample = (
+        keyed.join(F.broadcast(keys.select("doc_id", "version").distinct()), ["doc_id", "version"], "left_semi")
+        .dropDuplicates(["doc_id", "version"])
+        .join(F.broadcast(keys), ["doc_id", "version"])
+    )
     table = (
         storage.texts(sample)
-        .select("text", "n_chars", "label")
-        .mapInArrow(_featured, "label double, index array<int>, value array<float>")
+        .select("text", "n_chars", "label", F.xxhash64("doc_id").alias("place"), "version")
+        .mapInArrow(_featured, "label double, place bigint, version bigint, index array<int>, value array<float>")
         .toArrow()  # at most sample_rows rows
+        .sort_by([("place", "ascending"), ("version", "ascending"), ("label", "ascending")])
         .combine_chunks()
     )
     label = np.array(table.column("label"), dtype=float)

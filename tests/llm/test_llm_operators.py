@@ -375,6 +375,23 @@ def test_quality_on_held_out_rows(spark):
     assert np.mean([g > b for g in good for b in bad]) > 0.97
 
 
+def test_quality_sample_of_repeated_ids_is_bounded(spark, monkeypatch):
+    ids = [k for k in range(1, 40) if zlib.crc32(str(k).encode()) % 5][:8]
+    rows = [(ids[0], "the same text", 13)] * 60 + [(ids[1], f"text {k}", 6) for k in range(60)]
+    docs = spark.createDataFrame(rows + [(k, "one text", 8) for k in ids[2:]], "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(k, k % 2) for k in ids] + [(ids[2], 1), (ids[2], 1)], "doc_id long, quality int")
+    sizes, fit = [], quality_fm.fit
+
+    def counted(bounds, index, value, label):
+        sizes.append(len(label))
+        return fit(bounds, index, value, label)
+
+    monkeypatch.setattr(quality_fm, "fit", counted)
+    quality_fm.train(docs, labels, 10)
+    quality_fm.train(docs.filter(F.col("doc_id") != ids[1]), labels, 10)
+    assert sizes == [10, 9]  # one id has no document in the second; a label counts each time it is given
+
+
 def test_quality_awkward_rows(spark, awkward, empty):
     labels = spark.createDataFrame([(4, 0), (5, 1), (7, None), (None, 1), (99, 1)], "doc_id long, quality int")
     scored = quality_fm.assess(awkward, labels).collect()
