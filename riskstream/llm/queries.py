@@ -18,6 +18,7 @@ from riskstream.llm import (
     quality_fm,
     secrets,
     substring_dedup,
+    weighted_sampling,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +110,17 @@ def encode_pieces(spark, sf):
 @query("op10_language")
 def languages(spark, sf):
     return language_id.identify(_table(spark, sf, "documents"))
+
+
+@query("op12_fingerprints")
+def document_fingerprints(spark, sf):
+    found = weighted_sampling.fingerprints(_table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        weighted_sampling.text_of("samples").alias("fingerprint"),
+        weighted_sampling.text_of("edited_samples").alias("edited_fingerprint"),
+        weighted_sampling.likeness("samples", "edited_samples").alias("near_edited"),
+        weighted_sampling.likeness("samples", "next_samples").alias("near_next"),
+    )
