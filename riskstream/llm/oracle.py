@@ -117,9 +117,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, shor
        NOT (short OR repetitive) AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
 FROM judged"""
 
+_RANKED = f"""
+WITH d AS (SELECT doc_id, unnest({_lower_words("documents")}) AS term FROM documents),
+q AS (
+  SELECT item_id, term, COUNT(*) AS k
+  FROM (SELECT item_id, unnest({_lower_words("benchmark")}) AS term FROM benchmark) GROUP BY item_id, term),
+lengths AS (SELECT doc_id, CAST(COUNT(*) AS BIGINT) AS n FROM d GROUP BY doc_id),
+whole AS (SELECT CAST(COUNT(*) AS BIGINT) AS N_, CAST(SUM(n) AS BIGINT) AS L_ FROM lengths),
+counts AS (
+  SELECT doc_id, term, CAST(COUNT(*) AS BIGINT) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * N_ + 2 AS DOUBLE) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+  FROM counts, whole GROUP BY term, N_),
+scores AS (
+  SELECT item_id, doc_id,
+         CAST(SUM(k * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * N_) // L_)))) AS BIGINT) AS score
+  FROM q JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), whole
+  GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
 STATEMENTS: dict[str, str] = {
     "op2_decontamination": _DECONTAMINATION,
     "op6_jaccard_join": _JACCARD,
     "op7_substring_dedup": _SUBSTRINGS,
     "op8_host_rules": _HOST_RULES,
+    "op11_ranked_search": _RANKED,
 }

@@ -18,6 +18,7 @@ from riskstream.llm import (
     quality_fm,
     secrets,
     substring_dedup,
+    term_pipeline,
     weighted_sampling,
 )
 
@@ -112,6 +113,11 @@ def languages(spark, sf):
     return language_id.identify(_table(spark, sf, "documents"))
 
 
+@query("op11_ranked_search")
+def ranked_search(spark, sf):
+    return term_pipeline.rank(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 @query("op12_fingerprints")
 def document_fingerprints(spark, sf):
     found = weighted_sampling.fingerprints(_table(spark, sf, "documents"))
