@@ -139,10 +139,32 @@ ranked AS (
   FROM scores WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5"""
+
 STATEMENTS: dict[str, str] = {
     "op2_decontamination": _DECONTAMINATION,
     "op6_jaccard_join": _JACCARD,
     "op7_substring_dedup": _SUBSTRINGS,
     "op8_host_rules": _HOST_RULES,
     "op11_ranked_search": _RANKED,
+    "op13_hard_negatives": _NEGATIVES,
 }

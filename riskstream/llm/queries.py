@@ -14,6 +14,7 @@ from riskstream.llm import (
     jaccard_join,
     language_id,
     license_scan,
+    negatives,
     pieces,
     quality_fm,
     secrets,
@@ -130,3 +131,8 @@ def document_fingerprints(spark, sf):
         weighted_sampling.likeness("samples", "edited_samples").alias("near_edited"),
         weighted_sampling.likeness("samples", "next_samples").alias("near_next"),
     )
+
+
+@query("op13_hard_negatives")
+def hard_negatives(spark, sf):
+    return negatives.mine(_table(spark, sf, "embeddings"))
