@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskstream.llm import storage
+from riskstream.llm import sampling, storage
 from riskstream.llm.textarrays import Chunk, chunks, mix
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
-#: Rows counted per language, those with the smallest hash of their id.
+#: Ids whose rows are counted per language, those with the smallest hash.
 SAMPLE_ROWS = 2000
 #: Languages for which the broadcast matrix stays within 128 MB.
 MAX_LANGUAGES = 512
@@ -114,17 +114,25 @@ def split(doc_id: Column) -> Column:
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, smoothing: float = 0.5) -> LanguageModel:
     """Fit on up to ``sample_rows`` labelled training rows of each language, their whole texts."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~split(F.col("doc_id")))
+    found = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    languages = sorted(row.lang for row in found)
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # a row a language; a bound on the hash leaves little more than the sample of each before ids are ranked
+    shares = docs.sparkSession.createDataFrame(
+        [(row.lang, sampling.share_for(sample_rows, row.n)) for row in found], "lang string, share double"
+    )
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         labelled.select("doc_id", "lang")
+        .join(F.broadcast(shares), "lang")
+        .filter(sampling.smallest_hashes("doc_id", F.col("share")))
+        .select("doc_id", "lang")
+        .distinct()
         .withColumn("rank", F.row_number().over(first))
         .filter(F.col("rank") <= sample_rows)
         .select("doc_id", "lang")
-        .distinct()
     )
-    languages = sorted(row.lang for row in labelled.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     # at most MAX_LANGUAGES * sample_rows pairs of a number and a short name
     sample = labelled.select("text", "lang", "doc_id").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     counted = (

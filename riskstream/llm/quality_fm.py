@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.llm import storage
+from riskstream.llm import sampling, storage
 from riskstream.llm.language_id import split
 from riskstream.llm.textarrays import ALPHANUMERIC, LOWER, Chunk, chunks, hashes, shingles, words
 
@@ -182,8 +182,10 @@ def _featured(batches):
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
     """Fit on up to ``sample_rows`` labels of training rows, over the whole texts of their documents."""
     usable = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~split(F.col("doc_id")))
+    share = sampling.share_for(sample_rows, usable.count())
     chosen = (
         usable.select("doc_id", F.col("quality").cast("double").alias("label"))
+        .filter(sampling.smallest_hashes("doc_id", share))  # little more than the sample is left to sort
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(sample_rows)
     )
