@@ -252,6 +252,51 @@ def _check(name: str) -> str:
 
 _REPORT = " UNION ALL ".join(f"SELECT '{name}' AS check_name, issue_count FROM ({_check(name)})" for name in CHECK_ORDER)
 
+
+
+def _auc(table: str, score: str, label: str) -> str:
+    """Ranks of all rows, ties averaged; twice the sum of those of the positives, less that of the positives among themselves."""
+    return f"""
+      WITH r AS (
+        SELECT {label} AS y, {score} AS s FROM {table} WHERE {score} IS NOT NULL AND {label} IN (0, 1)),
+      ranked AS (
+        SELECT y, 2 * rank() OVER (ORDER BY s) + COUNT(*) OVER (PARTITION BY s) - 1 AS twice_rank FROM r),
+      sums AS (
+        SELECT CAST(SUM(twice_rank) FILTER (WHERE y = 1) AS DOUBLE) AS ranks,
+               CAST(COUNT(*) FILTER (WHERE y = 1) AS DOUBLE) AS p, CAST(COUNT(*) FILTER (WHERE y = 0) AS DOUBLE) AS n
+        FROM ranked)
+      SELECT (ranks - p * (p + 1)) / (p * n * 2) AS auc, CAST(p AS BIGINT) AS positives, CAST(n AS BIGINT) AS negatives FROM sums"""
+
+
+def _f1(table: str, label: str, prediction: str) -> str:
+    return f"""
+      WITH r AS (
+        SELECT CAST({label} AS DOUBLE) AS y, CAST({prediction} AS DOUBLE) AS p FROM {table}
+        WHERE {label} IS NOT NULL AND {prediction} IS NOT NULL),
+      classes AS (
+        SELECT c.y, (SELECT COUNT(*) FROM r WHERE r.y = c.y) AS own, (SELECT COUNT(*) FROM r WHERE r.p = c.y) AS claimed,
+               (SELECT COUNT(*) FROM r WHERE r.y = c.y AND r.p = c.y) AS hits
+        FROM (SELECT DISTINCT y FROM r) c)
+      SELECT round(SUM(own * 2 * hits / CAST(own + claimed AS DOUBLE)) / SUM(own), 12) AS f1, CAST(SUM(own) AS BIGINT) AS rows FROM classes"""
+
+
+_LONELY = f"""
+  SELECT {ALERT_COLUMNS} FROM lossy l
+  WHERE NOT EXISTS (SELECT 1 FROM damaged d WHERE d.transaction_id = l.transaction_id)"""
+
+_RATED = f"""
+  WITH known AS (SELECT * FROM damaged WHERE user_id IS NOT NULL),
+  common AS (
+    SELECT user_id, country FROM known WHERE country IS NOT NULL GROUP BY user_id, country
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY COUNT(*) DESC, country) = 1),
+  sums AS (
+    SELECT user_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE transaction_status = 'FRAUD') AS frauds,
+           COUNT(*) FILTER (WHERE {ALERTING}) AS alerts, CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_amount
+    FROM known GROUP BY user_id)
+  SELECT user_id, country AS usual_country, avg_amount,
+         CASE WHEN frauds >= 5e-2 * n THEN 'HIGH' WHEN alerts >= 1e0 / 3 * n THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+  FROM sums LEFT JOIN common USING (user_id)"""
+
 _MISSING = f"""
   SELECT transaction_id, user_id, {AMOUNT}, currency, country, usual_country, merchant_category, payment_method,
          risk_score, transaction_status, transaction_timestamp, processed_at
@@ -307,7 +352,7 @@ SELECTS: dict[str, str] = {
     "k02_empty_batch": "SELECT 'direct-0' AS run_id, COUNT(*) AS row_count FROM streamed",
     "k03_append_transactions": f"SELECT {TX_COLUMNS} FROM tx",
     "k03_two_streams": f"SELECT {TX_COLUMNS} FROM ({_stored('streamed')})",
-    "k03_compacted": f"SELECT {TX_COLUMNS} FROM ({_stored('streamed')})",
+    "k03_replayed_run": f"SELECT {TX_COLUMNS} FROM tx",
     "k04_append_risk_scores": _risk_rows("scored"),
     "k05_append_alerts": f"SELECT {ALERT_COLUMNS} FROM alerts",
     "k06_append_repairs": f"SELECT {ALERT_COLUMNS} FROM lossy UNION ALL {_REPAIR_ROWS}",
@@ -367,6 +412,11 @@ SELECTS: dict[str, str] = {
       FROM events JOIN profile USING (user_id)""",
     # filters
     "f01_required_fields": "SELECT transaction_id, user_id, amount, event_time FROM accepted",
+    "k03_rejected_messages": """
+      SELECT CASE WHEN n % 50 IN (1, 9) THEN 'unreadable_message' WHEN n % 50 = 2 THEN 'missing_transaction_id'
+                  WHEN n % 50 = 3 THEN 'missing_user_id' WHEN n % 50 = 4 THEN 'missing_amount'
+                  ELSE 'bad_timestamp' END AS reject_reason, COUNT(*) AS row_count
+      FROM messages WHERE n % 50 IN (1, 2, 3, 4, 6, 9) GROUP BY 1""",
     "f01_rejected_messages": """
       SELECT CASE WHEN n % 50 IN (1, 9) THEN 'unreadable_message' WHEN n % 50 = 2 THEN 'missing_transaction_id'
                   WHEN n % 50 = 3 THEN 'missing_user_id' WHEN n % 50 = 4 THEN 'missing_amount'
@@ -428,8 +478,10 @@ SELECTS: dict[str, str] = {
       SELECT "Time" AS row_time, "Class" AS label, true AS sound FROM labelled
       WHERE {_bucket('"Time"')} >= CAST(floor(8e-1 * 4294967296) AS BIGINT)""",
     "m07_stream_scoring": "SELECT transaction_id, true AS sound, true AS score_follows FROM payments",
-    "m08_area_under_roc": "SELECT true AS auc_is_high",
-    "m09_weighted_f1": "SELECT true AS f1_is_high",
+    "m08_area_under_roc": _auc("payments", "ml_probability", "actual_label"),
+    "m08_area_under_roc_of_scores": _auc("damaged", "final_score", "actual_label"),
+    "m09_weighted_f1": _f1("tx", "actual_label", "CAST(transaction_status <> 'NORMAL' AS INTEGER)"),
+    "m09_weighted_f1_of_classes": _f1("damaged", "final_score - final_score % 10", "behavior_score"),
     "m01_class_weights": """
       SELECT "Time", "Class", CASE "Class" WHEN 1 THEN total / (2e0 * fraud) ELSE total / (2e0 * (total - fraud)) END
         AS class_weight
@@ -506,6 +558,7 @@ SELECTS: dict[str, str] = {
       SELECT check_name, CASE WHEN issue_count = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, issue_count,
              {STAMP} AS checked_at
       FROM ({_REPORT})""",
+    "q20_observed_checks": f"SELECT * FROM ({_REPORT}) WHERE check_name NOT IN ('duplicated_transaction_id', 'fraud_alert_without_transaction', 'fraud_transaction_without_alert')",
     "q19_quality_gate": f"""
       SELECT COUNT(*) FILTER (WHERE issue_count > 0) > 0 AS gate_failed FROM ({_REPORT})""",
     # top-k and sorts
@@ -526,6 +579,14 @@ SELECTS: dict[str, str] = {
     "t02_fraud_timeline": """
       SELECT date_trunc('minute', transaction_timestamp) AS minute, COUNT(*) AS fraud_count FROM tx
       WHERE transaction_status = 'FRAUD' GROUP BY minute""",
+    "t02_late_events": """
+      WITH frauds AS (
+        SELECT transaction_timestamp AS ts, CAST(substr(transaction_id, 4) AS BIGINT) % 3 = 0 AS late
+        FROM tx WHERE transaction_status = 'FRAUD'),
+      parts AS (SELECT *, ts < TIMESTAMP '2024-01-16 12:00:00' AND NOT late AS first FROM frauds),
+      mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 DAY AS wm FROM parts WHERE first)
+      SELECT date_trunc('minute', ts) AS minute, COUNT(*) AS fraud_count FROM parts, mark
+      WHERE first OR ts > wm GROUP BY minute""",
     "t02_replayed_timeline": """
       SELECT date_trunc('minute', transaction_timestamp) AS minute, COUNT(*) AS fraud_count FROM tx
       WHERE transaction_status = 'FRAUD' GROUP BY minute""",
@@ -539,6 +600,26 @@ SELECTS: dict[str, str] = {
       SELECT CAST(transaction_timestamp AS DATE) AS report_date, COUNT(*) AS total_transactions,
              {_n_status('NORMAL', 'SUSPICIOUS', 'FRAUD')}, {_fraud_money('total_fraud_amount')}
       FROM tx GROUP BY report_date""",
+    "x01_maintained_reports": f"""
+      SELECT CAST(transaction_timestamp AS DATE) AS report_date, COUNT(*) AS total_transactions,
+             {_n_status('NORMAL', 'SUSPICIOUS', 'FRAUD')}, {_fraud_money('total_fraud_amount')}
+      FROM tx GROUP BY report_date""",
+    "x02_rated_users": _RATED,
+    "x02_merged_history": _RATED,
+    "p15_running_average": """
+      WITH spent AS (
+        SELECT transaction_id, amount, SUM(CAST(round(amount * 100) AS BIGINT)) OVER h AS cents, COUNT(*) OVER h AS k
+        FROM payments
+        WINDOW h AS (PARTITION BY user_id ORDER BY event_time, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+      averaged AS (
+        SELECT transaction_id, amount, CASE WHEN k > 0 THEN CAST(cents AS DOUBLE) / 100 / k END AS user_avg_amount FROM spent)
+      SELECT transaction_id, user_avg_amount,
+             CASE WHEN user_avg_amount IS NOT NULL THEN amount / greatest(user_avg_amount, 1e0) END AS amount_vs_avg_user
+      FROM averaged""",
+    "j01_alerts_without_transaction_bucketed": _LONELY,
+    "j03_missing_alerts_bucketed": f"""
+      SELECT transaction_id, user_id, processed_at FROM damaged
+      WHERE {ALERTING} AND NOT EXISTS (SELECT 1 FROM lossy l WHERE l.transaction_id = damaged.transaction_id)""",
     "x02_user_dimension": """
       SELECT 'U' || c_custkey AS user_id, n_name AS usual_country, user_avg_amount AS avg_amount,
              CAST(NULL AS VARCHAR) AS risk_level
@@ -570,4 +651,6 @@ def statements() -> dict[str, str]:
     selects |= {f"{name}_merged": SELECTS[name] for name in SELECTS if name[:3] in ("l03", "l04", "l05")}
     selects |= {name: SELECTS[content] for name, content in CSV_CONTENTS.items()}
     selects["k09_model_evaluation_metrics"] = f"SELECT * EXCLUDE (evaluated_at) FROM ({SELECTS['a12_confusion_metrics']})"
-    return {name: f"{BASE} {select}" for name, select in selects.items()}
+    # a statement with names of its own stands in brackets behind the common ones
+    nested = {k: f"SELECT * FROM ({s})" if s.lstrip().startswith("WITH") else s for k, s in selects.items()}
+    return {name: f"{BASE} {select}" for name, select in nested.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
@@ -14,20 +15,21 @@ from checks import derived
 from riskstream.functions import cleaning, decision, projections, rules
 from riskstream.functions import predicates as where
 from riskstream.jobs import write_daily_report, write_evaluation_report
-from riskstream.operators import quality, rebalance, reconcile, repair
+from riskstream.operators import quality, rebalance, reconcile, repair, users
 from riskstream.operators.dedupe import drop_stored, keep_first
-from riskstream.operators.enrich import with_profile
-from riskstream.plans import daily, dashboard, evaluation, training, verification
+from riskstream.operators.enrich import with_profile, with_running_average
+from riskstream.plans import daily, dashboard, evaluation, metrics, training, verification
 from riskstream.plans.snapshot import kept_cube, panels
 from riskstream.schemas import LABEL, MODEL_FEATURES, SIGNAL_FIELDS
 from riskstream.session import workspace
 from riskstream.sinks import reports
+from riskstream.sources import bucketed
 from riskstream.sources.labelled import complete_rows, labelled_csv, replay_source
 from riskstream.sources.messages import file_messages
 from riskstream.sources.models import load_pipeline, model_inputs, pipeline_scorer
 from riskstream.sources.tables import TableStore
-from riskstream.streaming.scoring import BatchWriter, fan_out, prepared, start_scoring
-from riskstream.streaming.timeline import fraud_timeline
+from riskstream.streaming.scoring import BatchWriter, fan_out, prepared, start_rejects, start_scoring
+from riskstream.streaming.timeline import fraud_timeline, start_timeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,13 +86,13 @@ def _store_once(kind: str, build) -> Query:
 
 def _store_with_losses(spark: SparkSession, sf: str) -> TableStore:
     store, tx = TableStore(spark, workspace(spark, "store")), transactions(spark, sf)
-    store.write_run("batch-0", {"transactions": tx, "fraud_alerts": derived.lossy_alerts(tx)})
+    store.write_run("batch-0", {"fraud_alerts": derived.lossy_alerts(tx), "transactions": tx})
     return store
 
 
 def _damaged_store(spark: SparkSession, sf: str) -> TableStore:
     store, tx = TableStore(spark, workspace(spark, "store")), transactions(spark, sf)
-    store.write_run("batch-0", {"transactions": derived.damaged(tx), "fraud_alerts": derived.lossy_alerts(tx)})
+    quality.write_checked(store, "batch-0", {"fraud_alerts": derived.lossy_alerts(tx), "transactions": derived.damaged(tx)})
     return store
 
 
@@ -122,7 +124,7 @@ def _writer(store: TableStore) -> BatchWriter:
 
 def _drain(spark: SparkSession, folder: str, store: TableStore, checkpoint: str, files_per_batch: int = 2) -> None:
     messages = file_messages(spark, folder, files_per_batch)
-    start_scoring(messages, _writer(store), checkpoint, availableNow=True).awaitTermination()
+    start_scoring(messages, _writer(store), f"{checkpoint}/scored", availableNow=True).awaitTermination()
 
 
 def _streamed_store(spark: SparkSession, sf: str) -> TableStore:
@@ -193,8 +195,8 @@ def empty_batch(spark, sf):
     messages = spark.read.text(_message_folder(spark, sf))
     write(prepared(messages), 0)
     write(prepared(messages.filter(F.lit(False))), 1)
-    runs = {commit.run_id: store.read("transactions", run_id=commit.run_id) for commit in store.commits()}
-    return verification.table_counts(**runs).withColumnRenamed("table_name", "run_id")
+    runs = store.partitions("transactions").groupBy(F.col("run").alias("run_id"))
+    return runs.agg(F.count(F.lit(1)).alias("row_count"))
 
 
 REGISTRY["k03_append_transactions"] = _table(_batch_store, "transactions")
@@ -213,14 +215,25 @@ def two_streams(spark, sf):
     return store.read("transactions")
 
 
-@query("k03_compacted")
-def compacted(spark, sf):
-    """The streamed store with its finished batches merged into files by day."""
-    store = _streamed_store(spark, sf)
-    store.compact(keep_latest=False, retain_hours=0)
+@query("k03_replayed_run")
+def replayed_run(spark, sf):
+    """Two runs, the second first with half of its rows, then again with all: it replaces its own partitions."""
+    store, scored = TableStore(spark, workspace(spark, "store")), derived.scored_events(spark, sf)
+    for run, rows in (("a-0", "n % 2 = 0"), ("a-1", "n % 4 = 1"), ("a-1", "n % 2 = 1")):
+        store.write_run(run, {"transactions": projections.transaction_rows(scored.filter(rows))})
     return store.read("transactions")
 
 
+@query("k03_rejected_messages")
+def rejected_stream(spark, sf):
+    """Messages that cannot be scored, stored by a stream of their own; by reason."""
+    store = TableStore(spark, workspace(spark, "store"))
+    messages = file_messages(spark, _message_folder(spark, sf), 2)
+    checkpoint = workspace(spark, "checkpoint")
+    start_rejects(messages, store, checkpoint, _stamp(), availableNow=True).awaitTermination()
+    return store.read("rejected_messages").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 REGISTRY["k04_append_risk_scores"] = _table(_batch_store, "risk_scores")
 REGISTRY["k05_append_alerts"] = _table(_batch_store, "fraud_alerts")
 
@@ -428,6 +441,14 @@ def enrichment(spark, sf):
     return with_profile(spend, profiles, spread_by="event_id")
 
 
+@query("p15_running_average")
+def running_average(spark, sf):
+    """Every payment against what its user spent before."""
+    events = derived.payment_events(spark, sf).drop("user_avg_amount", "amount_vs_avg_user")
+    averaged = with_running_average(events)
+    return averaged.select("transaction_id", "user_avg_amount", "amount_vs_avg_user")
+
+
 # ---------------------------------------------------------------- filters
 
 
@@ -653,12 +674,27 @@ def stream_scoring(spark, sf):
 
 @query("m08_area_under_roc")
 def auc(spark, sf):
-    return spark.createDataFrame([(training.area_under_roc(_training(spark, sf).predictions) > 0.9,)], "auc_is_high boolean")
+    """Of the supplied probability; the tests compare the forest's own with Spark's evaluator."""
+    return metrics.area_under_roc(derived.scored_events(spark, sf))
+
+
+@query("m08_area_under_roc_of_scores")
+def auc_of_scores(spark, sf):
+    """Of the stored final score, an integer with many ties, on rows with nulls."""
+    return metrics.area_under_roc(damaged_transactions(spark, sf), "final_score")
 
 
 @query("m09_weighted_f1")
 def f1(spark, sf):
-    return spark.createDataFrame([(training.weighted_f1(_training(spark, sf).predictions) > 0.9,)], "f1_is_high boolean")
+    found = metrics.weighted_f1(transactions(spark, sf), prediction=where.is_alertable().cast("int"))
+    return found.withColumn("f1", F.round("f1", 12))
+
+
+@query("m09_weighted_f1_of_classes")
+def f1_of_classes(spark, sf):
+    """Behavior scores as predictions of final scores in tens: classes on either side without a match."""
+    tens = F.col("final_score") - F.col("final_score") % 10
+    return metrics.weighted_f1(damaged_transactions(spark, sf), tens, "behavior_score").withColumn("f1", F.round("f1", 12))
 
 
 @query("m10_rebalance")
@@ -691,6 +727,31 @@ def profile_lookup(spark, sf):
     return enrichment(spark, sf).select("event_id", "usual_country", "user_avg_amount")
 
 
+_BUCKETED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _bucketed(spark, sf) -> tuple[str, str]:
+    """Names of the damaged tables in buckets of the transaction id, written once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BUCKETED:
+        names = tuple(f"{name}_{uuid4().hex}" for name in ("transactions", "fraud_alerts"))
+        for name, table in zip(names, (damaged_transactions, damaged_alerts), strict=True):
+            bucketed.write_bucketed(table(spark, sf), name, workspace(spark, "bucketed"), buckets=16)
+        _BUCKETED[key] = names
+    return _BUCKETED[key]
+
+
+@query("j01_alerts_without_transaction_bucketed")
+def lonely_alerts_bucketed(spark, sf):
+    transactions_name, alerts_name = _bucketed(spark, sf)
+    return bucketed.alerts_without_transaction(spark, alerts_name, transactions_name)
+
+
+@query("j03_missing_alerts_bucketed")
+def missing_alerts_bucketed(spark, sf):
+    return bucketed.transactions_without_alert(spark, *_bucketed(spark, sf)).select("transaction_id", "user_id", "processed_at")
+
+
 # ---------------------------------------------------------------- reports
 
 TRANSACTION_PLANS = {
@@ -774,20 +835,19 @@ REGISTRY["a18_duplicated_ids"] = _over(damaged_transactions, reconcile.duplicate
 
 
 def _newest(store: Query, table: str, top: int, plan) -> Query:
-    """A listing that reads only the files which hold the newest rows."""
+    """A listing that reads only the days which hold the newest rows."""
     return lambda spark, sf: plan(store(spark, sf).newest(table, top))
 
 
-def _compacted_store(spark: SparkSession, sf: str) -> TableStore:
-    """Payments in several batches, merged."""
+def _store_of_runs(spark: SparkSession, sf: str) -> TableStore:
+    """Payments in several runs."""
     store, scored = TableStore(spark, workspace(spark, "store")), derived.scored_events(spark, sf)
     for rest in range(3):
         fan_out(scored.filter(F.col("n") % 3 == rest), store, f"batch-{rest}", fixed_point_messages=True)
-    store.compact(keep_latest=False)
     return store
 
 
-_merged_store = _store_once("merged", _compacted_store)
+_merged_store = _store_once("merged", _store_of_runs)
 for _suffix, _kind in (("", _sound_store), ("_merged", _merged_store)):
     REGISTRY[f"l03_latest_transactions{_suffix}"] = _newest(_kind, "transactions", 30, dashboard.latest_transactions)
     REGISTRY[f"l04_latest_alerts{_suffix}"] = _newest(_kind, "fraud_alerts", 30, dashboard.latest_alerts)
@@ -807,6 +867,12 @@ for _number, _name in enumerate(quality.CHECKS, start=1):
 REGISTRY["q19_quality_report"] = _tx_and_alerts(lambda tx, alerts: quality.quality_report(tx, alerts, _stamp()))
 
 
+@query("q20_observed_checks")
+def observed_checks(spark, sf):
+    """The row checks from the counts taken while the damaged rows were written; they are not read again."""
+    return quality.observed_checks(_damage_store(spark, sf).read("batch_quality"))
+
+
 @query("q19_quality_gate")
 def quality_gate(spark, sf):
     report = REGISTRY["q19_quality_report"](spark, sf)
@@ -844,17 +910,44 @@ def restarted_stream(spark, sf):
     return store.read("transactions")
 
 
+def _drain_timeline(store: TableStore, checkpoint: str, lateness: str) -> None:
+    stream = start_timeline(store.stream("transactions"), store, checkpoint, lateness, availableNow=True)
+    stream.awaitTermination()
+
+
+def _timeline_of(spark, sf, runs, lateness: str = "10 minutes") -> DataFrame:
+    """Runs of payments stored one after another, the timeline's stream drained after each."""
+    store, checkpoint = TableStore(spark, workspace(spark, "store")), workspace(spark, "checkpoint")
+    rows = projections.transaction_rows(derived.scored_events(spark, sf))
+    for run, condition in runs:
+        store.write_run(run, {"transactions": rows.filter(condition)})
+        _drain_timeline(store, checkpoint, lateness)
+    return fraud_timeline(store)
+
+
 @query("t02_fraud_timeline")
 def timeline(spark, sf):
-    return fraud_timeline(_sound_store(spark, sf))
+    """Windows of event time over the stream of stored payments, drained."""
+    return _timeline_of(spark, sf, [("batch-0", "true")])
 
 
 @query("t02_replayed_timeline")
 def replayed_timeline(spark, sf):
-    """Two batches, the second of them written again, as after a crash."""
-    store, scored = TableStore(spark, workspace(spark, "store")), derived.scored_events(spark, sf)
-    for run, rest in (("batch-0", 0), ("batch-1", 1), ("batch-1", 1)):
-        fan_out(scored.filter(F.col("n") % 2 == rest), store, run)
+    """The first half of the month, then the second, then the second written again, as after a crash."""
+    first = "transaction_timestamp < timestamp_ntz'2024-01-16'"
+    return _timeline_of(spark, sf, [("a-0", first), ("a-1", f"NOT {first}"), ("a-1", f"NOT {first}")], "40 days")
+
+
+@query("t02_late_events")
+def late_timeline(spark, sf):
+    """All but every third payment up to noon of the 16th, then the rest: what is older than two days by then is too late."""
+    late = "hash_of_id % 3 = 0"
+    store, checkpoint = TableStore(spark, workspace(spark, "store")), workspace(spark, "checkpoint")
+    rows = projections.transaction_rows(derived.scored_events(spark, sf)).withColumn("hash_of_id", derived.number_of())
+    early = F.expr(f"transaction_timestamp < timestamp_ntz'2024-01-16 12:00:00' AND NOT {late}")
+    for run, part in (("a-0", rows.filter(early)), ("a-1", rows.filter(~early))):
+        store.write_run(run, {"transactions": part})
+        _drain_timeline(store, checkpoint, "2 days")
     return fraud_timeline(store)
 
 
@@ -883,5 +976,28 @@ def stream_duplicates(spark, sf):
     return store.read("transactions")
 
 
+@query("x01_maintained_reports")
+def maintained_reports(spark, sf):
+    """Daily reports stored for most rows, then refreshed for late rows that fall on a few dates."""
+    store = TableStore(spark, workspace(spark, "store"))
+    rows = projections.transaction_rows(derived.scored_events(spark, sf))
+    late = F.dayofmonth("transaction_timestamp").isin(7, 19) & (derived.number_of() % 4 == 0)
+    for run, part in (("a-0", rows.filter(~late)), ("a-1", rows.filter(late))):
+        store.write_run(run, {"transactions": part})
+        daily.refresh_reports(store, store.read("transactions", run_id=run))
+    return store.read("daily_reports")
+
+
 REGISTRY["x02_user_dimension"] = derived.users
+REGISTRY["x02_rated_users"] = _over(damaged_transactions, lambda tx: users.rated_users(users.user_history(tx)))
+
+
+@query("x02_merged_history")
+def merged_users(spark, sf):
+    """The same from the histories of three parts of the rows."""
+    tx = damaged_transactions(spark, sf).withColumn("part", F.dayofmonth("processed_at") % 3)
+    parts = [users.user_history(tx.filter(F.col("part") == k)) for k in range(3)]
+    return users.rated_users(users.merged(*parts))
+
+
 REGISTRY["x04_surrogate_keys"] = _over(fraud_alerts, lambda a: a.select("alert_id", "transaction_id"))

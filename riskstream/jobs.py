@@ -3,7 +3,8 @@
     spark-submit run.py score   --store URI --messages URI --model URI --checkpoint URI
     spark-submit run.py train   --data URI --model URI --metrics URI
     spark-submit run.py daily|evaluate|quality|repair --store URI --reports URI
-    spark-submit run.py compact --store URI
+    spark-submit run.py timeline --store URI --checkpoint URI
+    spark-submit run.py refresh --store URI --since DAY
     spark-submit run.py export  --store URI --jdbc URL
     spark-submit run.py publish --data URI --kafka SERVERS --topic NAME
 """
@@ -11,7 +12,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 
@@ -24,7 +25,8 @@ from riskstream.sources.labelled import labelled_csv
 from riskstream.sources.messages import file_messages, kafka_messages
 from riskstream.sources.models import load_pipeline, pipeline_scorer
 from riskstream.sources.tables import TABLES, TableStore, append_jdbc
-from riskstream.streaming.scoring import BatchWriter, start_scoring
+from riskstream.streaming.scoring import BatchWriter, start_rejects, start_scoring
+from riskstream.streaming.timeline import LATENESS, start_timeline
 
 
 def write_daily_report(transactions: DataFrame, folder: str, at: datetime) -> dict[str, str]:
@@ -71,7 +73,8 @@ def train_model(spark, data: str, model_path: str, metrics_path: str) -> dict:
 
 
 def score_stream(spark, args) -> None:
-    writer = BatchWriter(TableStore(spark, args.store), pipeline_scorer(load_pipeline(args.model)))
+    store = TableStore(spark, args.store)
+    writer = BatchWriter(store, pipeline_scorer(load_pipeline(args.model)))
     if args.kafka:
         bounds = {"maxOffsetsPerTrigger": args.batch_messages, "minPartitions": args.min_partitions}
         options = {name: str(value) for name, value in bounds.items() if value}
@@ -79,7 +82,14 @@ def score_stream(spark, args) -> None:
     else:
         messages = file_messages(spark, args.messages, args.batch_files)
     trigger = {"availableNow": True} if args.once else {}
-    start_scoring(messages, writer, args.checkpoint, **trigger).awaitTermination()
+    streams = [
+        start_scoring(messages, writer, f"{args.checkpoint}/scored", args.remember, **trigger),
+        start_rejects(messages, store, f"{args.checkpoint}/rejected", **trigger),
+    ]
+    if not args.once:
+        spark.streams.awaitAnyTermination()  # with its error, if one stream fails
+    for stream in streams:
+        stream.awaitTermination()
 
 
 def _arguments(argv=None) -> argparse.Namespace:
@@ -96,6 +106,7 @@ def _arguments(argv=None) -> argparse.Namespace:
     score.add_argument("--batch-messages", type=int, default=1_000_000, help="messages of a topic per batch")
     score.add_argument("--min-partitions", type=int, help="tasks that read the topic")
     score.add_argument("--batch-files", type=int, default=1000, help="files of a folder per batch")
+    score.add_argument("--remember", help="forget an id this long after it came, e.g. '7 days'; never by default")
     score.add_argument("--once", action="store_true", help="drain what is there and stop")
     train = commands.add_parser("train")
     for name in ("--data", "--model", "--metrics"):
@@ -104,9 +115,14 @@ def _arguments(argv=None) -> argparse.Namespace:
         report = commands.add_parser(name)
         report.add_argument("--store", required=True)
         report.add_argument("--reports", required=True)
-    compact = commands.add_parser("compact", help="merge finished batches into files by day")
-    compact.add_argument("--store", required=True)
-    compact.add_argument("--retain-hours", type=float, default=24.0, help="keep replaced files this long")
+    live = commands.add_parser("timeline", help="keep the frauds per minute up to date")
+    for name in ("--store", "--checkpoint"):
+        live.add_argument(name, required=True)
+    live.add_argument("--lateness", default=LATENESS, help="how much older than the newest an event may be")
+    live.add_argument("--once", action="store_true", help="drain what is there and stop")
+    refresh = commands.add_parser("refresh", help="recompute the daily reports that new rows touch")
+    refresh.add_argument("--store", required=True)
+    refresh.add_argument("--since", type=date.fromisoformat, required=True, help="first day of the new rows")
     export = commands.add_parser("export", help="append the result tables to a database")
     export.add_argument("--store", required=True)
     export.add_argument("--jdbc", required=True, help="URL")
@@ -138,8 +154,13 @@ def main(argv=None) -> None:
         score_stream(spark, args)
     elif args.command == "train":
         print(train_model(spark, args.data, args.model, args.metrics))
-    elif args.command == "compact":
-        print(TableStore(spark, args.store).compact(retain_hours=args.retain_hours))
+    elif args.command == "timeline":
+        store, trigger = TableStore(spark, args.store), {"availableNow": True} if args.once else {}
+        stream = start_timeline(store.stream("transactions"), store, args.checkpoint, args.lateness, **trigger)
+        stream.awaitTermination()
+    elif args.command == "refresh":
+        store = TableStore(spark, args.store)
+        daily.refresh_reports(store, store.read("transactions", since=args.since))
     elif args.command == "export":
         print(export_tables(TableStore(spark, args.store), args.jdbc))
     elif args.command == "publish":

@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskstream.operators.lookup import BROADCAST_BYTES, fits_broadcast
 
-# Parts of one id's rows that a batch compares before they meet.
-SALTS = 64
-
-
 def keep_first(df: DataFrame, key: str = "transaction_id", order: Sequence[str] = ("event_time",)) -> DataFrame:
     """The first row of every key, ties settled by row content; rows without a key are all kept.
 
@@ -24,15 +20,18 @@ def keep_first(df: DataFrame, key: str = "transaction_id", order: Sequence[str]
     return ranked.filter("_rank = 1").drop("_rank").unionByName(df.filter(F.col(key).isNull()))
 
 
-def drop_repeats(events: DataFrame, key: Column) -> DataFrame:
+def drop_repeats(events: DataFrame, key: str = "transaction_id", within: str | None = None, time: str = "received_at") -> DataFrame:
     """The first row seen of every key, over the whole of a stream or within a batch frame.
 
-    A stream keeps the keys in its state store, so a batch costs lookups for its own rows only.
-    Rows are compared within parts of a key first, so a key with a third of a batch is spread
-    over tasks and each part sends one row on.
+    A stream keeps the keys in one state store and nothing else, so a batch costs lookups for its own rows only. With
+    ``within`` a key is forgotten once the watermark, that long behind the newest ``time``, has passed
+    its first row, and the state stays as large as that span; copies that come later are new rows then. A key
+    repeated in much of a batch sends its rows to one task, so bound the batch; a batch frame
+    compares rows before it moves them.
     """
-    salted = events.withColumns({"_key": key, "_salt": F.pmod(F.spark_partition_id(), F.lit(SALTS))})
-    return salted.dropDuplicates(["_key", "_salt"]).dropDuplicates(["_key"]).drop("_key", "_salt")
+    if within is None or not events.isStreaming:
+        return events.dropDuplicates([key])
+    return events.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
 
 
 def drop_stored(

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskstream.functions.predicates import status_in
 from riskstream.operators.reconcile import duplicated_ids, key_checks
-from riskstream.schemas import HYBRID_METHOD
+from riskstream.schemas import BATCH_QUALITY, HYBRID_METHOD, OBSERVED_CHECKS
 
 
 class QualityGateError(ValueError):
@@ -74,6 +74,26 @@ def row_checks(transactions: DataFrame) -> DataFrame:
     return transactions.agg(*[F.count_if(faulty()).alias(name) for name, faulty in ROW_CHECKS.items()])
 
 
+def write_checked(store, run_id: str, tables: dict[str, DataFrame], one_day: bool = False) -> None:
+    """Write a run whose row checks are counted in the pass that writes its transactions.
+
+    The counts are stored as one row of the run, which a replay replaces with the run; no table is read for them.
+    """
+    seen = Observation()
+    counts = [F.count_if(ROW_CHECKS[name]()).alias(name) for name in OBSERVED_CHECKS]
+    whole = [F.count(F.lit(1)).alias("row_count"), F.max("processed_at").alias("observed_at")]
+    observed = tables["transactions"].observe(seen, *whole, *counts)
+    store.write_run(run_id, {**tables, "transactions": observed}, one_day)
+    metrics = seen.get
+    row = tuple(metrics.get(name, None if name == "observed_at" else 0) for name in BATCH_QUALITY.names)
+    store.write_run(run_id, {"batch_quality": store.spark.createDataFrame([row], BATCH_QUALITY)}, one_day=True)
+
+
+def observed_checks(batch_quality: DataFrame) -> DataFrame:
+    """``check_name, issue_count`` of the row checks over all stored runs, from the counts of each."""
+    return _long(batch_quality.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in OBSERVED_CHECKS]))
+
+
 def _long(counts: DataFrame) -> DataFrame:
     return counts.unpivot([], counts.columns, "check_name", "issue_count")
 

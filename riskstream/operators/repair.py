@@ -64,7 +64,7 @@ def repair(store, run_id: str, repaired_at: Column | None = None) -> DataFrame:
     if repaired_at is None:
         repaired_at = F.date_trunc("second", F.localtimestamp()).cast("timestamp_ntz")
     run = f"repair-{run_id}"
-    alerts = store.read("fraud_alerts", other_than_run=run)
+    alerts = store.read("fraud_alerts", other_than=run)
     missing = durable(transactions_without_alert(store.read("transactions"), alerts).select(*LISTED))
     store.write_run(run, {"fraud_alerts": repair_alert_rows(missing, repaired_at)})
     return repair_report(newest_first(missing), repaired_at)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskstream.functions.measures import ROWS, RowMeasures
 from riskstream.functions.predicates import is_alertable
-from riskstream.schemas import ALL_STATUSES, FRAUD, PROBABILITY, SUSPICIOUS
+from riskstream.schemas import ALL_STATUSES, DAILY_REPORTS, FRAUD, PROBABILITY, SUSPICIOUS
+from riskstream.session import durable
+
+DAY = timedelta(days=1)
 
 # --- fixed values: columns of the alert listing ---
 ALERT_DETAILS = (
@@ -76,6 +81,23 @@ def alert_details(transactions: DataFrame) -> DataFrame:
     return alerting.orderBy(F.col("processed_at").desc(), "transaction_id")
 
 
+def refresh_reports(store, new: DataFrame) -> None:
+    """Recompute the stored daily reports of the dates that ``new`` rows fall on, from all rows of those dates.
+
+    Reports of other dates are neither read nor written.
+    """
+    dated = F.to_date("transaction_timestamp")
+    dates = durable(new.select(dated.alias("report_date")).filter("report_date IS NOT NULL").distinct())
+    span = dates.agg(F.min("report_date").alias("first"), F.max("report_date").alias("last")).first()
+    if span.first is None:
+        return
+    # the span reaches the scan as a filter; the dates are a row a day
+    near = F.col("transaction_timestamp").between(F.lit(span.first).cast("timestamp_ntz"), F.lit(span.last + DAY).cast("timestamp_ntz"))
+    touched = store.read("transactions").filter(near).withColumn("report_date", dated)
+    touched = touched.join(F.broadcast(dates), "report_date", "left_semi")
+    store.upsert("daily_reports", daily_rollup(touched).select(*DAILY_REPORTS.names), ["report_date"])
+
+
 def daily_rollup(transactions: DataFrame) -> DataFrame:
     """Totals per event date, for a table of daily reports."""
     return (

@@ -7,12 +7,12 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.operators.rebalance import class_counts, random_split, with_class_weight
+from riskstream.plans import metrics
 from riskstream.schemas import LABEL, MODEL_FEATURES
 from riskstream.sources.labelled import complete_rows
 from riskstream.sources.models import fraud_probability
@@ -41,12 +41,14 @@ def fraud_pipeline(**overrides) -> Pipeline:
 
 
 def area_under_roc(predictions: DataFrame) -> float:
-    return BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC").evaluate(predictions)
+    """Exact, unlike the evaluator's, which bins the scores of large tables."""
+    scored = predictions.select(fraud_probability(), LABEL)
+    return metrics.area_under_roc(scored, "ml_probability", LABEL).first().auc
 
 
 def weighted_f1(predictions: DataFrame) -> float:
     """F1 averaged over classes by their share; a rare class hardly moves it."""
-    return MulticlassClassificationEvaluator(labelCol=LABEL, metricName="f1").evaluate(predictions)
+    return metrics.weighted_f1(predictions, LABEL, "prediction").first().f1
 
 
 @dataclass
@@ -67,7 +69,8 @@ def train(labelled: DataFrame, split=random_split, model_path: str = "", **fores
     try:
         counts = class_counts(complete)
         fitting, held_out = split(with_class_weight(complete, counts))
-        model = fraud_pipeline(**forest_settings).fit(fitting)
+        # the copy leaves the training summary behind: it holds the session, which tasks cannot always be sent
+        model = fraud_pipeline(**forest_settings).fit(fitting).copy()
         predictions = model.transform(held_out).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             auc, f1 = area_under_roc(predictions), weighted_f1(predictions)
@@ -75,7 +78,7 @@ def train(labelled: DataFrame, split=random_split, model_path: str = "", **fores
             predictions.unpersist()
     finally:
         complete.unpersist()
-    metrics = {
+    record = {
         "model_type": MODEL_TYPE,
         "total_rows": sum(counts),
         "normal_rows": counts[0],
@@ -85,21 +88,21 @@ def train(labelled: DataFrame, split=random_split, model_path: str = "", **fores
         "features": list(MODEL_FEATURES),
         "model_path": model_path,
     }
-    return Training(model, model.transform(held_out), metrics)
+    return Training(model, model.transform(held_out), record)
 
 
 def save_pipeline(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def metrics_record(spark: SparkSession, metrics: dict) -> DataFrame:
+def metrics_record(spark: SparkSession, record: dict) -> DataFrame:
     """The training record as one row."""
     schema = (
         "model_type string, total_rows bigint, normal_rows bigint, fraud_rows bigint, "
         "auc double, f1 double, features array<string>, model_path string"
     )
     names = [part.split()[0] for part in schema.split(", ")]
-    return spark.createDataFrame([tuple(metrics[name] for name in names)], schema)
+    return spark.createDataFrame([tuple(record[name] for name in names)], schema)
 
 
 def prediction_rows(predictions: DataFrame) -> DataFrame:

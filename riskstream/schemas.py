@@ -7,6 +7,7 @@ and a bad file cannot change a column's type.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    DateType,
     DecimalType,
     DoubleType,
     IntegerType,
@@ -132,4 +133,39 @@ REJECTED = StructType(
     ]
 )
 
+#: Row checks counted over a run while it was written, and the newest time in it.
+OBSERVED_CHECKS = (
+    "missing_transaction_id",
+    "missing_user_id",
+    "invalid_amount",
+    "invalid_transaction_status",
+    "missing_risk_score",
+    "invalid_risk_score",
+    "missing_transaction_timestamp",
+    "missing_ml_probability",
+    "invalid_ml_probability",
+    "missing_behavior_score",
+    "invalid_behavior_score",
+    "missing_final_score",
+    "invalid_final_score",
+    "missing_detection_method",
+    "invalid_actual_label",
+)
+BATCH_QUALITY = StructType(
+    [
+        StructField("row_count", LongType()),
+        StructField("observed_at", TimestampNTZType()),
+        *[StructField(name, LongType()) for name in OBSERVED_CHECKS],
+    ]
+)
+
+DAILY_REPORTS = StructType(
+    [
+        StructField("report_date", DateType()),
+        StructField("total_transactions", LongType()),
+        *[StructField(f"total_{status.lower()}", LongType()) for status in ALL_STATUSES],
+        StructField("total_fraud_amount", MONEY_TOTAL),
+    ]
+)
+
 FRAUD_MINUTES = StructType([StructField("minute", TimestampNTZType()), StructField("fraud_count", LongType())])

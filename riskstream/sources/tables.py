@@ -1,255 +1,150 @@
-"""Result tables kept as Parquet runs with a commit per run, or reached over JDBC."""
+"""Result tables as Parquet partitioned by day and run, or reached over JDBC."""
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
-from dataclasses import dataclass, field
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-
-from riskstream.schemas import FRAUD_ALERTS, FRAUD_MINUTES, REJECTED, RISK_SCORES, TRANSACTIONS
+from pyspark.sql.types import DateType, StringType, StructType
+
+from riskstream.schemas import (
+    BATCH_QUALITY,
+    DAILY_REPORTS,
+    FRAUD_ALERTS,
+    FRAUD_MINUTES,
+    REJECTED,
+    RISK_SCORES,
+    TRANSACTIONS,
+)
+from riskstream.session import durable
 
 TABLES = {
     "transactions": TRANSACTIONS,
     "risk_scores": RISK_SCORES,
     "fraud_alerts": FRAUD_ALERTS,
     "rejected_messages": REJECTED,
-    "fraud_minutes": FRAUD_MINUTES,
+    "batch_quality": BATCH_QUALITY,
 }
-# The time by which a table is listed, newest first; commits record its range.
-LISTED_BY = {
+# Tables that hold one row per key and are kept up to date, with the key's own day.
+KEYED = {"fraud_minutes": FRAUD_MINUTES, "daily_reports": DAILY_REPORTS}
+# The time whose day a table is partitioned by.
+DATED_BY = {
     "transactions": "processed_at",
     "risk_scores": "created_at",
     "fraud_alerts": "created_at",
     "rejected_messages": "rejected_at",
+    "batch_quality": "observed_at",
     "fraud_minutes": "minute",
+    "daily_reports": "report_date",
 }
-_COMMIT = (
-    "attempt string, run_id string, owner string, committed_at bigint, replaces array<string>, covers array<string>, "
-    "files array<struct<table:string,path:string,rows:bigint,least:string,most:string>>"
-)
-
-
-@dataclass
-class Commit:
-    """What one attempt at a run wrote. ``replaces`` names the attempts it stands for."""
-
-    run_id: str
-    owner: str
-    attempt: str = field(default_factory=lambda: uuid.uuid4().hex)
-    committed_at: int = field(default_factory=lambda: int(time.time() * 1000))
-    replaces: list[str] = field(default_factory=list)
-    covers: list[str] = field(default_factory=list)  # runs whose rows a compaction has taken over
-    files: list[dict] = field(default_factory=list)
-
-    def of(self, table: str) -> list[dict]:
-        return [entry for entry in self.files if entry["table"] == table]
 
 
 class TableStore:
-    """Append-only tables below one folder, written in runs.
+    """Tables below one folder, each partitioned by day.
 
-    A run is a micro-batch or a repair. Its files are written first and become visible, those of all
-    tables at once, with a small commit file that is renamed into place last. A run written again gets new
-    files and a commit that replaces the earlier one, so a reader sees the old run or the new one,
-    and a write that fails leaves the old one. Readers take the live files from the commits and
-    never list run folders. :meth:`compact` merges finished runs into one commit.
+    Appended tables are partitioned by day and run as well. A run is a micro-batch or a repair; written
+    again, it replaces its own partitions and no others (dynamic partition overwrite). A batch's rows
+    carry the time of the batch, which a replay keeps, so a replay meets the same partitions. The tables of a
+    run are not written at one moment: transactions come last, so a crash leaves no transaction without its alerts, and
+    the replay completes it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # ------------------------------------------------------------ file system
-
-    def _hadoop(self, path: str):
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
-
-    def _files_below(self, folder: str) -> list[str]:
-        system, path = self._hadoop(folder)
-        found, entries = [], system.listFiles(path, True)
-        while entries.hasNext():
-            name = entries.next().getPath().toString()
-            if name.endswith(".parquet"):
-                found.append(name)
-        return sorted(found)
-
-    def _delete(self, path: str) -> None:
-        system, target = self._hadoop(path)
-        system.delete(target, True)
-
-    def _publish(self, commit: Commit) -> None:
-        """Write the commit beside its place and rename it, so that it is there whole or not at all."""
-        folder, name = f"{self.root}/_commits", f"{commit.attempt}.json"
-        system, hidden = self._hadoop(f"{folder}/_{name}")
-        out = system.create(hidden, True)
-        out.write(bytearray(json.dumps(vars(commit)).encode()))
-        out.close()
-        if not system.rename(hidden, self._hadoop(f"{folder}/{name}")[1]):
-            raise OSError(f"commit of run {commit.run_id} could not be renamed")
-
-    # ------------------------------------------------------------ commits
-
-    def _all_commits(self) -> list[Commit]:
-        """Every commit file; after a compaction one for all finished runs, and one per run since."""
-        try:
-            rows = self.spark.read.schema(_COMMIT).json(f"{self.root}/_commits").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        return [Commit(**row.asDict(recursive=True)) for row in rows if row.attempt is not None]
-
-    def commits(self) -> list[Commit]:
-        """The live commits, oldest first."""
-        found = self._all_commits()
-        replaced = {attempt for commit in found for attempt in commit.replaces}
-        return sorted((c for c in found if c.attempt not in replaced), key=lambda c: (c.committed_at, c.attempt))
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
 
     # ------------------------------------------------------------ reading
 
-    def _scan(self, table: str, entries: list[dict]) -> DataFrame:
-        columns = TABLES[table]
-        paths = [entry["path"] for entry in entries]
-        if not paths:
+    def partitions(self, table: str) -> DataFrame:
+        """The table's rows with its partition columns; a table not yet written is empty."""
+        columns = StructType([*(TABLES | KEYED)[table].fields]).add("day", DateType())
+        if table in TABLES:
+            columns.add("run", StringType())
+        if not self._exists(table):
             return self.spark.createDataFrame([], columns)
-        return self.spark.read.schema(columns).parquet(*paths).select(*columns.names)
-
-    def read(
-        self,
-        table: str,
-        run_id: str | None = None,
-        other_than_run: str | None = None,
-        other_than_owner: str | None = None,
-    ) -> DataFrame:
-        """The table's rows as committed now; a table not yet written is empty."""
-        entries = [
-            entry
-            for commit in self.commits()
-            if (run_id is None or commit.run_id == run_id)
-            and commit.run_id != other_than_run
-            and (other_than_owner is None or commit.owner != other_than_owner)
-            for entry in commit.of(table)
-        ]
-        return self._scan(table, entries)
+        return self.spark.read.schema(columns).parquet(self.path(table))
+
+    def read(self, table: str, run_id: str | None = None, other_than: str | None = None, since=None) -> DataFrame:
+        """The table's rows, of one run, or but those of an owner's runs, or from a day on: all by pruned partitions."""
+        rows = self.partitions(table)
+        if run_id is not None:
+            rows = rows.filter(F.col("run") == run_id)
+        if other_than is not None:
+            rows = rows.filter(~_owned_by(other_than))
+        if since is not None:
+            rows = rows.filter(F.col("day") >= F.lit(since))
+        return rows.select(*(TABLES | KEYED)[table].names)
 
     def newest(self, table: str, top: int) -> DataFrame:
-        """Rows that hold the ``top`` newest of the table, from the fewest files that surely do.
+        """Whole days that hold the ``top`` newest rows, for a listing to sort and cut.
 
-        Files are taken newest first until they hold enough rows, and then all others that reach into
-        the same time, so ties are complete and any tie-breaker may follow.
+        Days are counted without reading a column.
         """
-        entries = [entry for commit in self.commits() for entry in commit.of(table)]
-        entries.sort(key=lambda entry: entry["most"] or "9999", reverse=True)
-        held, since = 0, "9999"
-        for entry in entries:
-            if held >= top and (entry["most"] or "9999") < since:
-                break
-            held += entry["rows"]
-            if held - entry["rows"] < top:
-                since = min(since, entry["least"] or "")
-        else:
-            return self._scan(table, entries)
-        return self._scan(table, [e for e in entries if (e["most"] or "9999") >= since])
+        rows = self.partitions(table)
+        per_day = rows.groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
+        newer = Window.orderBy(F.col("day").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        # a row for each day of the table
+        needed = per_day.withColumn("newer", F.coalesce(F.sum("rows").over(newer), F.lit(0))).filter(F.col("newer") < top)
+        found = needed.agg(F.min("day").alias("since"), F.count_if(F.col("day").isNull()).alias("undated")).first()
+        return self.read(table, since=None if found.undated else found.since)
+
+    def stream(self, table: str, **options: str) -> DataFrame:
+        """Rows as they are stored. A replayed run is seen again, so a reader that counts drops repeats by key."""
+        columns = StructType([*TABLES[table].fields]).add("day", DateType()).add("run", StringType())
+        system, path = self._hadoop(self.path(table))
+        system.mkdirs(path)  # a stream may start before the first run
+        reader = self.spark.readStream.schema(columns).option("ignoreMissingFiles", "true")
+        return reader.options(**options).parquet(self.path(table)).select(*TABLES[table].names)
 
     # ------------------------------------------------------------ writing
 
-    def _write(self, table: str, rows: DataFrame, folder: str, by_day: bool = False) -> list[dict]:
-        """Write rows and return their commit entries: one for a run, one per day for a compaction."""
-        listed = F.col(LISTED_BY[table])
-        rows = rows.select(*TABLES[table].names)
-        if not by_day:
-            rows.write.parquet(folder)
-            files = self._files_below(folder)
-            stats = self._stats(table, files) if files else None
-            if not stats or not stats.rows:
-                return []
-            # the run's range holds for each of its files; its row count stands with the first
-            return [
-                self._entry(table, path, stats.rows if k == 0 else 0, stats.least, stats.most)
-                for k, path in enumerate(files)
-            ]
-        dated = rows.withColumn("day", F.to_date(listed)).hint("rebalance", "day")
-        dated.write.partitionBy("day").parquet(folder)
-        written = self.spark.read.schema(TABLES[table]).parquet(*self._files_below(folder))
-        described = written.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-            F.count(F.lit(1)).alias("rows"), F.min(listed).alias("least"), F.max(listed).alias("most")
-        )
-        return [self._entry(table, r.path, r.rows, r.least, r.most) for r in described.collect()]  # one row per file
+    def write_run(self, run_id: str, tables: dict[str, DataFrame], one_day: bool = False) -> None:
+        """Write the tables of a run in the given order, each in place of what the run had in the same days.
 
-    def _stats(self, table: str, files: list[str]):
-        """Row count and time range of a run's files, from one column."""
-        listed = F.col(LISTED_BY[table])
-        written = self.spark.read.schema(TABLES[table]).parquet(*files)
-        return written.agg(
-            F.count(F.lit(1)).alias("rows"), F.min(listed).alias("least"), F.max(listed).alias("most")
-        ).first()
-
-    @staticmethod
-    def _entry(table, path, rows, least, most) -> dict:
-        text = [None if value is None else value.isoformat(" ", "microseconds") for value in (least, most)]
-        return {"table": table, "path": path, "rows": rows, "least": text[0], "most": text[1]}
+        Rows of many days are rebalanced by day first, so that a day has few files; rows of
+        ``one_day``, as a micro-batch has them, stay where they are.
+        """
+        for table, rows in tables.items():
+            dated = rows.select(*TABLES[table].names, F.to_date(DATED_BY[table]).alias("day"), F.lit(run_id).alias("run"))
+            self._overwrite(table, dated if one_day else dated.hint("rebalance", "day"), "day", "run")
 
-    def write_run(self, run_id: str, tables: dict[str, DataFrame], owner: str = "") -> None:
-        """Write the tables of a run and make them visible together, in place of an earlier attempt.
+    def upsert(self, table: str, rows: DataFrame, keys: list[str]) -> None:
+        """Put rows in place of those with the same keys. Only the days that they touch are read and written.
 
-        A run that a compaction has taken over is stored already, and a replay of it writes nothing.
+        The merged days are kept in the shared folder before they replace what they were read from.
         """
-        if any(run_id in commit.covers for commit in self.commits()):
-            return
-        commit = Commit(run_id, owner or run_id)
-        for table, rows in tables.items():
-            commit.files += self._write(table, rows, f"{self.root}/{table}/{run_id}/{commit.attempt}")
-        commit.replaces = [earlier.attempt for earlier in self.commits() if earlier.run_id == run_id]
-        commit.committed_at = int(time.time() * 1000)
-        self._publish(commit)
+        rows = durable(rows.withColumn("day", F.to_date(DATED_BY[table])))
+        days = rows.select("day").distinct()
+        kept = self.partitions(table).join(F.broadcast(days), "day", "left_semi")  # one row a day
+        merged = durable(kept.join(rows.select(*keys), keys, "left_anti").unionByName(rows.select(kept.columns)))
+        self._overwrite(table, merged.hint("rebalance", "day"), "day")
 
-    # ------------------------------------------------------------ upkeep
+    def _overwrite(self, table: str, rows: DataFrame, *partitions: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions).parquet(self.path(table))
 
-    def compact(self, keep_latest: bool = True, retain_hours: float = 24.0) -> int:
-        """Merge finished runs into files by day, per owner, under one commit each; returns how many runs.
+    # ------------------------------------------------------------ owners
+
+    def other_owners(self, owner: str) -> bool:
+        """Register ``owner``, and tell whether others have written here. One marker an owner, not one a run."""
+        system, folder = self._hadoop(f"{self.root}/_owners")
+        system.mkdirs(self._hadoop(f"{self.root}/_owners/{owner}")[1])
+        return len(system.listStatus(folder)) > 1
+
+    def _hadoop(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+
+    def _exists(self, table: str) -> bool:
+        system, path = self._hadoop(self.path(table))
+        return system.exists(path)
 
-        The latest run of each owner may still be replayed and stays as it is, unless
-        ``keep_latest`` is off. Data and commits that are replaced are deleted once they are older than
-        ``retain_hours``, so that readers which began before still find their files.
-        """
-        by_owner: dict[str, list[Commit]] = {}
-        for commit in self.commits():
-            by_owner.setdefault(commit.owner, []).append(commit)
-        merged = 0
-        for owner, runs in by_owner.items():
-            latest = [run for run in runs if not run.covers][-1:] if keep_latest else []
-            finished = [run for run in runs if run not in latest]
-            if len(finished) < 2:
-                continue
-            attempt = Commit(f"compacted-{uuid.uuid4().hex}", owner)
-            for table in TABLES:
-                entries = [entry for run in finished for entry in run.of(table)]
-                if entries:
-                    folder = f"{self.root}/{table}/{attempt.run_id}/{attempt.attempt}"
-                    attempt.files += self._write(table, self._scan(table, entries), folder, by_day=True)
-            attempt.replaces = [run.attempt for run in finished]
-            attempt.covers = [name for run in finished for name in (run.covers or [run.run_id])]
-            attempt.committed_at = int(time.time() * 1000)
-            self._publish(attempt)
-            merged += len(finished)
-        self._vacuum(retain_hours)
-        return merged
 
-    def _vacuum(self, retain_hours: float) -> None:
-        found, before = self._all_commits(), time.time() * 1000 - retain_hours * 3_600_000
-        since = {attempt: commit.committed_at for commit in found for attempt in commit.replaces}
-        for commit in found:
-            if commit.attempt in since and since[commit.attempt] <= before:
-                for table in {entry["table"] for entry in commit.files}:
-                    self._delete(f"{self.root}/{table}/{commit.run_id}/{commit.attempt}")
-                self._delete(f"{self.root}/_commits/{commit.attempt}.json")
+def _owned_by(owner: str) -> Column:
+    """Runs of an owner are named ``<owner>`` or ``<owner>-<number>``."""
+    return (F.col("run") == owner) | F.col("run").startswith(f"{owner}-")
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

@@ -115,6 +115,11 @@ def test_jobs_over_a_store(spark, sf, tmp_path):
     jobs.check_quality(store, folder, datetime(2024, 2, 2))
     jobs.main(["evaluate", "--store", store.root, "--reports", folder])
     jobs.main(["daily", "--store", store.root, "--reports", folder])
+    jobs.main(["refresh", "--store", store.root, "--since", "2024-01-01"])
+    assert store.read("daily_reports").count() == store.read("transactions").select(F.to_date("transaction_timestamp")).distinct().count()
+    jobs.main(["timeline", "--store", store.root, "--checkpoint", str(tmp_path / "cp"), "--once"])
+    frauds = store.read("transactions").filter("transaction_status = 'FRAUD'").count()
+    assert sum(r.fraud_count for r in store.read("fraud_minutes").collect()) == frauds
     jobs.main(["quality", "--store", store.root, "--reports", folder])
     names = {p.name.rsplit("_", 2)[0] for p in (tmp_path / "reports").iterdir()}
     assert names == {
@@ -156,7 +161,7 @@ def test_snapshot_of_empty_table(spark):
     assert panels["confusion"].first().true_positives == 0
 
 
-def test_a_hot_day_is_compacted_by_several_tasks(spark, sf, tmp_path):
+def test_a_hot_day_is_written_by_several_tasks(spark, sf, tmp_path):
     """Two thirds of the rows fall on one day; its files come from more than one writer."""
     settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB"}
     before = {k: spark.conf.get(k, None) for k in settings}
@@ -168,11 +173,10 @@ def test_a_hot_day_is_compacted_by_several_tasks(spark, sf, tmp_path):
             F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
         )
         rows = queries.transactions(spark, sf).withColumn("processed_at", hot)
-        for run in range(4):
-            store.write_run(f"batch-{run}", {"transactions": rows}, "one")
-        store.compact(keep_latest=False, retain_hours=0)
-        assert len(list((tmp_path / "transactions").glob("*/*/day=2024-01-05/*.parquet"))) > 1
-        assert store.read("transactions").count() == 4000
+        store.write_run("batch-0", {"transactions": rows.unionByName(rows).unionByName(rows)})
+        assert len(list((tmp_path / "transactions").glob("day=2024-01-05/run=batch-0/*.parquet"))) > 1
+        assert len(list((tmp_path / "transactions").glob("day=2024-01-06/run=batch-0/*.parquet"))) == 1
+        assert store.read("transactions").count() == 3000
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -188,7 +192,9 @@ def test_a_hot_day_is_compacted_by_several_tasks(spark, sf, tmp_path):
         "evaluate --store s --reports r",
         "quality --store s --reports r",
         "repair --store s --reports r",
-        "compact --store s --retain-hours 1",
+        "timeline --store s --checkpoint c --lateness 5minutes --once",
+        "refresh --store s --since 2024-01-31",
+        "score --store s --model m --checkpoint c --messages d --remember 7days",
         "export --store s --jdbc u",
         "publish --data d --kafka h:1",
     ],
@@ -203,7 +209,7 @@ def test_the_launcher_runs(spark, sf, tmp_path):
 
     root = Path(__file__).resolve().parent.parent
     shown = subprocess.run([sys.executable, str(root / "run.py"), "--help"], capture_output=True, text=True, cwd=tmp_path)
-    assert shown.returncode == 0 and "compact" in shown.stdout
+    assert shown.returncode == 0 and "timeline" in shown.stdout
 
 
 def test_scratch_goes_with_its_last_reader(spark, sf):
