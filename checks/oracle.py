@@ -616,6 +616,17 @@ SELECTS: dict[str, str] = {
       SELECT transaction_id, user_avg_amount,
              CASE WHEN user_avg_amount IS NOT NULL THEN amount / greatest(user_avg_amount, 1e0) END AS amount_vs_avg_user
       FROM averaged""",
+    "p15_running_average_stream": """
+      WITH stored AS (SELECT *, CAST(amount AS DECIMAL(12, 2)) AS kept FROM payments),
+      spent AS (
+        SELECT transaction_id, CAST(kept AS DOUBLE) AS amount, SUM(CAST(kept * 100 AS BIGINT)) OVER h AS cents, COUNT(*) OVER h AS k
+        FROM stored
+        WINDOW h AS (PARTITION BY user_id ORDER BY event_time, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+      averaged AS (
+        SELECT transaction_id, amount, CASE WHEN k > 0 THEN CAST(cents AS DOUBLE) / 100 / k END AS user_avg_amount FROM spent)
+      SELECT transaction_id, user_avg_amount,
+             CASE WHEN user_avg_amount IS NOT NULL THEN amount / greatest(user_avg_amount, 1e0) END AS amount_vs_avg_user
+      FROM averaged""",
     "j01_alerts_without_transaction_bucketed": _LONELY,
     "j03_missing_alerts_bucketed": f"""
       SELECT transaction_id, user_id, processed_at FROM damaged

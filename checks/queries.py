@@ -28,6 +28,7 @@ from riskstream.sources.labelled import complete_rows, labelled_csv, replay_sour
 from riskstream.sources.messages import file_messages
 from riskstream.sources.models import load_pipeline, model_inputs, pipeline_scorer
 from riskstream.sources.tables import TableStore
+from riskstream.streaming.averages import start_averages
 from riskstream.streaming.scoring import BatchWriter, fan_out, prepared, start_rejects, start_scoring
 from riskstream.streaming.timeline import fraud_timeline, start_timeline
 
@@ -449,6 +450,18 @@ def running_average(spark, sf):
     return averaged.select("transaction_id", "user_avg_amount", "amount_vs_avg_user")
 
 
+@query("p15_running_average_stream")
+def running_average_stream(spark, sf):
+    """The same along a stream: ten days of payments at a time, each drained, one stored twice."""
+    store, checkpoint = TableStore(spark, workspace(spark, "store")), workspace(spark, "checkpoint")
+    rows = projections.transaction_rows(derived.scored_events(spark, sf))
+    day = F.dayofmonth("transaction_timestamp")
+    for run, part in (("a-0", day <= 10), ("a-1", (day > 10) & (day <= 20)), ("a-1", (day > 10) & (day <= 20)), ("a-2", day > 20)):
+        store.write_run(run, {"transactions": rows.filter(part)})
+        start_averages(store.stream("transactions"), store, checkpoint, availableNow=True).awaitTermination()
+    return store.read("spend_profiles").select("transaction_id", "user_avg_amount", "amount_vs_avg_user")
+
+
 # ---------------------------------------------------------------- filters
 
 

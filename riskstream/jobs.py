@@ -4,6 +4,7 @@
     spark-submit run.py train   --data URI --model URI --metrics URI
     spark-submit run.py daily|evaluate|quality|repair --store URI --reports URI
     spark-submit run.py timeline --store URI --checkpoint URI
+    spark-submit run.py averages --store URI --checkpoint URI
     spark-submit run.py refresh --store URI --since DAY
     spark-submit run.py export  --store URI --jdbc URL
     spark-submit run.py publish --data URI --kafka SERVERS --topic NAME
@@ -25,6 +26,7 @@ from riskstream.sources.labelled import labelled_csv
 from riskstream.sources.messages import file_messages, kafka_messages
 from riskstream.sources.models import load_pipeline, pipeline_scorer
 from riskstream.sources.tables import TABLES, TableStore, append_jdbc
+from riskstream.streaming.averages import start_averages
 from riskstream.streaming.scoring import BatchWriter, start_rejects, start_scoring
 from riskstream.streaming.timeline import LATENESS, start_timeline
 
@@ -120,6 +122,10 @@ def _arguments(argv=None) -> argparse.Namespace:
         live.add_argument(name, required=True)
     live.add_argument("--lateness", default=LATENESS, help="how much older than the newest an event may be")
     live.add_argument("--once", action="store_true", help="drain what is there and stop")
+    averages = commands.add_parser("averages", help="keep what users spent before each transaction")
+    for name in ("--store", "--checkpoint"):
+        averages.add_argument(name, required=True)
+    averages.add_argument("--once", action="store_true", help="drain what is there and stop")
     refresh = commands.add_parser("refresh", help="recompute the daily reports that new rows touch")
     refresh.add_argument("--store", required=True)
     refresh.add_argument("--since", type=date.fromisoformat, required=True, help="first day of the new rows")
@@ -158,6 +164,9 @@ def main(argv=None) -> None:
         store, trigger = TableStore(spark, args.store), {"availableNow": True} if args.once else {}
         stream = start_timeline(store.stream("transactions"), store, args.checkpoint, args.lateness, **trigger)
         stream.awaitTermination()
+    elif args.command == "averages":
+        store, trigger = TableStore(spark, args.store), {"availableNow": True} if args.once else {}
+        start_averages(store.stream("transactions"), store, args.checkpoint, **trigger).awaitTermination()
     elif args.command == "refresh":
         store = TableStore(spark, args.store)
         daily.refresh_reports(store, store.read("transactions", since=args.since))

@@ -168,4 +168,24 @@ DAILY_REPORTS = StructType(
     ]
 )
 
+SPEND_PROFILES = StructType(
+    [
+        StructField("transaction_id", StringType()),
+        StructField("user_id", StringType()),
+        StructField("event_time", TimestampNTZType()),
+        StructField("user_avg_amount", DoubleType()),
+        StructField("amount_vs_avg_user", DoubleType()),
+    ]
+)
+
+#: What users spent in one run, in cents, and in how many rows.
+USER_SPEND = StructType(
+    [
+        StructField("user_id", StringType()),
+        StructField("spent", DecimalType(20, 0)),
+        StructField("row_count", LongType()),
+        StructField("until", TimestampNTZType()),
+    ]
+)
+
 FRAUD_MINUTES = StructType([StructField("minute", TimestampNTZType()), StructField("fraud_count", LongType())])

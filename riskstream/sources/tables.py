@@ -13,7 +13,9 @@ from riskstream.schemas import (
     FRAUD_MINUTES,
     REJECTED,
     RISK_SCORES,
+    SPEND_PROFILES,
     TRANSACTIONS,
+    USER_SPEND,
 )
 from riskstream.session import durable
 
@@ -23,6 +25,8 @@ TABLES = {
     "fraud_alerts": FRAUD_ALERTS,
     "rejected_messages": REJECTED,
     "batch_quality": BATCH_QUALITY,
+    "spend_profiles": SPEND_PROFILES,
+    "user_spend": USER_SPEND,
 }
 # Tables that hold one row per key and are kept up to date, with the key's own day.
 KEYED = {"fraud_minutes": FRAUD_MINUTES, "daily_reports": DAILY_REPORTS}
@@ -33,6 +37,8 @@ DATED_BY = {
     "fraud_alerts": "created_at",
     "rejected_messages": "rejected_at",
     "batch_quality": "observed_at",
+    "spend_profiles": "event_time",
+    "user_spend": "until",
     "fraud_minutes": "minute",
     "daily_reports": "report_date",
 }

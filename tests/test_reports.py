@@ -194,6 +194,7 @@ def test_a_hot_day_is_written_by_several_tasks(spark, sf, tmp_path):
         "repair --store s --reports r",
         "timeline --store s --checkpoint c --lateness 5minutes --once",
         "refresh --store s --since 2024-01-31",
+        "averages --store s --checkpoint c --once",
         "score --store s --model m --checkpoint c --messages d --remember 7days",
         "export --store s --jdbc u",
         "publish --data d --kafka h:1",
