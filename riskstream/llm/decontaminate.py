@@ -14,7 +14,8 @@ never shuffled.
 Defined results: a null or wordless text has no words and no hits. Rows equal in ``doc_id`` and text
 are one document and give one row; a null ``doc_id`` is an id like others. Items without words have no
 windows; repeated items count once; an item without an id marks words but is neither counted nor
-listed. Columns other than those named are not read.
+listed. Texts are read whole, whatever their length. Without documents there are no rows, without items no
+hits. Columns other than those named are not read.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ host with most of the documents sends one row per task. The join back moves no t
 
 Defined results: a null or wordless text has no words, fails and is not kept. A document without a
 host is judged by its own rules and counts for none. Repeated rows are judged one by one. Ties at a
-bound are kept. Columns other than those named are not read.
+bound are kept. Texts are read whole, whatever their length. An empty table gives no rows. Columns other than those named are not read.
 """
 
 from __future__ import annotations

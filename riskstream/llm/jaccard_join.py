@@ -17,7 +17,8 @@ each link is counted; what is shuffled and returned does not list pairs.
 Defined results: a text with fewer than five words, but not none, is one shingle. A null or wordless
 text has no shingles and no links; it is a class of its own. A row without an id has no class (null)
 and no links. Rows that share an id are one document; the links of different texts under one id add
-up. Columns other than those named are not read.
+up. Texts are read whole, whatever their length; repeated rows give a row each, with equal results. A pair at
+the threshold is a link. An empty table gives no rows. Columns other than those named are not read.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ probabilities is broadcast and each Arrow batch is scored in numpy.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0. A null
 ``doc_id`` counts as the empty text for the split. Repeated rows are scored one by one. Without any
-labelled row every text is ``und``. Ties go to the language that sorts first. Columns other than
+labelled row every text is ``und``. Texts are read whole, whatever their length. An empty table gives no rows. Ties go to the language that sorts first. Columns other than
 those named are not read.
 """
 

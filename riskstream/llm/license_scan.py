@@ -10,8 +10,8 @@ is verified around it: the share of its distinct shingles within its own length
 
 Where one stretch verifies several templates, all of them are returned; copies of one template in a text are
 separate matches. Defined results: null or a text of fewer than five words matches nothing. Texts of any
-length are scanned whole. Repeated rows are scanned one by one. Columns other than the two named are not
-read.
+length are scanned whole. Repeated rows are scanned one by one. An empty table gives no rows. Columns other
+than the two named are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ The model file must be BPE with identity normalisation, a dummy prefix, byte fal
 space kept; any other kind is refused.
 
 Defined results: null counts as the empty text, which has only the begin and end ids. Repeated rows
-are encoded one by one. Columns other than the two named are not read.
+are encoded one by one. Texts are read whole, whatever their length. An empty table gives no rows. Columns other than the two named are not read.
 """
 
 from __future__ import annotations

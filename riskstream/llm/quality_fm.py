@@ -11,7 +11,7 @@ smallest hash of their id; all rows are scored in numpy on the executors.
 Defined results: null counts as the empty text, which is scored by its statistics alone. A null
 ``n_chars`` is a step of its own. Labels for absent documents, and null labels, are not used; a document with
 several labels counts once for each, and rows of the same id, text and ``n_chars`` count as one in training. Without any label every score is 0.5. Repeated rows are scored one by
-one. Columns other than those named are not read.
+one. A score at the threshold is predicted 1. Texts are read whole, whatever their length. An empty table gives no rows. Columns other than those named are not read.
 """
 
 from __future__ import annotations

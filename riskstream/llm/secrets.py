@@ -8,7 +8,9 @@ Spans are in code points, end exclusive, sorted by start and then by kind. A ``c
 value alone and is left out where fixed patterns already cover all of it.
 
 Defined results: null counts as the empty text, without spans. Texts of any length are scanned
-whole, and values of any length segmented whole, in linear time. Repeated rows are scanned one by one.
+whole, and values of any length segmented whole, in linear time. Segmentations of equal cost are alike, as
+only the cost counts. Repeated rows are scanned one by one. An empty table gives no rows. Only ``text`` is
+read to find secrets; other columns, whatever their names, pass through where rows are kept.
 """
 
 from __future__ import annotations
@@ -34,17 +36,23 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
-# credential words, some of which the base pattern does not know; lower case
+# credential words of four languages, some of which the base pattern does not know; lower case
 CONTEXT_WORDS = (
     "password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "api_key", "apikey", "api-key",
     "access_key", "access-key", "private_key", "private-key", "credential", "bearer", "authorization",
+    "passwort", "kennwort", "contraseña", "contrasena", "mot de passe", "motdepasse",
 )
 _ANY_WORD = "|".join(re.escape(word) for word in CONTEXT_WORDS)
-# after a sign any value counts; after white space or "is" only one with a digit
+# after a sign any value counts; after white space or "is" only one with a digit; a value in quotes goes to the closing
+# one, any other to white space or the next key, and a scheme before it is no part of it
 CONTEXT = re.compile(
-    rf"""(?:{_ANY_WORD})s?["']?(\s*(?:[:=]|=>|:=)\s*|\s+is\s+|\s+)["'`]?([^\s"'`<>,;(){{}}\[\]]{{8,}})""",
+    rf"""(?:{_ANY_WORD})s?["']?(\s*(?:[:=]|=>|:=)\s*|\s+(?:is|ist|es|est)\s+|\s+)(?:(?:basic|digest|bearer)\s+)?"""
+    r"""(?:"([^"\n]{8,})"|'([^'\n]{8,})'|`([^`\n]{8,})`|["'`]?((?:(?![,;&][\w-]+[=:])[^\s"'`<>]){8,}))""",
     re.IGNORECASE | re.ASCII,
 )
+#: What may follow an unquoted value and is no part of it.
+_TRAILING = ".:!?,;)]}"
+_UNQUOTED = 5
 # the longest credential word with its plural and a sign behind it
 _TAIL = max(map(len, CONTEXT_WORDS)) + 3
 _KEYS = tuple(word.encode() for word in CONTEXT_WORDS)
@@ -154,23 +162,24 @@ def find(text: str | None, min_bits: float = MIN_BITS) -> list[tuple[str, int, i
         base = _merged(sorted((start, end) for _, start, end in spans))
         at = seen = done = 0
         while m := CONTEXT.search(text, seen):
-            start, end = m.span(2)
+            start, end = whole = m.span(m.lastindex)
             # the value may be a credential word itself; of one that is a span only the tail can lead further
             seen, tail = start, max(start, end - _TAIL)
             if end <= done:
                 seen = tail
                 continue
-            end -= len(m[2]) - len(m[2].rstrip(".:!?"))
+            if m.lastindex == _UNQUOTED:
+                end = start + len(text[start:end].rstrip(_TRAILING))
             while at < len(base) and base[at][1] <= start:
                 at += 1
             if at < len(base) and base[at][0] <= start and end <= base[at][1]:
                 seen = tail
                 continue
-            signed = m[1].strip() not in ("", "is")
+            signed = m[1].strip().lower() not in ("", "is", "ist", "es", "est")
             value = text[start:end]
             if (signed or any(c.isdigit() for c in value)) and guess_bits(value) >= min_bits:
                 spans.append(("cost", start, end))
-                seen, done = tail, m.end(2)
+                seen, done = tail, whole[1]
     return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0]), span[2]))
 
 

@@ -15,7 +15,8 @@ many documents adds rows in proportion to its copies, and windows only once.
 
 Defined results: a null or wordless text has no words; a text shorter than a window loses nothing. Rows
 without an id lose nothing and take nothing from others. Rows that share an id are one document and take
-nothing from each other; each row gives one result. Columns other than those named are not read.
+nothing from each other; each row, repeated or not, gives one result. Texts are read whole, whatever their
+length. An empty table gives no rows. Columns other than those named are not read.
 """
 
 from __future__ import annotations
