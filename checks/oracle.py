@@ -594,6 +594,7 @@ SELECTS: dict[str, str] = {
       SELECT DISTINCT transaction_id FROM damaged WHERE transaction_id IS NOT NULL
       UNION ALL SELECT transaction_id FROM damaged WHERE transaction_id IS NULL""",
     "t03_drop_stored": f"SELECT transaction_id FROM tx WHERE {ALERTING}",
+    "t03_bounded_memory": f"SELECT {TX_COLUMNS} FROM ({_stored('streamed')})",
     "t03_stream_duplicates": f"SELECT {TX_COLUMNS} FROM ({_stored('streamed')})",
     # declared tables
     "x01_daily_rollup": f"""

@@ -123,9 +123,11 @@ def _writer(store: TableStore) -> BatchWriter:
     return BatchWriter(store, derived.probability_from_id, processed_at=_stamp(), fixed_point_messages=True)
 
 
-def _drain(spark: SparkSession, folder: str, store: TableStore, checkpoint: str, files_per_batch: int = 2) -> None:
+def _drain(
+    spark: SparkSession, folder: str, store: TableStore, checkpoint: str, files_per_batch: int = 2, within: str | None = None
+) -> None:
     messages = file_messages(spark, folder, files_per_batch)
-    start_scoring(messages, _writer(store), f"{checkpoint}/scored", availableNow=True).awaitTermination()
+    start_scoring(messages, _writer(store), f"{checkpoint}/scored", within, availableNow=True).awaitTermination()
 
 
 def _streamed_store(spark: SparkSession, sf: str) -> TableStore:
@@ -1001,6 +1003,18 @@ def maintained_reports(spark, sf):
     return store.read("daily_reports")
 
 
+@query("t03_bounded_memory")
+def bounded_memory(spark, sf):
+    """The message files twice over, by a stream that remembers an id for a day after it came."""
+    folder, store, checkpoint = _message_folder(spark, sf), TableStore(spark, workspace(spark, "store")), workspace(
+        spark, "checkpoint"
+    )
+    for _ in range(2):
+        _drain(spark, folder, store, checkpoint, within="1 day")
+        reports.publish_text(derived.json_messages(spark, sf).repartition(2), folder)
+    return store.read("transactions")
+
+
 REGISTRY["x02_user_dimension"] = derived.users
 REGISTRY["x02_rated_users"] = _over(damaged_transactions, lambda tx: users.rated_users(users.user_history(tx)))
 

@@ -119,7 +119,8 @@ class TableStore:
     def upsert(self, table: str, rows: DataFrame, keys: list[str]) -> None:
         """Put rows in place of those with the same keys. Only the days that they touch are read and written.
 
-        The merged days are kept in the shared folder before they replace what they were read from.
+        The merged days are kept in the shared folder before they replace what they were read from. A day is not
+        replaced at one moment: what is kept this way can be made again from the transactions.
         """
         rows = durable(rows.withColumn("day", F.to_date(DATED_BY[table])))
         days = rows.select("day").distinct()
