@@ -8,6 +8,7 @@ from checks import queries
 from riskstream import jobs
 from riskstream.functions.cleaning import fill_features
 from riskstream.plans import training
+from riskstream.schemas import MODEL_FEATURES
 from riskstream.sinks.reports import keyed_messages, publish_text
 from checks import derived
 from riskstream.sources.models import load_pipeline, pipeline_scorer
@@ -76,3 +77,39 @@ def test_train_and_score_jobs(spark, sf, tmp_path):
         + ["--messages", str(tmp_path / "messages"), "--once"]
     )
     assert TableStore(spark, str(tmp_path / "store")).read("transactions").count() == 1000
+
+
+def walked(nodes, values):
+    """The leaf's class shares for one row: thresholds from the root down, as the saved nodes state them."""
+    node = nodes[0]
+    while node.leftChild >= 0:
+        left = values[node.split.featureIndex] <= node.split.leftCategoriesOrThreshold[0]
+        node = nodes[node.leftChild if left else node.rightChild]
+    total = sum(node.impurityStats)
+    return [share / total for share in node.impurityStats]
+
+
+def test_probabilities_are_those_of_the_saved_thresholds(spark, sf, fitted, tmp_path):
+    """Every tree of the saved forest walked by hand, for every row, batch and stream scorer alike."""
+    path = str(tmp_path / "model")
+    training.save_pipeline(fitted.model, path)
+    saved = spark.read.parquet(*[str(p) for p in (tmp_path / "model" / "stages").glob("1_*/data")]).collect()
+    trees = {}
+    for row in saved:
+        trees.setdefault(row.treeID, {})[row.nodeData.id] = row.nodeData
+    assert len(trees) == 80 and all(0 in nodes for nodes in trees.values())
+    rows = derived.labelled_rows(spark, sf).orderBy("Time")
+    inputs = [[float(r[name]) for name in MODEL_FEATURES] for r in rows.collect()]
+    expected = [sum(walked(nodes, values)[1] for nodes in trees.values()) / 80 for values in inputs]
+    scored = load_pipeline(path).transform(rows).orderBy("Time").select(vector_to_array("probability")[1]).collect()
+    assert [r[0] for r in scored] == pytest.approx(expected, abs=1e-9)
+    packed = pipeline_scorer(load_pipeline(path))(rows.withColumnRenamed("Amount", "amount"))
+    assert [r.ml_probability for r in packed.orderBy("Time").collect()] == pytest.approx(expected, abs=1e-9)
+    depth = {}
+    for nodes in trees.values():
+        depth[0] = 0
+        for k in sorted(nodes):
+            for child in (nodes[k].leftChild, nodes[k].rightChild):
+                if child >= 0:
+                    depth[child] = depth[k] + 1
+        assert max(depth[k] for k in nodes) <= 8
