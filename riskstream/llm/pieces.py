@@ -349,7 +349,12 @@ def with_digests(docs: DataFrame, model_path: str, key: str = "doc_id") -> DataF
     return _mapped(docs, model_path, key, digests=True)
 
 
-def _mapped(docs: DataFrame, model_path: str, key: str, digests: bool) -> DataFrame:
+def with_tokens(docs: DataFrame, model_path: str, key: str = "doc_id") -> DataFrame:
+    """The key, ``ids`` as in :func:`with_ids`, and the digests, of every row."""
+    return _mapped(docs, model_path, key, digests=True, ids_too=True)
+
+
+def _mapped(docs: DataFrame, model_path: str, key: str, digests: bool, ids_too: bool = False) -> DataFrame:
     docs.sparkSession.sparkContext.addFile(model_path)
     name = model_path.rsplit("/", 1)[-1]
 
@@ -362,23 +367,24 @@ def _mapped(docs: DataFrame, model_path: str, key: str, digests: bool) -> DataFr
                 decoded = [decode(model, row) for row in ids]
                 own = batch.column(0).slice(at, len(texts))
                 at += len(texts)
+                arrays = [np.frombuffer(row, dtype="<u4").astype(np.int32) for row in ids] if ids_too or not digests else []
+                edges = pa.array(np.cumsum([0, *map(len, arrays)]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(edges, pa.array(np.concatenate(arrays))) if arrays else None
                 if digests:
-                    columns = [
+                    columns = [lists] if ids_too else []
+                    columns += [
                         pa.array([len(row) // 4 for row in ids], pa.int64()),
                         pa.array([hashlib.sha256(row).hexdigest() for row in ids]),
                         pa.array([hashlib.sha256(text.encode()).hexdigest() for text in decoded]),
                     ]
-                    yield pa.RecordBatch.from_arrays(
-                        [own, *columns], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"]
-                    )
+                    names = [key, *(["ids"] if ids_too else []), "n_tokens", "ids_sha256", "decoded_sha256"]
+                    yield pa.RecordBatch.from_arrays([own, *columns], names=names)
                 else:
-                    arrays = [np.frombuffer(row, dtype="<u4").astype(np.int32) for row in ids]
-                    edges = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(arrays)))
                     yield pa.RecordBatch.from_arrays(
                         [own, lists, pa.array(decoded)], names=[key, "ids", "decoded"]
                     )
 
     kind = docs.schema[key].dataType.simpleString()
     result = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
+    result = f"ids array<int>, {result}" if ids_too else result
     return storage.texts(docs).select(key, "text").mapInArrow(run, f"`{key}` {kind}, {result}")

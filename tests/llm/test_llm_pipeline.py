@@ -82,6 +82,20 @@ def test_tokens_equal_the_library(steps):
     for doc_id, row in steps[-1][2].items():
         ids = library.encode(steps[-2][2][doc_id].text, add_bos=True, add_eos=True)
         assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row.ids == ids and row.n_tokens == len(ids)
+
+
+def test_repeated_rows_and_clashing_names_in_every_stage(spark, folder):
+    """Each stage by itself, on documents with more columns, some of names that the operators use, and every row twice."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = docs.selectExpr("*", "1 AS class_id", "'x' AS version", "2 AS n_hit", "'y' AS spans", "3 AS id", "0.5 AS score")
+    twice = odd.unionByName(odd)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        once, both = (sorted(map(str, stage(spark, d, folder).collect())) for d in (odd, twice))
+        assert sorted([*once, *once]) == both, name
+        assert stage(spark, odd, folder).columns == odd.columns, name
+    tokens = corpus_pipeline.tokens(spark, twice, folder)
+    assert tokens.count() == twice.count() and tokens.columns[:2] == ["doc_id", "ids"]
 
 
 def test_run_applies_all_stages(spark, folder, steps):
