@@ -4,7 +4,7 @@
 2. near_duplicates: of each class of similar documents the one with the smallest id stays.
 3. decontamination: documents that hold a window of a benchmark item go.
 4. secrets: secrets are replaced by a mark, and ``n_chars`` follows the new text.
-5. tokens: every document is encoded, and decoded again.
+5. tokens: every document is encoded, and decoded again: its token ids, their number, and digests of both.
 
 Rows without an id cannot be compared and stay in stage 2; rows that share an id stay or go together
 there. A null text has no language and goes in stage 1.
@@ -40,7 +40,7 @@ def hidden_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.with_digests(docs, pieces.model_file())
+    return pieces.with_tokens(docs, pieces.model_file())
 
 
 STAGES = [
