@@ -5,19 +5,22 @@
 2. Texts with the same set form one class member (its smallest id, with its number of copies).
 3. Band hashes are shuffled; every member of a bucket is tied to the bucket's smallest id, one row each.
    Connected components of these ties hold every pair of texts that share a band, without a list of pairs.
-4. Components meet in blocks: one of up to ``BLOCK`` members is checked in one task, a larger one is dealt
-   into blocks of that size and every two blocks meet in one task. There, shared shingles of all pairs come
-   from one matrix product. A task returns per member its number of links and a tie to the smallest id that
-   links lead to, never its pairs.
-5. Components of the verified ties are the classes.
+4. A component is checked whole or bucket by bucket, whichever takes fewer copies of texts: whole where most
+   members are alike, by buckets where texts that share little are chained. Of buckets with the same members
+   one is checked, and a pair counts in the first band that it shares.
+5. A group of up to ``BLOCK`` members is checked in one task, a larger one is dealt into blocks of that size
+   and every two blocks meet in one task. There, shared shingles of all pairs come from one matrix product.
+   A task returns per member its number of links and a tie to the smallest id that links lead to, never its pairs.
+6. Components of the verified ties are the classes.
 
-The work inside a component of g different texts still grows with the square of g, in blocks, since
-each link is counted; what is shuffled and returned does not list pairs.
+Where g different texts are alike the work still grows with the square of g, in blocks, since each link is
+counted; what is shuffled and returned does not list pairs.
 
 Defined results: a text with fewer than five words, but not none, is one shingle. A null or wordless
 text has no shingles and no links; it is a class of its own. A row without an id has no class (null)
-and no links. Rows that share an id are one document; the links of different texts under one id add
-up. Texts are read whole, whatever their length; repeated rows give a row each, with equal results. A pair at
+and no links. Rows that share an id are one document: a repeated row gives a row with equal results and adds no
+link, and the links of different texts under one id add up. Ids that are no integers are numbered in their
+order first and named again in the result. Texts are read whole, whatever their length. A pair at
 the threshold is a link. An empty table gives no rows. Columns other than those named are not read.
 """
 
@@ -27,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from riskstream.llm import storage
 from riskstream.llm.components import components
@@ -49,8 +53,8 @@ RECALL = 0.999
 #: Hash functions that bands and rows may use.
 SIGNATURE = 100
 BLOCK = 256
-#: Members (pairs of two numbers) that may be broadcast to pick texts: 32 MB.
-BROADCAST_ROWS = 1 << 20
+#: Numbers of 8 bytes, of all members and their groups, that may be broadcast to pick texts: 32 MB.
+BROADCAST_NUMBERS = 1 << 22
 
 
 def choose_bands(threshold: float, recall: float, budget: int = SIGNATURE) -> tuple[int, int]:
@@ -105,9 +109,10 @@ def _signed(bands: int, rows: int):
                         pa.array(size),
                         pa.array(digest[0].view(np.int64)),
                         pa.array(digest[1].view(np.int64)),
+                        batch.column(2).slice(chunk.first, chunk.rows),
                         pa.ListArray.from_arrays(pa.array(edges), pa.array(band[some].reshape(-1).view(np.int64))),
                     ],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "version", "bands"],
                 )
 
     return run
@@ -151,7 +156,7 @@ def _smallest_reached(near: np.ndarray, node: np.ndarray) -> np.ndarray:
 def _verify(groups) -> pa.RecordBatch:
     """Links and ties of the members of some tiles."""
     ids, links, least = [], [], []
-    for node, copies, side, texts, one_block in groups:
+    for node, copies, side, earlier, texts, one_block in groups:
         column = pa.array(texts, pa.large_string())
         parts = [_sets(chunk) for chunk in chunks(column)]
         values = np.concatenate([p[0] for p in parts])
@@ -159,6 +164,9 @@ def _verify(groups) -> pa.RecordBatch:
         near = linked(values, bounds)
         if not one_block:  # pairs within a block belong to the block's own tile
             near &= side[:, None] != side[None, :]
+        near &= node[:, None] != node[None, :]
+        for band in earlier:  # pairs that share an earlier band belong to that bucket's tile
+            near &= band[:, None] != band[None, :]
         ids.append(node)
         links.append(near @ copies)
         least.append(_smallest_reached(near, node))
@@ -166,6 +174,9 @@ def _verify(groups) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in flat], names=["node", "links", "least"])
 
 
+_TILE = ["band", "value", "low", "high"]
+
+
 def _tiles(batches):
     """Cut the sorted rows of a partition at changes of tile and verify each tile."""
     rest: list[pa.RecordBatch] = []
@@ -174,15 +185,16 @@ def _tiles(batches):
         table = pa.Table.from_batches(parts)
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         numbers = [table.column(name).to_numpy().astype(np.int64) for name in ("node", "copies", "block")]
-        return (*numbers, table.column("text").to_pylist(), low == high)
+        earlier = table.column("earlier").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).T
+        return (*numbers, earlier, table.column("text").to_pylist(), low == high)
 
     for batch in batches:
-        key = [batch.column(k).to_numpy() for k in range(3)]
+        key = [batch.column(k).to_numpy() for k in range(len(_TILE))]
         change = np.zeros(batch.num_rows, dtype=bool)
         for k in key:
             change[1:] |= k[1:] != k[:-1]
         if rest and batch.num_rows:
-            change[0] = any(rest[-1].column(k)[-1].as_py() != key[k][0] for k in range(3))
+            change[0] = any(rest[-1].column(k)[-1].as_py() != key[k][0] for k in range(len(_TILE)))
         cuts = np.flatnonzero(change)
         pending = []
         at = 0
@@ -202,21 +214,94 @@ def _tiles(batches):
         yield _verify([group(rest)])
 
 
+def _groups(candidate: DataFrame, members: DataFrame) -> DataFrame:
+    """node, version, copies, bands and ``groups`` (band, value, blocks) in which each member is checked.
+
+    A component checked whole is one group with band -1 and needs no bands.
+    """
+
+    def blocks(size: str):
+        return F.ceil(F.col(size) / BLOCK).cast("int")
+
+    sizes = candidate.groupBy("component").agg(F.count("*").alias("size"))
+    placed = cut(candidate.join(sizes, "component").join(members, "node"))
+    bucketed = placed.filter(F.col("size") > BLOCK).select(
+        "component", "node", "version", "copies", "set_a", "set_b", "bands", F.posexplode("bands").alias("band", "value")
+    )
+    # buckets with the same members, told by their digests, are checked once, in the first band
+    buckets = cut(
+        bucketed.groupBy("component", "band", "value")
+        .agg(
+            F.min("node").alias("least"),
+            F.max("node").alias("most"),
+            F.count("*").alias("n"),
+            F.bit_xor("set_a").alias("all_a"),
+            F.bit_xor("set_b").alias("all_b"),
+        )
+        .filter("least < most")
+        .groupBy("component", "n", "all_a", "all_b")
+        .agg(F.min(F.struct("band", "value")).alias("first"))
+        .select("component", "n", "first.band", "first.value")
+    )
+    cost = buckets.groupBy("component").agg(F.sum(F.col("n") * blocks("n")).alias("cost"))
+    loose = cut(cost.join(sizes, "component").filter(F.col("cost") < F.col("size") * blocks("size")).select("component"))
+    whole = placed.join(loose, "component", "left_anti").select(
+        "node",
+        "version",
+        "copies",
+        F.array(
+            F.struct(F.lit(-1).alias("band"), F.col("component").alias("value"), blocks("size").alias("blocks"))
+        ).alias("groups"),
+        F.array().cast("array<long>").alias("bands"),
+    )
+    parts = (
+        bucketed.join(buckets.join(loose, "component"), ["component", "band", "value"])
+        .groupBy("node", "version", "copies")
+        .agg(
+            F.collect_list(F.struct("band", "value", blocks("n").alias("blocks"))).alias("groups"),  # one a band
+            F.any_value("bands").alias("bands"),
+        )
+    )
+    return whole.unionByName(parts)
+
+
 def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id (smallest id of its class), n_links (other documents similar enough) of every row."""
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        return _join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), recall)
+    ids = docs.select("doc_id").filter("doc_id is not null").distinct().orderBy("doc_id")
+    numbers = cut(ids.withColumn("number", F.monotonically_increasing_id()))
+    found = _join(docs.join(numbers, "doc_id", "left").select(F.col("number").alias("doc_id"), "text"), recall)
+    own = numbers.select(F.col("doc_id").alias("name"), F.col("number").alias("doc_id"))
+    classes = numbers.select(F.col("doc_id").alias("class_name"), F.col("number").alias("class_id"))
+    return (
+        found.join(own, "doc_id", "left")
+        .join(classes, "class_id", "left")
+        .select(F.col("name").alias("doc_id"), F.col("class_name").alias("class_id"), "n_links", "n_shingles")
+    )
+
+
+def _join(docs: DataFrame, recall: float) -> DataFrame:
     bands, rows = choose_bands(THRESHOLD_TENTHS / 10, recall)
-    docs = storage.texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = storage.texts(docs).withColumn("version", F.xxhash64("text"))
     signed = cut(
         docs.mapInArrow(
-            _signed(bands, rows), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+            _signed(bands, rows),
+            "doc_id long, n_shingles long, set_a long, set_b long, version long, bands array<long>",
         )
     )
     of_set = ["set_a", "set_b", "n_shingles"]
     known = signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     members = cut(
-        known.groupBy(*of_set).agg(
-            F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.any_value("bands").alias("bands")
+        known.groupBy(*of_set, "doc_id")
+        .agg(F.min("version").alias("version"), F.any_value("bands").alias("bands"))
+        .groupBy(*of_set)
+        .agg(
+            F.min(F.struct("doc_id", "version")).alias("least"),
+            F.count("*").alias("copies"),
+            F.any_value("bands").alias("bands"),
         )
+        .select(*of_set, F.col("least.doc_id").alias("node"), "least.version", "copies", "bands")
     )
     buckets = members.select("node", F.posexplode("bands").alias("band", "value"))
     firsts = buckets.groupBy("band", "value").agg(F.min("node").alias("b"), F.max("node").alias("most"))
@@ -226,36 +311,37 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         .select(F.col("node").alias("a"), "b")
         .distinct()
     )
-    candidate = components(ties)
-    sizes = candidate.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    picked = cut(
-        candidate.join(sizes, "component")
-        .join(members.select("node", "copies"), "node")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    picked = cut(_groups(components(ties), members))
+    numbers = picked.agg(F.sum(4 + 5 * F.size("groups") + F.size("bands"))).first()[0] or 0
+    few = F.broadcast(picked) if numbers <= BROADCAST_NUMBERS else picked
+    texts = (
+        docs.withColumnRenamed("doc_id", "node")
+        .join(few, ["node", "version"])
+        .dropDuplicates(["node", "version"])  # rows repeated in docs
     )
-    few = picked.count() <= BROADCAST_ROWS
-    texts = docs.join(F.broadcast(picked) if few else picked, docs["doc_id"] == picked["node"]).drop("doc_id")
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    tiles = texts.select(
-        "component",
-        F.explode(other).alias("other"),
+    grouped = texts.withColumn("at", F.explode("groups")).select(
+        "at.*",
         "node",
         "copies",
-        "block",
-        "blocks",
+        F.pmod(F.xxhash64("node", "version"), F.col("at.blocks")).cast("int").alias("block"),
+        F.slice("bands", 1, F.greatest(F.col("at.band"), F.lit(0))).alias("earlier"),
         "text",
-    ).select(
-        "component",
+    )
+    other = F.sequence(F.lit(0), F.col("blocks") - 1)
+    tiles = grouped.withColumn("other", F.explode(other)).select(
+        "band",
+        "value",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
         "node",
         "copies",
         "block",
+        "earlier",
         "text",
     )
     verified = cut(
-        tiles.repartition("component", "low", "high")
-        .sortWithinPartitions("component", "low", "high")
+        tiles.repartition(*_TILE)
+        .sortWithinPartitions(*_TILE)
         .mapInArrow(_tiles, "node long, links long, least long")
     )
     per_member = verified.groupBy("node").agg(F.sum("links").alias("links"))
@@ -269,7 +355,7 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
-    own = signed.drop("bands")
+    own = signed.drop("bands", "version")
     return own.join(described, of_set, "left").select(
         "doc_id",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),

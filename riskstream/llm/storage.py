@@ -5,6 +5,8 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from riskstream.session import shared_root
 
@@ -17,6 +19,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of a table that may be broadcast.
+BROADCAST_BYTES = 1 << 25
+
+
+def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``df``, flat columns of numbers and texts, computed once; with a hint to broadcast it if it is small."""
+    kept = cut(df)
+    width = sum(
+        (
+            F.coalesce(F.octet_length(field.name), F.lit(0))
+            if isinstance(field.dataType, (StringType, BinaryType))
+            else F.lit(16)
+            for field in df.schema
+        ),
+        F.lit(8),
+    )
+    size = kept.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(kept) if size <= (BROADCAST_BYTES if limit is None else limit) else kept
+
+
 #: Rows of a batch that Python takes at once: of long texts the usual ten thousand would fill a worker.
 BATCH_ROWS = 500
 

@@ -454,10 +454,63 @@ def test_classes_and_links_against_brute_force(spark, block, monkeypatch):
 
 def test_classes_do_not_depend_on_the_broadcast(spark, documents, monkeypatch):
     whole = sorted(map(str, jaccard_join.join(documents).collect()))
-    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_NUMBERS", -1)
     assert sorted(map(str, jaccard_join.join(documents).collect())) == whole
 
 
+def chained(n, words=60, kept=48):
+    """Texts of which each shares most words with the next and none with one far away."""
+    random_ = random.Random(9)
+    pool = [f"w{random_.randrange(10**7)}" for _ in range(words + n * (words - kept))]
+    return [" ".join(pool[k * (words - kept) : k * (words - kept) + words]) for k in range(n)]
+
+
+@pytest.mark.parametrize("block", [4, 64])
+def test_chained_texts_are_checked_by_buckets(spark, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    docs = list(enumerate([*chained(150, kept=54), *near_copies(4, 30), *chained(40, kept=59)]))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    seen = []
+    groups = jaccard_join._groups
+
+    def spy(*args):
+        seen.append(groups(*args).cache())
+        return seen[-1]
+
+    monkeypatch.setattr(jaccard_join, "_groups", spy)
+    got = jaccard_join.join(frame).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == brute_classes(docs)
+    kinds = {(row.band < 0) for row in seen[0].selectExpr("inline(groups)").collect()}
+    assert kinds == ({True, False} if block == 4 else kinds)
+
+
+def test_copies_of_texts_grow_with_the_chain(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    rows = {}
+    for n in (200, 800):
+        # members in buckets of neighbours along one chain, as bands of texts that share little make them
+        nodes = [(k, k, 1, k * 7919 + 1, k * 104729 + 3, [k // 2, 10_000 + (k + 1) // 2]) for k in range(n)]
+        members = spark.createDataFrame(
+            nodes, "node long, version long, copies long, set_a long, set_b long, bands array<long>"
+        )
+        candidate = members.selectExpr("node", "0L as component")
+        found = jaccard_join._groups(candidate, members).selectExpr("inline(groups)")
+        rows[n] = found.selectExpr("sum(blocks)").first()[0]
+    assert rows[800] <= 4.1 * rows[200] and rows[800] <= 2 * 800
+
+
+def test_classes_of_repeated_rows_and_other_ids(spark):
+    texts = [*near_copies(6, 8), "alone in the whole wide world"]
+    docs = list(enumerate(texts))
+    want = brute_classes(docs)
+    repeated = spark.createDataFrame(docs * 3, "doc_id long, text string").repartition(5)
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard_join.join(repeated).collect())
+    assert got == sorted(want * 3)
+    named = spark.createDataFrame([(f"id-{k}", text) for k, text in docs] + [(None, texts[0])], "doc_id string, text string")
+    got = {(r.doc_id, r.class_id, r.n_links) for r in jaccard_join.join(named).collect()}
+    assert got == {(f"id-{k}", f"id-{c}", n) for k, c, n in want} | {(None, None, 0)}
+
+
 def test_classes_of_awkward_rows(awkward, empty):
     got = jaccard_join.join(awkward).collect()
     assert len(got) == len(AWKWARD) and jaccard_join.join(empty).count() == 0

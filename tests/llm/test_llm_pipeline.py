@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskstream.llm import jaccard_join, pieces, secrets
+from riskstream.llm import jaccard_join, pieces, secrets, storage
 
 WORDS = " ".join(f"story{k} tells of the people and their town" for k in range(30))
 
@@ -107,3 +107,14 @@ def test_pipeline_of_no_documents(spark, sf, tmp_path):
     spark.read.parquet(f"{sf}/documents.parquet").filter(F.lit(False)).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_dropped_ids_by_broadcast_or_shuffle(spark, folder, monkeypatch):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    small = {name: sorted(map(str, stage(spark, docs, folder).collect())) for name, stage in corpus_pipeline.STAGES[1:3]}
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", -1)
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        frame = stage(spark, docs, folder)
+        assert "Broadcast" not in frame._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, frame.collect())) == small[name]
+    assert storage.broadcast_if_small(docs.select("doc_id"), 1 << 20).count() == docs.count()
