@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.llm import decontaminate, jaccard_join, language_id, pieces, secrets
-from riskstream.llm.storage import new_folder, remove
+from riskstream.llm.storage import broadcast_if_small, new_folder, remove
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,12 +25,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     later = jaccard_join.join(docs).filter("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(broadcast_if_small(later), "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hit = decontaminate.scan(docs, items).filter("n_hit > 0").select(F.col("doc_id").alias("id"), "version")
+    hit = broadcast_if_small(hit.distinct())
     same = docs["doc_id"].eqNullSafe(hit["id"]) & (F.xxhash64(docs["text"]) == hit["version"])
     return docs.join(hit, same, "left_anti")
 
