@@ -53,8 +53,8 @@ RECALL = 0.999
 #: Hash functions that bands and rows may use.
 SIGNATURE = 100
 BLOCK = 256
-#: Numbers of 8 bytes, of all members and their groups, that may be broadcast to pick texts: 32 MB.
-BROADCAST_NUMBERS = 1 << 22
+#: Members (pairs of two numbers) that may be broadcast to pick texts: 32 MB.
+BROADCAST_ROWS = 1 << 20
 
 
 def choose_bands(threshold: float, recall: float, budget: int = SIGNATURE) -> tuple[int, int]:
@@ -312,12 +312,12 @@ def _join(docs: DataFrame, recall: float) -> DataFrame:
         .distinct()
     )
     picked = cut(_groups(components(ties), members))
-    numbers = picked.agg(F.sum(4 + 5 * F.size("groups") + F.size("bands"))).first()[0] or 0
-    few = F.broadcast(picked) if numbers <= BROADCAST_NUMBERS else picked
+    keys = picked.select("node", "version")
     texts = (
         docs.withColumnRenamed("doc_id", "node")
-        .join(few, ["node", "version"])
+        .join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, ["node", "version"])
         .dropDuplicates(["node", "version"])  # rows repeated in docs
+        .join(picked, ["node", "version"])  # dealt as the step before
     )
     grouped = texts.withColumn("at", F.explode("groups")).select(
         "at.*",

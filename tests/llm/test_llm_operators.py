@@ -454,7 +454,7 @@ def test_classes_and_links_against_brute_force(spark, block, monkeypatch):
 
 def test_classes_do_not_depend_on_the_broadcast(spark, documents, monkeypatch):
     whole = sorted(map(str, jaccard_join.join(documents).collect()))
-    monkeypatch.setattr(jaccard_join, "BROADCAST_NUMBERS", -1)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", -1)
     assert sorted(map(str, jaccard_join.join(documents).collect())) == whole
 
 
