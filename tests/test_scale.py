@@ -42,3 +42,25 @@ def test_runs_of_a_store_share_one_scoring(spark, sf, monkeypatch):
     queries._store_of_runs(spark, sf)
     assert len(plans) == 3
     assert all("InMemoryTableScan" in plan for plan in plans)
+
+
+def test_buckets_grow_with_the_rows(spark, sf, monkeypatch):
+    monkeypatch.setattr(queries, "ROWS_PER_BUCKET", 20)
+    monkeypatch.setattr(queries, "_BUCKETED", {})
+    asked = []
+    monkeypatch.setattr(queries.bucketed, "write_bucketed", lambda rows, *_, buckets: asked.append((rows.count(), buckets)))
+    queries._bucketed(spark, sf)
+    assert len({buckets for _, buckets in asked}) == 1
+    assert all(rows <= 20 * buckets for rows, buckets in asked)
+
+
+def test_damaged_rows_keep_the_days_of_their_files(spark, sf, monkeypatch):
+    hints = []
+    write = queries.TableStore._overwrite
+    monkeypatch.setattr(
+        queries.TableStore, "_overwrite", lambda self, table, rows, *by: (hints.append(plan_of(rows)), write(self, table, rows, *by))
+    )
+    store = queries._damaged_store(spark, sf)
+    assert not any("REBALANCE" in plan.upper() for plan in hints)
+    days = store.partitions("transactions").filter(F.to_date("processed_at") != F.col("day"))
+    assert days.isEmpty()
