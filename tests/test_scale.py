@@ -64,3 +64,11 @@ def test_damaged_rows_keep_the_days_of_their_files(spark, sf, monkeypatch):
     assert not any("REBALANCE" in plan.upper() for plan in hints)
     days = store.partitions("transactions").filter(F.to_date("processed_at") != F.col("day"))
     assert days.isEmpty()
+
+
+def test_a_message_file_is_bounded(spark, sf, monkeypatch):
+    monkeypatch.setattr(queries, "ROWS_PER_FILE", 50)
+    text = spark.read.text(queries._message_folder(spark, sf)).select("value", F.input_file_name().alias("file"))
+    counts = [row["count"] for row in text.groupBy("file").count().collect()]
+    assert len(counts) > 4 and max(counts) <= 60
+    assert queries._files(spark, sf, 2) > 2 and queries._per_batch(spark, sf) <= queries.FILES_PER_BATCH
